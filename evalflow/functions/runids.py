@@ -7,15 +7,26 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 
+# All patterns as one alternation. Each is anchored at both ends, so the first
+# alternative that fits is the first pattern that matches, and one regex pass
+# gives its groups. Every pattern starts with a group that is never empty.
+_ANY_PATTERN = "|".join(regex for _, _, regex, _ in C.RUN_PATTERNS)
+_COUNT = sum(len(names) for _, _, _, names in C.RUN_PATTERNS)
+_STARTS = [sum(len(n) for _, _, _, n in C.RUN_PATTERNS[:i]) for i in range(len(C.RUN_PATTERNS))]
 _BREAK = "\u0001"
 
 
-def pattern_index(run_id: Column) -> Column:
-    """Place of the first matching pattern, null when none matches."""
-    chain = None
-    for place, (_, _, regex, _) in enumerate(C.RUN_PATTERNS):
-        hit = run_id.rlike(regex)
-        chain = F.when(hit, place) if chain is None else chain.when(hit, place)
+def pattern_groups(run_id: Column) -> Column:
+    """Groups of all patterns in order, blank but for the matched one; one element if none matches."""
+    every = _BREAK.join(f"${i + 1}" for i in range(_COUNT))
+    return F.split(F.regexp_replace(run_id, _ANY_PATTERN, every), _BREAK)
+
+
+def pattern_place(groups: Column) -> Column:
+    """Place of the matched pattern, null when none matched."""
+    chain = F.when(F.size(groups) != _COUNT, None)
+    for place, start in enumerate(_STARTS):
+        chain = chain.when(groups[start] != "", place)
     return chain
 
 
@@ -29,43 +40,29 @@ def legacy_type(run_id: Column) -> Column:
     return F.when(old, F.lit("old")).otherwise(F.lit("other"))
 
 
-def matched_groups(run_id: Column, place: Column) -> Column:
-    """All groups of the matched pattern as an array, from one regex pass."""
-    chain = None
-    for i, (_, _, regex, names) in enumerate(C.RUN_PATTERNS):
-        marked = _BREAK.join(f"${k + 1}" for k in range(len(names)))
-        groups = F.split(F.regexp_replace(run_id, regex, marked), _BREAK)
-        chain = F.when(place == i, groups) if chain is None else chain.when(place == i, groups)
-    return chain
-
-
-def _by_pattern(place: Column, values: list[Column | None]) -> Column:
-    table = F.array(*[F.lit(None).cast("string") if v is None else v for v in values])
-    return F.get(table, place)
+def _by_pattern(place: Column, values: list) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), place)
 
 
 def classify_runs(df: DataFrame, run_id_col: str = "run_id") -> DataFrame:
-    """Add ``run_type`` and the metadata columns; every row gets one type.
-
-    Row-local: the pattern place is found once, then only the regex at that
-    place is run again to cut out the groups.
-    """
+    """Add ``run_type`` and the metadata columns; every row gets one type. Row-local."""
     if run_id_col not in df.columns:
         raise KeyError(f"Column '{run_id_col}' not found in DataFrame")
     run_id = F.col(run_id_col)
-    types = [F.lit(run_type) for _, run_type, _, _ in C.RUN_PATTERNS]
-    names = [F.lit(name) for name, _, _, _ in C.RUN_PATTERNS]
-    out = (
+    placed = (
         df.withColumn(run_id_col, F.coalesce(run_id.cast("string"), F.lit("None")))
-        .withColumn("_place", pattern_index(run_id))
-        .withColumn("_groups", matched_groups(run_id, F.col("_place")))
+        .withColumn("_groups", pattern_groups(run_id))
+        .withColumn("_place", pattern_place(F.col("_groups")))
     )
     place, groups = F.col("_place"), F.col("_groups")
+    types = [run_type for _, run_type, _, _ in C.RUN_PATTERNS]
     columns = {"run_type": F.coalesce(_by_pattern(place, types), legacy_type(run_id))}
     for field in C.RUN_METADATA[:-1]:
-        # place of the field's group per pattern
-        spots = [g.index(field) if field in g else None for _, _, _, g in C.RUN_PATTERNS]
-        spot = F.get(F.array(*[F.lit(s).cast("int") for s in spots]), place)
-        columns[field] = F.get(groups, spot)
-    columns["pattern_name"] = _by_pattern(place, names)
-    return out.withColumns(columns).drop("_place", "_groups")
+        # the field's group among all groups, per pattern; -1 finds nothing
+        spots = [
+            start + names.index(field) if field in names else -1
+            for start, (_, _, _, names) in zip(_STARTS, C.RUN_PATTERNS)
+        ]
+        columns[field] = F.get(groups, _by_pattern(place, spots))
+    columns["pattern_name"] = _by_pattern(place, [name for name, _, _, _ in C.RUN_PATTERNS])
+    return placed.withColumns(columns).drop("_place", "_groups")

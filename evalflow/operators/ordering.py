@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalflow.session import settle
+
 
 def pack_order(*parts: tuple[Column, int]) -> Column:
     """Several non-negative integers as one ``decimal(38,0)`` that sorts like them.
@@ -21,15 +23,21 @@ def pack_order(*parts: tuple[Column, int]) -> Column:
     return text.cast("decimal(38,0)")
 
 
+def leading_digits(packed: Column, digits: int, keep: int) -> Column:
+    """First digits of a packed ordinal: buckets that never decrease along it."""
+    return F.left(F.lpad(packed.cast("string"), digits, "0"), F.lit(keep)).cast("long")
+
+
 def number_in_order(groups: DataFrame, order: Column, bucket: Column, id_col: str = "id") -> DataFrame:
     """0-based dense ids in the order of ``order``, without a one-task window.
 
     ``bucket`` must not decrease along ``order`` and splits the rows into small
     ranges. Rows are numbered inside their bucket; bucket sizes, one row per
     bucket, give each bucket's start. The result does not depend on
-    partitioning, so a retried task numbers its rows the same way.
+    partitioning, so a retried task numbers its rows the same way. The groups
+    are read twice, so they are settled first.
     """
-    marked = groups.withColumns({"_order": order, "_bucket": bucket})
+    marked = settle(groups.withColumns({"_order": order, "_bucket": bucket}))
     sizes = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

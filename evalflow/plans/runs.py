@@ -101,6 +101,23 @@ def hydrate(
     return runs.drop("summary", "config")
 
 
+def fill_defaults(runs: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
+    """Defaults for the columns a run's type has: those of its patterns and hydrated ones."""
+    if "run_type" not in runs.columns:
+        return ops.fill_missing(runs, defaults)
+    hydrated = {*C.RUN_CONFIG_FIELDS, *C.RUN_SUMMARY_FIELDS}
+    filled = {}
+    for name, default in defaults.items():
+        if name not in runs.columns:
+            continue
+        value = F.coalesce(F.col(name), F.lit(default).cast(runs.schema[name].dataType))
+        if name not in hydrated:
+            types = {kind for _, kind, _, names in C.RUN_PATTERNS if name in names}
+            value = F.when(F.col("run_type").isin(sorted(types)), value).otherwise(F.col(name))
+        filled[name] = value
+    return runs.withColumns(filled)
+
+
 def token_defaults(df: DataFrame) -> DataFrame:
     """Token columns of full fine-tuning runs (``_Ft_`` in the id) are fixed."""
     if "run_id" not in df.columns:
@@ -166,7 +183,7 @@ def normalize(
     recipes back into display names; the default leaves them.
     """
     known = {k: v for k, v in (defaults or {}).items() if k in C.RUN_DEFAULTS}
-    out = ops.fill_missing(runs, {**C.RUN_DEFAULTS, **known})
+    out = fill_defaults(runs, {**C.RUN_DEFAULTS, **known})
     if recipe_mode == "original":
         for name in C.RUN_RECIPE_COLUMNS:
             out = ops.apply_if_column(out, name, restore_recipe)

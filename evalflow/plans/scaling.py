@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,41 +23,45 @@ def prepare_fits(fits: DataFrame) -> DataFrame:
     ).drop("mix")
 
 
-def _numbered(groups: DataFrame, bucket: Column) -> DataFrame:
-    return number_in_order(groups, F.col("first_seen"), bucket).drop("first_seen")
+ONE_STEP = {"pred_task_metrics": "stacked_pred"}
+TWO_STEP = {
+    "pred_task_losses": "step_1_pred",
+    "pred_task_loss_to_metrics": "step_2_pred",
+    "pred_task_metrics": "stacked_pred",
+}
+TRUE = {"task_losses": "step_1_y", "task_metrics": "step_2_y"}
+
+
+def numbered_groups(
+    fits: DataFrame, one_step: bool, structs: Mapping[str, str], order: Column, bucket: Column
+) -> DataFrame:
+    """Pivoted groups of one kind with their ids by first appearance."""
+    flag = F.col("one_step")
+    rows = prepare_fits(fits).where(flag if one_step else ~flag)
+    wide = pivot_metrics(rows, KEYS, structs, order)
+    return number_in_order(wide, F.col("first_seen"), bucket).drop("first_seen")
+
+
+def _predictions(groups: DataFrame, structs: Mapping[str, str]) -> DataFrame:
+    config = setups.fit_config(F.col("setup")).alias("fit_config")
+    return groups.select("id", "task", "recipe", config, *structs)
+
+
+def _truth(groups: DataFrame) -> DataFrame:
+    """Default setup only; ids count all two-step groups, so they have gaps."""
+    return groups.where(F.col("setup") == C.TRUE_METRICS_SETUP).select("id", "task", "recipe", *TRUE)
 
 
 def one_step_predictions(fits: DataFrame, order: Column, bucket: Column) -> DataFrame:
-    rows = prepare_fits(fits).where("one_step")
-    wide = pivot_metrics(rows, KEYS, {"pred_task_metrics": "stacked_pred"}, order)
-    return _numbered(wide, bucket).select(
-        "id", "task", "recipe", setups.fit_config(F.col("setup")).alias("fit_config"), "pred_task_metrics"
-    )
+    return _predictions(numbered_groups(fits, True, ONE_STEP, order, bucket), ONE_STEP)
 
 
 def two_step_predictions(fits: DataFrame, order: Column, bucket: Column) -> DataFrame:
-    rows = prepare_fits(fits).where("not one_step")
-    structs = {
-        "pred_task_losses": "step_1_pred",
-        "pred_task_loss_to_metrics": "step_2_pred",
-        "pred_task_metrics": "stacked_pred",
-    }
-    wide = pivot_metrics(rows, KEYS, structs, order)
-    return _numbered(wide, bucket).select(
-        "id", "task", "recipe", setups.fit_config(F.col("setup")).alias("fit_config"), *structs
-    )
+    return _predictions(numbered_groups(fits, False, TWO_STEP, order, bucket), TWO_STEP)
 
 
 def true_metrics(fits: DataFrame, order: Column, bucket: Column) -> DataFrame:
-    """Truth of the default setup; ids count all two-step groups, so they have gaps."""
-    rows = prepare_fits(fits).where("not one_step")
-    structs = {"task_losses": "step_1_y", "task_metrics": "step_2_y"}
-    wide = pivot_metrics(rows, KEYS, structs, order)
-    return (
-        _numbered(wide, bucket)
-        .where(F.col("setup") == C.TRUE_METRICS_SETUP)
-        .select("id", "task", "recipe", *structs)
-    )
+    return _truth(numbered_groups(fits, False, TRUE, order, bucket))
 
 
 def parse_scaling_laws(
@@ -66,9 +72,10 @@ def parse_scaling_laws(
     ``order`` is the row ordinal of ``fits``; ``bucket`` cuts ``first_seen``, an
     ordinal of the same kind, into ranges.
     """
+    two_step = numbered_groups(fits, False, {**TWO_STEP, **TRUE}, order, bucket)
     return {
         "scaling_law_pred_one_step.parquet": one_step_predictions(fits, order, bucket),
-        "scaling_law_pred_two_step.parquet": two_step_predictions(fits, order, bucket),
-        "scaling_law_true.parquet": true_metrics(fits, order, bucket),
+        "scaling_law_pred_two_step.parquet": _predictions(two_step, TWO_STEP),
+        "scaling_law_true.parquet": _truth(two_step),
         "macro_avg.parquet": macro_avg,
     }

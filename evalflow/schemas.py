@@ -8,8 +8,21 @@ from pyspark.sql import types as T
 from evalflow import constants as C
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "variant": T.VariantType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Struct from ``"name type, name type"``, usable before a session exists."""
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Eval-directory artifacts. Free-form values stay VARIANT until they are written.

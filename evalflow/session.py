@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 # Result dumps hold names such as "task-002-boolq:mc::olmes-metrics.json"; the
@@ -45,13 +47,38 @@ def build_session(
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a fresh one for local runs."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="evalflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder all executors reach, as named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a fresh folder of its own and a
+    cluster session a folder in the warehouse.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        if spark.sparkContext.master.startswith("local"):
+            _own_folders[app] = tempfile.mkdtemp(prefix="evalflow-")
+        else:
+            _own_folders[app] = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/evalflow-{app}"
+    return _own_folders[app]
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; nothing is created yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a frame once into the checkpoint folder, for plans that read it twice.
+
+    A lost executor costs no recomputation of what lies before.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
