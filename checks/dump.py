@@ -27,7 +27,7 @@ def write_files(rows: DataFrame, root: str) -> None:
                         out.close()
                     path = f"{base}/{file}"
                     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                    out, current = fs.open_output_stream(path), file
+                    out, current = fs.open_output_stream(path, compression=None), file
                 out.write(line.encode("utf-8") + b"\n")
         if out is not None:
             out.close()
@@ -62,7 +62,7 @@ def write_archives(rows: DataFrame, root: str) -> None:
             tar.close()
             path = f"{base}/{archive}"
             fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            with fs.open_output_stream(path) as out:
+            with fs.open_output_stream(path, compression=None) as out:
                 out.write(packed.getvalue())
 
         for batch in batches:

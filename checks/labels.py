@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.shape import fill, fill_sql, pick, pick_sql, quoted, table
+from checks.shape import choose_sql, fill_sql, pick_expr, pick_sql, quoted, table
 from evalflow import constants as C
 from evalflow.functions.labels import add_label_parts, canonical_labels
 from evalflow.functions.text import is_missing, normalize_text
@@ -15,13 +15,19 @@ ENDS = [*C.CATALOG_METRICS, "", "foo", "acc_raw_extra"]
 FORMS = ["{task}_{metric}", " {task}-{metric} ", "{task}/{metric}", "{metric}({task})"]
 
 
+def _forms(values, text):
+    forms = [fill_sql(f, values, text) for f in FORMS]
+    return choose_sql(f"user_id % {len(FORMS)}", [f"upper({f})" if i == 1 else f for i, f in enumerate(forms)])
+
+
 def raw_labels(spark, folder):
-    n, u = F.col("event_id"), F.col("user_id")
-    values = {"task": pick(n % len(STARTS), STARTS), "metric": pick((n + u) % len(ENDS), ENDS)}
-    forms = F.array(*[F.upper(fill(f, values)) if i == 1 else fill(f, values) for i, f in enumerate(FORMS)])
-    label = F.element_at(forms, (u % len(FORMS)).cast("int") + 1)
+    values = {
+        "task": pick_expr(f"event_id % {len(STARTS)}", STARTS),
+        "metric": pick_expr(f"(event_id + user_id) % {len(ENDS)}", ENDS),
+    }
+    label = F.expr(_forms(values, "STRING"))
     return table(spark, folder, "events").select(
-        "event_id", F.when(n % 101 != 0, label).alias("label")
+        "event_id", F.when(F.col("event_id") % 101 != 0, label).alias("label")
     )
 
 
@@ -57,7 +63,7 @@ def _plain(name):
 _CLEAN = "nullif(trim(regexp_replace(lower({c}), '[-_/()%+,\\s]+', ' ', 'g')), '')"
 _LABELS = """
     labels AS (
-        SELECT event_id, CASE WHEN event_id % 101 <> 0 THEN CASE user_id % {n} {whens} END END AS label FROM events
+        SELECT event_id, CASE WHEN event_id % 101 <> 0 THEN {forms} END AS label FROM events
     ), clean AS (SELECT event_id, {clean} AS words FROM labels),
     tasks AS (SELECT DISTINCT name, length(name) - length(replace(name, ' ', '')) AS n FROM (VALUES {tasks}) t(name)),
     metrics AS (SELECT DISTINCT name FROM (VALUES {metrics}) t(name)),
@@ -73,21 +79,12 @@ _LABELS = """
         FROM rests r LEFT JOIN metrics m ON m.name = r.rest AND r.task IS NOT NULL
     )
 """.format(
-    n=len(FORMS),
-    whens=" ".join(
-        "WHEN {} THEN {}".format(
-            i,
-            ("upper({})" if i == 1 else "{}").format(
-                fill_sql(
-                    f,
-                    {
-                        "task": pick_sql(f"event_id % {len(STARTS)}", STARTS),
-                        "metric": pick_sql(f"(event_id + user_id) % {len(ENDS)}", ENDS),
-                    },
-                )
-            ),
-        )
-        for i, f in enumerate(FORMS)
+    forms=_forms(
+        {
+            "task": pick_sql(f"event_id % {len(STARTS)}", STARTS),
+            "metric": pick_sql(f"(event_id + user_id) % {len(ENDS)}", ENDS),
+        },
+        "VARCHAR",
     ),
     clean=_CLEAN.format(c="label"),
     tasks=", ".join(f"({quoted(_plain(t))})" for t in ALL_TASKS),

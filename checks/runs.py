@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from checks.shape import fill, fill_sql, pick, pick_sql, quoted, table
+from checks.shape import choose_sql, fill_sql, pick_expr, pick_sql, quoted, table
 from evalflow import constants as C
 from evalflow.operators.summaries import summary_metrics, summary_task_maps
 from evalflow.plans import runs
@@ -41,16 +41,17 @@ def run_table(spark, folder):
     """Runs with ids of every form and config / summary JSON, some of it unusable."""
     n = F.col("event_id")
     values = {
-        "t8": F.date_format("ts", "yyyy_MM_dd-HH_mm_ss"),
-        "t6": F.date_format("ts", "yyMMdd-HHmmss"),
-        "exp": F.concat(F.lit("e"), n.cast("string")),
-        "rec": pick(F.col("user_id") % 3, RECIPES),
-        "size": pick(n % 3, SIZES),
-        "tok": (F.col("user_id") % 50 + 1).cast("string"),
-        "n": (F.col("user_id") % 4 + 1).cast("string"),
-        "label": pick(F.col("user_id") % 4, LABELS),
+        "t8": "date_format(ts, 'yyyy_MM_dd-HH_mm_ss')",
+        "t6": "date_format(ts, 'yyMMdd-HHmmss')",
+        "exp": "concat('e', event_id)",
+        "rec": pick_expr("user_id % 3", RECIPES),
+        "size": pick_expr("event_id % 3", SIZES),
+        "tok": "(user_id % 50 + 1)",
+        "n": "(user_id % 4 + 1)",
+        "label": pick_expr("user_id % 4", LABELS),
     }
-    run_id = F.element_at(F.array(*[fill(t, values) for t in TEMPLATES]), (n % len(TEMPLATES)).cast("int") + 1)
+    forms = [fill_sql(t, values, "STRING") for t in TEMPLATES]
+    run_id = F.expr(choose_sql(f"event_id % {len(TEMPLATES)}", forms))
     k = F.get_json_object("props", "$.k")
     config = F.concat(
         F.lit('{"learning_rate":0.5,"seed":'), k, F.lit(',"num_train_epochs":3,"initial_checkpoint_recipe":"falcon"}')
@@ -136,10 +137,7 @@ _VALUES = {
     "n": "(user_id % 4 + 1)",
     "label": pick_sql("user_id % 4", LABELS),
 }
-_ID = "CASE event_id % {n} {whens} END".format(
-    n=len(TEMPLATES),
-    whens=" ".join(f"WHEN {i} THEN {fill_sql(t, _VALUES)}" for i, t in enumerate(TEMPLATES)),
-)
+_ID = choose_sql(f"event_id % {len(TEMPLATES)}", [fill_sql(t, _VALUES) for t in TEMPLATES])
 _PLACE = "CASE {} END".format(
     " ".join(f"WHEN regexp_matches(run_id, {quoted(p)}) THEN {i}" for i, (_, _, p, _) in enumerate(C.RUN_PATTERNS))
 )

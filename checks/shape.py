@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalflow.functions.literals import literal_array, literal_list
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -18,7 +20,7 @@ def quoted(text: str) -> str:
 
 
 def pick(index: Column, options: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), index.cast("int") + 1)
+    return F.get(literal_array(options), index.cast("int"))
 
 
 def pick_sql(index: str, options: Sequence[str]) -> str:
@@ -33,14 +35,19 @@ def case_sql(value: str, mapping: dict, default: str) -> str:
     return f"CASE {value} {whens} ELSE {default} END"
 
 
-def fill(template: str, values: dict[str, Column]) -> Column:
-    """``"{a}_x_{b}"`` as a concatenation of columns."""
-    parts = [p for p in re.split(r"(\{\w+\})", template) if p]
-    return F.concat(*[values[p[1:-1]] if re.fullmatch(r"\{\w+\}", p) else F.lit(p) for p in parts])
-
-
-def fill_sql(template: str, values: dict[str, str]) -> str:
+def fill_sql(template: str, values: dict[str, str], text: str = "VARCHAR") -> str:
+    """``"{a}_x_{b}"`` as a SQL concatenation of expressions."""
     parts = [p for p in re.split(r"(\{\w+\})", template) if p]
     return "(" + " || ".join(
-        f"CAST({values[p[1:-1]]} AS VARCHAR)" if re.fullmatch(r"\{\w+\}", p) else quoted(p) for p in parts
+        f"CAST({values[p[1:-1]]} AS {text})" if re.fullmatch(r"\{\w+\}", p) else quoted(p) for p in parts
     ) + ")"
+
+
+def choose_sql(index: str, options: Sequence[str]) -> str:
+    """SQL that evaluates the option at a 0-based index."""
+    return f"CASE {index} {' '.join(f'WHEN {i} THEN {o}' for i, o in enumerate(options))} END"
+
+
+def pick_expr(index: str, options: Sequence[str]) -> str:
+    """Spark SQL for the text at a 0-based index of a fixed list."""
+    return f"array({literal_list(options)})[CAST({index} AS INT)]"

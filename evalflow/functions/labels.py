@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
+from evalflow.functions.literals import literal_list
 from evalflow.functions.text import normalize_text
 
 
@@ -27,16 +28,18 @@ def add_label_parts(df: DataFrame, label: str) -> DataFrame:
     join, no shuffle. Steps are separate columns so the text is cleaned once.
     """
     words, rest = F.col("_words"), F.col("_rest")
-    head = [F.substring_index(words, " ", n) for n in range(_LONGEST, 0, -1)]
+    heads = [f"substring_index(_words, ' ', {n})" for n in range(_LONGEST, 0, -1)]
+    task = ", ".join(f"CASE WHEN {h} IN ({literal_list(TASKS)}) THEN {h} END" for h in heads)
+    known_metric = F.expr(f"_rest IN ({literal_list(METRICS)})")
     after_task = F.substring(words, F.length("task") + 2, F.length(words))
     return (
         df.withColumn("_words", normalize_text(F.col(label)))
-        .withColumn("task", F.coalesce(*[F.when(h.isin(TASKS), h) for h in head]))
+        .withColumn("task", F.expr(f"coalesce({task})"))
         .withColumn(
             "_rest",
             F.when(F.col("task").isNull(), words).otherwise(F.nullif(after_task, F.lit(""))),
         )
-        .withColumn("metric", F.when(F.col("task").isNotNull() & rest.isin(METRICS), rest))
+        .withColumn("metric", F.when(F.col("task").isNotNull() & known_metric, rest))
         .withColumn("unmatched", F.when(F.col("metric").isNull(), rest))
         .drop("_words", "_rest")
     )

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
+from evalflow.functions.literals import literal_array, literal_map
 
 
 def lookup(c: Column, mapping: Mapping[str, object], default: Column | None = None) -> Column:
@@ -18,8 +18,7 @@ def lookup(c: Column, mapping: Mapping[str, object], default: Column | None = No
     """
     if not mapping:
         return c if default is None else default
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return F.coalesce(table[c], c if default is None else default)
+    return F.coalesce(literal_map(mapping)[c], c if default is None else default)
 
 
 def normalize_recipe(c: Column) -> Column:
@@ -37,5 +36,5 @@ def acc_baseline(task: Column) -> Column:
 
 def display_rank(c: Column, order: Sequence[str]) -> Column:
     """1-based place in a display order; null for unknown values."""
-    place = F.array_position(F.array(*[F.lit(x) for x in order]), c)
+    place = F.array_position(literal_array(order), c)
     return F.nullif(place, F.lit(0).cast("long"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
+from evalflow.functions.literals import literal_array
 
 # All patterns as one alternation. Each is anchored at both ends, so the first
 # alternative that fits is the first pattern that matches, and one regex pass
@@ -24,10 +25,9 @@ def pattern_groups(run_id: Column) -> Column:
 
 def pattern_place(groups: Column) -> Column:
     """Place of the matched pattern, null when none matched."""
-    chain = F.when(F.size(groups) != _COUNT, None)
-    for place, start in enumerate(_STARTS):
-        chain = chain.when(groups[start] != "", place)
-    return chain
+    first = F.transform(literal_array(_STARTS), lambda start: F.get(groups, start) != "")
+    place = F.array_position(first, F.lit(True)) - 1
+    return F.when(F.size(groups) == _COUNT, place.cast("int"))
 
 
 def legacy_type(run_id: Column) -> Column:
@@ -41,17 +41,21 @@ def legacy_type(run_id: Column) -> Column:
 
 
 def _by_pattern(place: Column, values: list) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), place)
+    return F.get(literal_array(values), place)
 
 
 def classify_runs(df: DataFrame, run_id_col: str = "run_id") -> DataFrame:
-    """Add ``run_type`` and the metadata columns; every row gets one type. Row-local."""
+    """Add ``run_type`` and the metadata columns; every row gets one type.
+
+    Row-local. The groups come out of a one-element explode: a later filter on
+    the type is then not rewritten into copies of the regex.
+    """
     if run_id_col not in df.columns:
         raise KeyError(f"Column '{run_id_col}' not found in DataFrame")
     run_id = F.col(run_id_col)
     placed = (
         df.withColumn(run_id_col, F.coalesce(run_id.cast("string"), F.lit("None")))
-        .withColumn("_groups", pattern_groups(run_id))
+        .withColumn("_groups", F.explode(F.array(pattern_groups(run_id))))
         .withColumn("_place", pattern_place(F.col("_groups")))
     )
     place, groups = F.col("_place"), F.col("_groups")

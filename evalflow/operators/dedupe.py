@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalflow.session import settle
+
 
 def distinct_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct rows over the key columns only: a hash aggregate with map-side combine."""
@@ -53,16 +54,10 @@ def copy_paths(
 
     Long form, so a record with any number of copies never becomes one value.
     """
-    sides = [
-        df.select(
-            *keys,
-            F.lit(p).alias("role"),
-            F.col(f"`{p}`").alias("path"),
-            F.struct(*order).alias("_seen"),
-        )
-        for p in paths
-    ]
-    long = reduce(DataFrame.unionAll, sides)
+    roles = F.array(
+        *[F.struct(F.lit(p).alias("role"), F.col(f"`{p}`").alias("path")) for p in paths]
+    )
+    long = df.select(*keys, F.struct(*order).alias("_seen"), F.inline(roles))
     return long.groupBy(*keys, "role", "path").agg(F.min("_seen").alias("first_seen"))
 
 
@@ -76,8 +71,10 @@ def path_arrays(
 
     Arrays are built for keys with up to ``limit`` distinct paths per role.
     A key beyond that has null arrays and ``paths_in_table = true``: all its
-    paths are in the long form, which is never shortened.
+    paths are in the long form, which is never shortened. The long form is read
+    twice, so it is settled first.
     """
+    long = settle(long)
     sizes = long.groupBy(*keys, "role").agg(F.count(F.lit(1)).alias("_n"))
     wide = sizes.groupBy(*keys).agg(F.max("_n").alias("_n"))
     small = long.join(wide.where(F.col("_n") <= limit).select(*keys), list(keys), "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
+from evalflow.functions.literals import literal
 
 
 def last_values(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Column) -> DataFrame:
@@ -23,9 +24,8 @@ def last_values(df: DataFrame, keys: Sequence[str], values: Sequence[str], order
 
 def metric_struct(value: str, fields: Mapping[str, str] = C.SCALING_METRIC_FIELDS) -> Column:
     """Aggregate: one struct field per known metric, null when absent."""
-    return F.struct(
-        *[F.max(F.when(F.col("metric") == m, F.col(value))).alias(f) for m, f in fields.items()]
-    )
+    parts = [f"max({value}) FILTER (WHERE metric = {literal(m)}) AS {f}" for m, f in fields.items()]
+    return F.expr(f"struct({', '.join(parts)})")
 
 
 def pivot_metrics(

@@ -9,6 +9,7 @@ from evalflow import constants as C
 from evalflow.functions.paths import parent_dir, task_stem
 from evalflow.operators.dedupe import copy_paths, distinct_records, merge_copies, path_arrays
 from evalflow.operators.joins import left_join
+from evalflow.session import settle
 from evalflow.sources import files, records
 
 
@@ -78,5 +79,5 @@ def load_all_results(spark: SparkSession, roots: files.Roots, *, strict: bool =
     """The merged record tables of every results file below the roots."""
     lines = records.read_lines(spark, roots, C.RESULTS_FILE)
     index = files.artifact_index(files.discover(spark, roots, "task-*.jsonl"))
-    rows = enriched_records(directory_records(lines), index)
+    rows = settle(enriched_records(directory_records(lines), index))
     return {**merged_records(rows, strict=strict), "rejected": rejected_records(lines)}

@@ -152,15 +152,18 @@ def token_totals(df: DataFrame) -> DataFrame:
 def matched_labels(df: DataFrame) -> DataFrame:
     """Canonical comparison metric of matched runs; others keep theirs.
 
-    A frame without the column gets the label of no label, which is then
+    A missing metric counts as the label of no label, which is then
     canonicalized like any other.
     """
-    df = ops.ensure_column(df, "comparison_metric", NO_LABEL)
-    labelled = canonical_labels(df, "comparison_metric", "_label_text")
-    label = F.col("_label_text")
+    df = ops.ensure_column(df, "comparison_metric")
+    old = F.col("comparison_metric")
+    labelled = canonical_labels(
+        df.withColumn("_raw", F.coalesce(old, F.lit(NO_LABEL))), "_raw", "_label"
+    )
+    label = F.col("_label")
     if "run_type" in df.columns:
-        label = F.when(F.col("run_type") == "matched", label).otherwise(F.col("comparison_metric"))
-    return labelled.withColumn("comparison_metric", label).drop("_label_text")
+        label = F.when(F.col("run_type") == "matched", label).otherwise(old)
+    return labelled.withColumn("comparison_metric", label).drop("_raw", "_label")
 
 
 RUN_HOOKS: dict[str, Callable[[DataFrame], DataFrame]] = {"matched": matched_labels}

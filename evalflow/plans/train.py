@@ -47,11 +47,11 @@ def parse_train_results(
 ) -> DataFrame:
     """All columns of the parsed table, unsorted; one narrow pass over the input."""
     parsed = parse_metrics(df)
-    metrics = [F.col(f"_m.{old}").alias(new) for old, new in C.TRAIN_METRIC_RENAMES.items()]
+    metrics = [f"_m.{old} AS {new}" for old, new in C.TRAIN_METRIC_RENAMES.items()]
     kept = [c for c in df.columns if c not in ("metrics", "chinchilla")]
     return parsed.select(
         *kept,
-        *metrics,
+        *[F.expr(m) for m in metrics],
         normalize_recipe(F.col("data")).alias("recipe"),
         (F.col("tokens") / 1e6).alias("tokens_millions"),
         (F.col("compute") / 1e15).alias("compute_e15"),
@@ -63,8 +63,13 @@ def parse_train_results(
     )
 
 
-def sorted_train_results(df: DataFrame, **options) -> DataFrame:
-    """Parsed table in size and step order; the other keys settle ties."""
-    parsed = parse_train_results(df, **options)
-    ties = [c for c in ("data", "task", "seed") if c in parsed.columns]
-    return sorted_nulls_last(parsed, ["params_numeric", "step"], ties)
+def sorted_train_results(df: DataFrame, *, strict_sizes: bool = False, **options) -> DataFrame:
+    """Parsed table in size and step order; the other keys settle ties.
+
+    Rows are sorted before the metrics are parsed: the sort runs over its input
+    twice, once to find the range limits, and parsing then stays out of that.
+    """
+    ties = [c for c in ("data", "task", "seed") if c in df.columns]
+    sized = df.withColumn("_size", parse_size(F.col("params"), strict=strict_sizes))
+    ordered = sorted_nulls_last(sized, ["_size", "step"], ties).drop("_size")
+    return parse_train_results(ordered, strict_sizes=strict_sizes, **options)

@@ -59,7 +59,7 @@ def _line_reader(columns: list[str], batch_chars: int = 8_000_000):
                 return io.BytesIO(row["content"])
             path = row["path"]
             fs, name = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-            return fs.open_input_stream(name)
+            return fs.open_input_stream(name, compression=None)
 
         rows, size = [], 0
         for batch in batches:
