@@ -93,7 +93,7 @@ def archive_lines(spark, folder):
     lines = read_archive_lines(spark, _archived(spark, folder))
     doc = F.get_json_object("line", "$.doc_id").cast("long").alias("doc_id")
     turn = F.get_json_object("line", "$.native_id").cast("long").alias("native_id")
-    return lines.select("data", "params", "seed", "step", "task", doc, turn, F.length("line").alias("chars"))
+    return lines.select("data", "params", "seed", "step", "task", doc, turn, F.length("line").cast("long").alias("chars"))
 
 
 def archive_list(spark, folder):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 from evalflow.functions.literals import literal_array
+from evalflow.operators.columns import compute_once
 
 # All patterns as one alternation. Each is anchored at both ends, so the first
 # alternative that fits is the first pattern that matches, and one regex pass
@@ -47,17 +48,14 @@ def _by_pattern(place: Column, values: list) -> Column:
 def classify_runs(df: DataFrame, run_id_col: str = "run_id") -> DataFrame:
     """Add ``run_type`` and the metadata columns; every row gets one type.
 
-    Row-local. The groups come out of a one-element explode: a later filter on
-    the type is then not rewritten into copies of the regex.
+    Row-local: one regex pass per id, whatever is filtered or selected later.
     """
     if run_id_col not in df.columns:
         raise KeyError(f"Column '{run_id_col}' not found in DataFrame")
     run_id = F.col(run_id_col)
-    placed = (
-        df.withColumn(run_id_col, F.coalesce(run_id.cast("string"), F.lit("None")))
-        .withColumn("_groups", F.explode(F.array(pattern_groups(run_id))))
-        .withColumn("_place", pattern_place(F.col("_groups")))
-    )
+    named = df.withColumn(run_id_col, F.coalesce(run_id.cast("string"), F.lit("None")))
+    grouped = compute_once(named, {"_groups": pattern_groups(run_id)})
+    placed = compute_once(grouped, {"_place": pattern_place(F.col("_groups"))})
     place, groups = F.col("_place"), F.col("_groups")
     types = [run_type for _, run_type, _, _ in C.RUN_PATTERNS]
     columns = {"run_type": F.coalesce(_by_pattern(place, types), legacy_type(run_id))}

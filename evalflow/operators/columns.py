@@ -14,6 +14,18 @@ from evalflow.functions.lookups import lookup
 from evalflow.functions.numbers import CONVERTERS
 
 
+def compute_once(df: DataFrame, columns: Mapping[str, Column], keep: Iterable[str] | None = None) -> DataFrame:
+    """Add costly columns that later filters and projections only refer to.
+
+    Spark moves a filter below the projection that makes its column, and then
+    computes the column once for the filter and once more for the rows that pass.
+    It does not do so past a one-element ``inline``, which costs next to nothing.
+    """
+    kept = df.columns if keep is None else list(keep)
+    kept = [F.col(f"`{c}`") for c in kept if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def safe_name(name: str) -> str:
     """Word characters joined by single underscores; ``col`` when none is left."""
     return re.sub(r"[\W_]+", "_", name).strip("_") or "col"

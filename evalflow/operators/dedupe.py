@@ -16,21 +16,13 @@ def distinct_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """First row per non-null key in the given order; null keys all stay.
+    """First row per key in the given order.
 
-    Null keys take no part in the ranking, so they are a plain filter. For the
-    rest, ``row_number() = 1`` is cut in every map task before the shuffle (a
-    window group limit), so a key that holds a third of all rows sends one row
-    per task.
+    ``row_number() = 1`` is cut in every map task before the shuffle (a window
+    group limit), so a key that holds a third of all rows sends one row per task.
     """
     rank = Window.partitionBy(key).orderBy(*order)
-    ranked = (
-        df.where(F.col(key).isNotNull())
-        .withColumn("_rank", F.row_number().over(rank))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
-    return df.where(F.col(key).isNull()).unionByName(ranked)
+    return df.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
 
 
 def merge_copies(

@@ -2,108 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalflow.functions.jsontext import object_fields
+from evalflow.operators.columns import compute_once
 
 _PREFIX = "oe_eval_metrics"
-_ENTRY = "array<struct<task:string,metric:string,value:string>>"
-
-
-def _entry(task: Column, metric: Column, value: Column) -> Column:
-    return F.struct(task.alias("task"), metric.alias("metric"), value.alias("value"))
-
-
-def _fields(value: Column) -> Column:
-    """Non-null fields of a JSON object text as ``(key, value)`` entries; empty otherwise."""
-    none = F.array().cast("array<struct<key:string,value:string>>")
-    entries = F.coalesce(F.map_entries(object_fields(value)), none)
-    return F.filter(entries, lambda x: x["value"].isNotNull())
 
 
-def with_task_metrics(df: DataFrame, summary: str = "summary", out: str = "entries") -> DataFrame:
-    """Add an array of ``(task, metric, value)`` read from a summary JSON column.
+def summary_metrics(
+    df: DataFrame, summary: str = "summary", keys: Sequence[str] = ("run_id",)
+) -> DataFrame:
+    """Long table ``(keys, task, metric, value)`` from a summary JSON column; no shuffle.
 
     ``prefix/task/metric`` keys give a metric. A ``prefix/task`` key gives the
     metric ``value``, or all its fields when it is an object and comes before the
     task's other keys, which then win. Other keys and nulls are left out.
-    ``extra_metrics`` is flattened and its non-null fields win; ``task_config``
-    is dropped. Row-local: one document's keys never leave their row.
-    """
-
-    def part(e: Column, i: int) -> Column:
-        return F.get(F.split(e["key"], "/"), F.lit(i))
-
-    def whole_task(e: Column, i: Column) -> Column:
-        named_before = F.exists(
-            F.slice("_picked", F.lit(1), i),
-            lambda x: (x["task"] == e["task"]) & x["metric"].isNotNull(),
-        )
-        return e["metric"].isNull() & e["value"].startswith("{") & ~named_before
+    ``extra_metrics`` is flattened and its non-null fields win over the task's
+    other metrics; ``task_config`` is dropped.
 
-    def unfold(e: Column) -> Column:
-        return F.transform(_fields(e["value"]), lambda x: _entry(e["task"], x["key"], x["value"]))
-
-    picked = F.filter(
-        F.map_entries(object_fields(F.col(summary))),
-        lambda e: e["key"].startswith(_PREFIX)
-        & e["value"].isNotNull()
-        & F.size(F.split(e["key"], "/")).isin(2, 3),
+    A document is cut into rows where it was read. What one key has to know of
+    another is looked up in the document itself (``_m``, and ``_x`` for the few
+    values that are objects), so rows never meet again.
+    """
+    docs = compute_once(df, {"_m": object_fields(F.col(summary))}, keep=keys)
+    docs = compute_once(
+        docs, {"_x": F.map_filter("_m", lambda _, v: F.startswith(v, F.lit("{")))}, keep=[*keys, "_m"]
     )
-    df = df.withColumn(
-        "_picked", F.transform(picked, lambda e: _entry(part(e, 1), part(e, 2), e["value"]))
+    cells = (
+        docs.select(*keys, "_m", "_x", F.posexplode("_m").alias("_pos", "_key", "_value"))
+        .where(F.col("_key").startswith(_PREFIX) & F.col("_value").isNotNull())
+        .withColumn("_parts", F.split("_key", "/"))
+        .where(F.size("_parts").isin(2, 3))
     )
-    df = df.withColumns(
+    cells = cells.withColumns(
         {
-            "_opened": F.flatten(F.transform(F.filter("_picked", whole_task), unfold)),
-            "_named": F.transform(
-                F.filter("_picked", lambda e, i: ~whole_task(e, i)),
-                lambda e: _entry(e["task"], F.coalesce(e["metric"], F.lit("value")), e["value"]),
-            ),
+            "task": F.col("_parts")[1],
+            "_stem": F.concat_ws("/", F.col("_parts")[0], F.col("_parts")[1]),
+            "_name": F.get("_parts", F.lit(2)),
         }
     )
-    df = df.withColumn("_all", F.concat(_without("_opened", "_named"), F.col("_named")))
-    df = df.withColumn(
-        "_extras",
-        F.flatten(F.transform(F.filter("_all", lambda e: e["metric"] == "extra_metrics"), unfold)),
-    ).withColumn(
-        "_direct", F.filter("_all", lambda e: ~e["metric"].isin("extra_metrics", "task_config"))
+    # a whole task: an object, and no key of the task with a metric before it
+    named_before = F.exists(
+        F.slice(F.map_keys("_m"), F.lit(1), F.col("_pos")),
+        lambda k: F.startswith(k, F.concat("_stem", F.lit("/")))
+        & (F.size(F.split(k, "/")) == 3)
+        & F.col("_m")[k].isNotNull(),
     )
-    return df.withColumn(
-        out, F.concat(_without("_direct", "_extras"), F.col("_extras")).cast(_ENTRY)
-    ).drop("_picked", "_opened", "_named", "_all", "_extras", "_direct")
-
-
-def _without(entries: str, winners: str) -> Column:
-    """Entries whose task and metric are not among the winners."""
-    return F.filter(
-        entries,
-        lambda e: ~F.exists(winners, lambda w: (w["task"] == e["task"]) & (w["metric"] == e["metric"])),
+    cells = cells.withColumn(
+        "_whole", F.col("_name").isNull() & F.startswith("_value", F.lit("{")) & ~named_before
     )
-
-
-def summary_metrics(df: DataFrame, summary: str = "summary", keys: tuple[str, ...] = ("run_id",)) -> DataFrame:
-    """Long table ``(keys, task, metric, value)``; no shuffle."""
-    listed = with_task_metrics(df, summary, "_entries")
-    return listed.select(*keys, F.explode("_entries").alias("_e")).select(
-        *keys, "_e.task", "_e.metric", "_e.value"
+    opened = cells.select(
+        *keys, "_m", "_x", "task", "_stem", "_whole",
+        F.explode(
+            F.when(F.col("_whole"), object_fields(F.col("_value"))).otherwise(
+                F.create_map(F.coalesce("_name", F.lit("value")), F.col("_value"))
+            )
+        ).alias("_name", "_value"),
+    ).where(F.col("_value").isNotNull())
+    own_key = F.col("_m")[F.concat_ws("/", "_stem", "_name")]
+    opened = opened.where(~(F.col("_whole") & own_key.isNotNull()))
+
+    is_extra = F.col("_name") == "extra_metrics"
+    flat = opened.where(F.col("_name") != "task_config").select(
+        *keys, "_x", "task", "_stem", is_extra.alias("_extra"),
+        F.explode(
+            F.when(is_extra, object_fields(F.col("_value"))).otherwise(
+                F.create_map(F.col("_name"), F.col("_value"))
+            )
+        ).alias("metric", "value"),
+    )
+    extra_text = F.coalesce(
+        F.col("_x")[F.concat("_stem", F.lit("/extra_metrics"))],
+        F.get_json_object(F.col("_x")[F.col("_stem")], "$.extra_metrics"),
     )
+    stays = F.col("_extra") | F.coalesce(
+        object_fields(extra_text)[F.col("metric")].isNull(), F.lit(True)
+    )
+    return flat.where(F.col("value").isNotNull() & stays).select(*keys, "task", "metric", "value")
 
 
-def summary_task_maps(df: DataFrame, summary: str = "summary", keys: tuple[str, ...] = ("run_id",)) -> DataFrame:
-    """One row per run and task: ``metrics`` map, or ``scalar`` when only a value exists."""
-    tasks = F.array_distinct(F.transform("_entries", lambda e: e["task"]))
-    rows = with_task_metrics(df, summary, "_entries").select(
-        *keys, "_entries", F.explode(tasks).alias("task")
-    )
-    own = F.transform(
-        F.filter("_entries", lambda e: e["task"] == F.col("task")),
-        lambda e: F.struct(e["metric"].alias("key"), e["value"].alias("value")),
+def summary_task_maps(
+    df: DataFrame, summary: str = "summary", keys: Sequence[str] = ("run_id",)
+) -> DataFrame:
+    """One row per run and task: ``metrics`` map, or ``scalar`` when only a value exists.
+
+    Rows first shrink to one per metric name, so a map holds names, not rows.
+    """
+    long = summary_metrics(df, summary, keys)
+    single = long.groupBy(*keys, "task", "metric").agg(F.max("value").alias("value"))
+    maps = single.groupBy(*keys, "task").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("_map")
     )
-    rows = rows.withColumn("_map", F.map_from_entries(own))
     only_value = (F.size("_map") == 1) & F.map_contains_key("_map", "value")
-    return rows.select(
+    return maps.select(
         *keys,
         "task",
         F.when(only_value, F.col("_map")["value"]).alias("scalar"),

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
+from evalflow import schemas
 from evalflow.functions.jsontext import config_key
-from evalflow.functions.paths import parent_dir, result_slug, task_name_from_prefix
+from evalflow.functions.paths import artifact_prefix, result_slug, task_name_from_prefix
 from evalflow.operators import columns as ops
 from evalflow.operators.dedupe import first_per_key
 from evalflow.operators.joins import key_sets, left_join
@@ -113,12 +114,15 @@ def dedupe_configurations(
     """
     if not ops.drop_source_columns(exported, drop, extend=extend).columns:
         raise ValueError("No columns left after dropping path-related fields")
-    if config in exported.columns:
-        content = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(exported.columns)])
-        keyed = exported.withColumns({"_key": config_key(F.col(config), mode=key_mode), "_row": content})
-        order = [c for c in ("file_prefix", *ties) if c in exported.columns]
-        exported = first_per_key(keyed, "_key", [*order, "_row"]).drop("_key", "_row")
-    return ops.drop_source_columns(exported, drop, extend=extend).distinct()
+    if config not in exported.columns:
+        return ops.drop_source_columns(exported, drop, extend=extend).distinct()
+    # a null configuration gives a null key, so those rows need no key at all
+    with_config, without = (exported.where(F.col(config).isNotNull()), exported.where(F.col(config).isNull()))
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(exported.columns)])
+    keyed = ops.compute_once(with_config, {"_key": config_key(F.col(config), mode=key_mode), "_row": content})
+    order = [c for c in ("file_prefix", *ties) if c in exported.columns]
+    first = first_per_key(keyed, "_key", [*order, "_row"]).drop("_key", "_row")
+    return ops.drop_source_columns(without.unionByName(first), drop, extend=extend).distinct()
 
 
 def dedupe_exports(spark: SparkSession, folder: str, out: str, **options) -> DataFrame:
@@ -131,11 +135,6 @@ def dedupe_exports(spark: SparkSession, folder: str, out: str, **options) -> Dat
     return spark.read.parquet(out)
 
 
-def _claimed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Artifact rows under each results directory that claims their file."""
-    return rows.join(found.select("path", "results_dir"), "path")
-
-
 def run_export(
     spark: SparkSession,
     roots: files.Roots,
@@ -151,8 +150,9 @@ def run_export(
 
     ``work`` is a shared folder for landed artifacts. JSON is parsed once, into
     Parquet, and each later step reads only the columns it needs from there.
-    Directories that are already finished are skipped unless ``force``; a bad
-    line goes to the quarantine table and stops nothing.
+    Each line belongs to every directory that claims its file. Directories that
+    are already finished are skipped unless ``force``; a bad line goes to the
+    quarantine table and stops nothing.
     """
     root = files.root_list(roots)[0]
     found = files.manifest(spark, roots)
@@ -171,20 +171,17 @@ def run_export(
     )
     todo = found.join(status.where("status = 'processed'").select("slug"), "slug", "left_semi")
 
-    lines = {a: records.read_lines(spark, roots, f"*-{a}.jsonl") for a in C.DOC_ARTIFACTS}
-    lines["metrics"] = records.read_lines(spark, roots, C.RESULTS_FILE)
-    landed = {}
-    for name, text in lines.items():
-        write_table(text.join(todo.select("path").distinct(), "path", "left_semi"), f"{work}/lines/{name}")
-        text = spark.read.parquet(f"{work}/lines/{name}")
-        rows = records.typed_lines(text, records.schemas.ARTIFACTS[name])
+    landed, quarantine = {}, []
+    globs = {**{a: f"*-{a}.jsonl" for a in C.DOC_ARTIFACTS}, "metrics": C.RESULTS_FILE}
+    for name, glob in globs.items():
+        wanted = todo.where(F.col("artifact") == ("metrics-all" if name == "metrics" else name))
+        lines = records.read_lines(spark, roots, glob).join(wanted.select("path", "results_dir"), "path")
+        rows = records.landed_lines(lines, schemas.ARTIFACTS[name])
         if name != "metrics":
-            rows = rows.withColumn("file_prefix", records.artifact_prefix(F.col("path"), name))
-            rows = _claimed(rows, todo)
-        else:
-            rows = rows.withColumn("results_dir", parent_dir(F.col("path")))
-        landed[name] = cut_lineage(spark, rows, f"{work}/rows/{name}")
-        write_table(records.bad_lines(text).withColumn("artifact", F.lit(name)), f"{work}/quarantine/{name}")
+            rows = rows.withColumn("file_prefix", artifact_prefix(F.col("path"), name))
+        rows = cut_lineage(spark, rows, f"{work}/rows/{name}")
+        landed[name] = records.good_rows(rows)
+        quarantine.append(records.quarantined(rows).withColumn("artifact", F.lit(name)))
 
     wide = export_documents(
         landed["predictions"], landed["recorded-inputs"], landed["requests"], landed["metrics"], doc_id=doc_id
@@ -196,10 +193,9 @@ def run_export(
         f"{out}/manifest",
         partition_by=("slug",),
     )
-    quarantine = ops.union_by_name(*[spark.read.parquet(f"{work}/quarantine/{n}") for n in lines])
     return {
         "data": spark.read.parquet(f"{out}/data"),
         "manifest": spark.read.parquet(f"{out}/manifest"),
         "status": status,
-        "quarantine": quarantine,
+        "quarantine": ops.union_by_name(*quarantine),
     }

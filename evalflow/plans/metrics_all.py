@@ -7,25 +7,25 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 from evalflow.functions.paths import parent_dir, task_stem
+from evalflow.operators.columns import compute_once
 from evalflow.operators.dedupe import copy_paths, distinct_records, merge_copies, path_arrays
 from evalflow.operators.joins import left_join
 from evalflow.session import settle
 from evalflow.sources import files, records
 
 
+RECORD = ("canon", "task_name", "task_idx", "task_file_stem")
+
+
 def with_task(rows: DataFrame) -> DataFrame:
-    """Add task name, index and stem read from the canonical record."""
-    v = F.try_parse_json("canon")
-    idx = F.try_variant_get(v, "$.task_idx", "variant")
-    whole = F.schema_of_variant(idx) == "BIGINT"
-    name = F.try_variant_get(v, "$.task_name", "variant")
-    text = F.when(F.schema_of_variant(name) == "STRING", F.try_variant_get(v, "$.task_name", "string"))
-    return rows.withColumns(
-        {
-            "task_name": text,
-            "task_idx": F.when(whole, F.try_variant_get(v, "$.task_idx", "int")),
-        }
-    ).withColumn("task_file_stem", task_stem(F.col("task_idx"), F.col("task_name")))
+    """Add task name, index and file stem read from the canonical record."""
+    fields = F.from_json("canon", "task_name variant, task_idx variant")
+    parsed = compute_once(rows, {"_f": fields})
+    name, idx = F.col("_f.task_name"), F.col("_f.task_idx")
+    text = F.when(F.schema_of_variant(name) == "STRING", F.try_variant_get(name, "$", "string"))
+    whole = F.when(F.schema_of_variant(idx) == "BIGINT", F.try_variant_get(idx, "$", "int"))
+    named = compute_once(parsed, {"task_name": text, "task_idx": whole}, keep=rows.columns)
+    return named.withColumn("task_file_stem", task_stem(F.col("task_idx"), F.col("task_name")))
 
 
 def directory_records(lines: DataFrame) -> DataFrame:
@@ -66,13 +66,16 @@ def merged_records(rows: DataFrame, *, strict: bool = False) -> dict[str, DataFr
     ``strict`` the recorded-inputs path counts as content, so copies in two
     directories that hold that file stay apart.
     """
-    keys = ["canon", *(["recorded-inputs"] if strict else [])]
+    keys = [*RECORD, *(["recorded-inputs"] if strict else [])]
     paths = [p for p in C.PATH_COLUMNS if p not in keys]
     rows = rows.withColumns({"_dir": F.col("result_dir"), "_file": F.col("eval_results_path")})
     order = ["_dir", "_file"]
-    merged = with_task(merge_copies(rows, keys, order, paths))
-    long = copy_paths(rows, keys, order, paths)
-    return {"records": merged, "paths": long, "arrays": path_arrays(long, keys, paths)}
+    content = [k for k in keys if k not in RECORD[1:]]
+    return {
+        "records": merge_copies(rows, keys, order, paths),
+        "paths": (long := copy_paths(rows, content, order, paths)),
+        "arrays": path_arrays(long, content, paths),
+    }
 
 
 def load_all_results(spark: SparkSession, roots: files.Roots, *, strict: bool = False) -> dict[str, DataFrame]:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when a later step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A side already partitioned by some of the join keys stays where it is: the
+    # export then moves each artifact once.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from evalflow import schemas
 from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import artifact_prefix
+from evalflow.operators.columns import compute_once
 from evalflow.sources.files import Roots, check_roots, plain_path
 
 
@@ -39,28 +40,59 @@ def read_documents(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
     )
 
 
-def is_object(line: Column) -> Column:
-    """True when the text is a JSON object."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(line)).startswith("OBJECT"), F.lit(False))
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their JSON value ``v`` (null when the text is no JSON), parsed once."""
+    return compute_once(lines, {"v": F.try_parse_json("line")})
+
+
+def is_object(v: Column) -> Column:
+    """True when a parsed value is a JSON object."""
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """Quarantine table ``(path, line, reason, at)`` of lines that are no JSON object."""
-    reason = F.when(F.try_parse_json("line").isNull(), F.lit("not JSON")).otherwise(F.lit("no object"))
-    return lines.where(~is_object(F.col("line"))).select(
+    reason = F.when(F.col("v").isNull(), F.lit("not JSON")).otherwise(F.lit("no object"))
+    return parsed_lines(lines).where(~is_object(F.col("v"))).select(
         "path", "line", reason.alias("reason"), F.current_timestamp().alias("at")
     )
 
 
-def typed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """``path`` and the declared fields; absent fields are null, bad lines are left out."""
-    return (
-        lines.where(is_object(F.col("line")))
-        .select("path", F.from_json("line", schema).alias("_r"))
-        .select("path", "_r.*")
+def landed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """All columns of ``lines`` but the text, the declared fields, ``bad_line`` and ``reason``.
+
+    Absent fields are null. A line that is no JSON object keeps its text in
+    ``bad_line``, so one pass over the text yields both rows and quarantine. The
+    typed reader alone would also take a line with rubbish behind its object.
+    """
+    kept = [c for c in lines.columns if c != "line"]
+    parsed = parsed_lines(lines)
+    reason = F.when(F.col("v").isNull(), F.lit("not JSON")).when(~is_object(F.col("v")), F.lit("no object"))
+    judged = compute_once(parsed, {"reason": reason}, keep=[*kept, "line"])
+    good = F.when(F.col("reason").isNull(), F.col("line"))
+    return judged.select(
+        *kept,
+        F.from_json(good, schema).alias("_r"),
+        F.when(F.col("reason").isNotNull(), F.col("line")).alias("bad_line"),
+        "reason",
+    ).select(*kept, "_r.*", "bad_line", "reason")
+
+
+def good_rows(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col("reason").isNull()).drop("bad_line", "reason")
+
+
+def quarantined(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col("reason").isNotNull()).select(
+        "path", F.col("bad_line").alias("line"), "reason", F.current_timestamp().alias("at")
     )
 
 
+def typed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared fields of all good lines beside the other columns of ``lines``."""
+    return good_rows(landed_lines(lines, schema))
+
+
 def read_artifact(
     spark: SparkSession, roots: Roots, artifact: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -77,9 +109,7 @@ def read_json_artifact(
     """One row per ``*-<artifact>.json`` document; ``doc_id`` is a null text."""
     lines = read_documents(spark, roots, f"*-{artifact}.json")
     if schema is None and artifact not in schemas.ARTIFACTS:
-        rows = lines.where(is_object(F.col("line"))).select(
-            "path", F.try_parse_json("line").alias(artifact)
-        )
+        rows = parsed_lines(lines).where(is_object(F.col("v"))).select("path", F.col("v").alias(artifact))
     else:
         rows = typed_lines(lines, schema or schemas.ARTIFACTS[artifact])
     return rows.withColumns(
@@ -92,7 +122,9 @@ def read_json_artifact(
 
 def canonical_records(lines: DataFrame) -> DataFrame:
     """``(path, canon)`` of the JSON objects, keys sorted at every level."""
-    return lines.where(is_object(F.col("line"))).select("path", canonical_json(F.col("line")).alias("canon"))
+    texts = compute_once(lines, {"canon": canonical_json(F.col("line"))}, keep=["path"])
+    # a JSON text that starts with a brace is an object
+    return texts.where(F.startswith("canon", F.lit("{")))
 
 
 def field_names(df: DataFrame, column: str) -> DataFrame:

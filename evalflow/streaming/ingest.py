@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from evalflow import constants as C
 from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import parent_dir
+from evalflow.operators.columns import compute_once
 from evalflow.plans.runs import classification_log, classified
 from evalflow.sinks.tables import write_table
 from evalflow.sources.files import Roots, check_roots, plain_path
@@ -43,8 +44,8 @@ def stream_records(lines: DataFrame, *, within: str | None = None) -> DataFrame:
     ``within`` (such as ``"30 days"``) it is bounded: records are compared with
     those whose files were modified that close. The batch job is exact either way.
     """
-    rows = lines.withColumn("canon", canonical_json(F.col("line"))).where(F.col("canon").isNotNull())
-    rows = rows.withColumns(
+    texts = compute_once(lines, {"canon": canonical_json(F.col("line"))})
+    rows = texts.where(F.startswith("canon", F.lit("{"))).withColumns(
         {"results_dir": parent_dir(F.col("path")), "digest": F.sha2("canon", 256)}
     ).drop("line")
     if within:
