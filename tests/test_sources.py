@@ -1,0 +1,230 @@
+import io
+import json
+import tarfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from evalflow.plans import export, metrics_all, tables as table_plans
+from evalflow.sinks import tables as sinks
+from evalflow.sources import archives, files, records, tables
+from evalflow.streaming import ingest
+
+TASK = "task-002-boolq:mc::olmes"
+
+
+def put(path, *rows):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in rows))
+
+
+@pytest.fixture
+def dump(tmp_path):
+    """Two directories below ``_eval_results``, one with a nested results directory."""
+    root = tmp_path / "dump" / "_eval_results"
+    metrics = {"task_name": "boolq", "task_idx": 2, "task_config": {"k": 1, "task_name": "boolq"}, "metrics": {"acc": 1}}
+    put(root / "run1" / "metrics-all.jsonl", metrics, metrics, "broken", {"task_name": "mmlu"})
+    put(root / "run1" / f"{TASK}-predictions.jsonl", {"doc_id": 0, "native_id": "q/1", "model_output": [{"a": 1}]}, {"doc_id": 1, "native_id": 7})
+    put(root / "run1" / f"{TASK}-recorded-inputs.jsonl", {"doc_id": 0, "task_name": "boolq", "doc": {"q": "é"}})
+    put(root / "run1" / f"{TASK}-requests.jsonl", {"doc_id": 0, "idx": 0, "task_name": "boolq"}, {"doc_id": 0, "idx": 1, "task_name": "boolq"})
+    put(root / "run2" / "metrics-all.jsonl", metrics)
+    put(root / "run2" / "inner" / "metrics-all.jsonl", {"task_name": "x"})
+    put(root / "run2" / "inner" / "task-001-x-predictions.jsonl", {"doc_id": 5})
+    put(root / "run2" / "inner" / "task-001-x-metrics.json", {"task_name": "x"})
+    return root
+
+
+def test_manifest(spark, dump):
+    found = {(r["results_dir"].rsplit("/_eval_results/")[1], r["artifact"], r["path"].rsplit("/", 1)[1]) for r in files.manifest(spark, dump).collect()}
+    assert found == {
+        ("run1", "metrics-all", "metrics-all.jsonl"),
+        ("run1", "predictions", f"{TASK}-predictions.jsonl"),
+        ("run1", "recorded-inputs", f"{TASK}-recorded-inputs.jsonl"),
+        ("run1", "requests", f"{TASK}-requests.jsonl"),
+        ("run2", "metrics-all", "metrics-all.jsonl"),
+        ("run2/inner", "metrics-all", "metrics-all.jsonl"),
+        ("run2/inner", "predictions", "task-001-x-predictions.jsonl"),
+        ("run2", "predictions", "task-001-x-predictions.jsonl"),
+    }
+    five = files.manifest(spark, str(dump), artifacts=("predictions", "recorded-inputs", "requests", "config", "metrics"))
+    assert five.where("artifact = 'metrics'").count() == 2
+
+
+def test_roots(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        files.discover(spark, tmp_path / "absent", "*")
+    put(tmp_path / "file.txt", "x")
+    with pytest.raises(NotADirectoryError):
+        files.discover(spark, [str(tmp_path / "file.txt")], "*")
+    with pytest.raises(ValueError):
+        files.root_list(5)
+
+
+def test_export_job(spark, dump, tmp_path):
+    out, work = str(tmp_path / "out"), str(tmp_path / "work")
+    job = export.run_export(spark, dump, out, f"{work}1", slug_prefix="nov_")
+    rows = job["data"].where("slug = 'nov_run1'").collect()
+    assert {(r["doc_id"], r["idx"]) for r in rows} == {(0, None), (0, 0), (0, 1), (1, None)}
+    # the record stands twice in the results file, and the export does not merge rows
+    assert len(rows) == 8
+    first = next(r for r in rows if r["doc_id"] == 0)
+    assert first["prd_native_id"] == '"q/1"' and first["prd_model_output"] == '[{"a":1}]'
+    assert first["met_task_config"] == '{"k":1,"task_name":"boolq"}' and first["met_task_idx"] == 2
+    assert first["rin_doc"] == '{"q":"é"}'
+    both = {r["slug"] for r in job["data"].where("doc_id = 5").collect()}
+    assert both == {"nov_run2", "nov_run2__inner"}
+    assert [r["line"] for r in job["quarantine"].collect()] == ["broken"]
+    assert {r["status"] for r in job["status"].collect()} == {"processed"}
+
+    again = export.run_export(spark, dump, out, f"{work}2", slug_prefix="nov_")
+    assert {tuple(r) for r in sinks.status_counts(again["status"]).collect()} == {("skipped", 3)}
+    assert again["data"].count() == job["data"].count()
+    put(dump / "run3" / "metrics-all.jsonl", {"task_name": "n"})
+    put(dump / "run3" / "task-000-n-predictions.jsonl", {"doc_id": 9})
+    third = export.run_export(spark, dump, out, f"{work}3", slug_prefix="nov_")
+    assert {tuple(r) for r in sinks.status_counts(third["status"]).collect()} == {("skipped", 3), ("processed", 1)}
+    total = third["data"].count()
+    forced = export.run_export(spark, dump, out, f"{work}4", slug_prefix="nov_", force=True)
+    assert forced["data"].count() == total
+
+    one = export.run_export(spark, dump, str(tmp_path / "one"), f"{work}5", doc_id=0, wanted_dirs=[str(dump / "run1")])
+    assert {r["doc_id"] for r in one["data"].collect()} == {0}
+    assert {(r["slug"], r["doc_id_filter"]) for r in one["manifest"].collect()} == {("run1__doc0", 0)}
+    with pytest.raises(FileNotFoundError):
+        export.run_export(spark, dump, out, f"{work}6", wanted_dirs=["/none"])
+
+    deduped = export.dedupe_exports(spark, f"{out}/data", str(tmp_path / "deduped"))
+    assert deduped.where("met_task_config is not null").count() == 1
+    assert "file_prefix" not in deduped.columns and "results_dir" not in deduped.columns
+    with pytest.raises(ValueError, match="outside"):
+        export.dedupe_exports(spark, f"{out}/data", f"{out}/data/deduped")
+
+
+def test_load_all_results(spark, dump):
+    loaded = metrics_all.load_all_results(spark, dump)
+    merged = {r["task_name"]: r for r in loaded["records"].collect()}
+    assert merged["boolq"]["copies"] == 2 and merged["boolq"]["task_file_stem"] == "task-002-boolq"
+    assert loaded["rejected"].count() == 1
+    arrays = loaded["arrays"].join(loaded["records"].where("task_name = 'boolq'"), "canon").first()
+    assert [p.rsplit("/", 1)[1] for p in arrays["all_result_dir"]] == ["run1", "run2"]
+
+
+def test_json_documents(spark, dump):
+    rows = records.read_json_artifact(spark, dump, "metrics").collect()
+    assert [(r["file_prefix"], r["doc_id"], r["task_name"]) for r in rows] == [("task-001-x", None, "x")]
+    preds = records.read_artifact(spark, dump, "predictions")
+    assert {r["file_prefix"] for r in preds.collect()} == {TASK, "task-001-x"}
+    lines = records.read_lines(spark, dump, "metrics-all.jsonl")
+    assert {r["field"] for r in records.unknown_fields(lines, "line", ["task_name", "task_idx"]).collect()} == {"task_config", "metrics"}
+    assert "task_name: STRING" in records.json_shape(lines.where("line not like 'broken%'"), "line").first()["shape"]
+
+
+def pack(path, members):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with tarfile.open(path, "w:gz") as archive:
+        for name, text in members.items():
+            data = text.encode()
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            archive.addfile(info, io.BytesIO(data))
+
+
+def test_archives(spark, tmp_path):
+    pack(tmp_path / "c4" / "4M" / "seed-2" / "b.tar.gz", {"m/step-10/boolq.jsonl": '{"a":1}\n\n{"a":2}\n', "m/readme.txt": "no"})
+    pack(tmp_path / "c4" / "4M" / "seed-2" / "a.tar.gz", {"m/step-20/arc.jsonl": '{"é":3}'})
+    pack(tmp_path / "c4" / "1B" / "seed-0" / "a.tar.gz", {"m/step-1/arc.jsonl": '{"a":4}'})
+    expected = {
+        ("c4", "4M", 2, 10, "boolq", 0, '{"a":1}'), ("c4", "4M", 2, 10, "boolq", 2, '{"a":2}'),
+        ("c4", "4M", 2, 20, "arc", 0, '{"é":3}'), ("c4", "1B", 0, 1, "arc", 0, '{"a":4}'),
+    }
+    for stream in (False, True):
+        lines = archives.read_archive_lines(spark, str(tmp_path), stream=stream)
+        assert {tuple(r) for r in lines.select("data", "params", "seed", "step", "task", "line_no", "line").collect()} == expected
+    listed = archives.list_archives(spark, str(tmp_path), "c4", "4M", 2).orderBy("path").collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in listed] == ["a.tar.gz", "b.tar.gz"]
+    assert archives.list_archives(spark, str(tmp_path), "c4", "4M", 9).count() == 0
+
+
+def test_tables(spark, tmp_path):
+    folder = tmp_path / "cache"
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(str(folder / "one.parquet"))
+    spark.createDataFrame([(2, 3)], "a int, c int").write.parquet(str(folder / "two.parquet"))
+    paths = [str(folder / "one.parquet"), str(folder / "two.parquet")]
+    assert list(tables.read_tables(spark, paths)) == ["one", "two"]
+    with pytest.raises(FileNotFoundError):
+        tables.read_shards(spark, [*paths, str(folder / "no.parquet")])
+    merged = tables.merge_as_text(list(tables.read_tables(spark, paths).values()))
+    assert {tuple(r) for r in merged.collect()} == {("1", "x", None), ("2", None, "3")}
+    put(tmp_path / "x.csv", "Created Date,Borough", "2020-01-02,MANHATTAN", "2020-02-03,BRONX")
+    view = tables.read_csv_view(spark, str(tmp_path / "x.csv"), "requests_view")
+    assert view.columns == ["Created Date", "Borough"] and spark.table("requests_view").count() == 2
+    put(tmp_path / "runs.jsonl", {"run_id": "a", "config": "{}"})
+    target = str(tmp_path / "runs.parquet")
+    assert tables.json_to_parquet(spark, str(tmp_path / "runs.jsonl"), target).count() == 1
+    put(tmp_path / "runs.jsonl", {"run_id": "a"}, {"run_id": "b"})
+    assert tables.json_to_parquet(spark, str(tmp_path / "runs.jsonl"), target).count() == 1
+    with pytest.raises(FileNotFoundError):
+        sinks.publish(spark, {"one": paths[0], "no": str(folder / "no.parquet")}, str(tmp_path / "pub"))
+    assert not (tmp_path / "pub").exists()
+    sinks.publish(spark, {"one": paths[0]}, str(tmp_path / "pub"))
+    assert spark.read.parquet(str(tmp_path / "pub" / "one")).count() == 1
+    sinks.write_text_table(spark.createDataFrame([((1,),)], "s struct<a:int>"), str(tmp_path / "text"))
+    assert spark.read.parquet(str(tmp_path / "text")).first()["s"] == '{"a":1}'
+    assert "train_results" in tables.table_paths("/d")
+
+
+def test_whole_table_jobs(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    fits = [("3_param-default", "C4", "t", "acc_raw", 1.0, 2.0, 3.0, 4.0, 5.0), ("3_param-default", "C4", "t", "margin", 1.0, 2.0, 3.0, 4.0, 6.0)]
+    spark.createDataFrame(
+        fits, "setup string, mix string, task string, metric string, step_1_y double, step_1_pred double, step_2_y double, step_2_pred double, stacked_pred double"
+    ).coalesce(1).write.parquet(str(source / "data" / "scaling_law_fit-00000-of-00001.parquet"))
+    with pytest.raises(FileNotFoundError):
+        table_plans.parse_scaling(spark, str(source), out)
+    spark.range(3).write.parquet(str(source / "data" / "macro_avg-00000-of-00001.parquet"))
+    done = table_plans.parse_scaling(spark, str(source), out, target=str(tmp_path / "pub"))
+    assert done["macro_avg.parquet"].count() == 3
+    two = done["scaling_law_pred_two_step.parquet"].first()
+    assert two["id"] == 0 and two["pred_task_metrics"]["margin_raw"] == 6.0
+    assert spark.read.parquet(str(tmp_path / "pub" / "scaling_law_true.parquet")).count() == 1
+
+    from evalflow import schemas
+
+    shard = str(tmp_path / "train.parquet")
+    spark.createDataFrame([("1B", "C4", "boolq", 1, "default", "c", 1e6, 1e15, "{'acc_raw': 0.5}")], schemas.TRAIN_INPUT).write.parquet(shard)
+    parsed = table_plans.parse_train(spark, [shard], out).first()
+    assert (parsed["acc_baseline"], parsed["recipe"], parsed["metrics_acc_raw"]) == (0.5, "c4", 0.5)
+
+
+def test_incremental_ingest(spark, tmp_path):
+    root, out = tmp_path / "_eval_results", str(tmp_path / "out")
+    put(root / "r1" / "metrics-all.jsonl", {"b": 1, "a": 2}, "broken")
+    ingest.ingest_new_files(spark, root, out).awaitTermination()
+    put(root / "r2" / "metrics-all.jsonl", {"c": 1})
+    ingest.ingest_new_files(spark, root, out).awaitTermination()
+    ingest.ingest_new_files(spark, root, out).awaitTermination()
+    read = spark.read.parquet(f"{out}/records")
+    assert sorted(r["canon"] for r in read.collect()) == ['{"a":2,"b":1}', '{"c":1}']
+    assert spark.read.parquet(f"{out}/quarantine").count() == 1
+
+
+@pytest.mark.parametrize("within", [None, "30 days"])
+def test_stream_dedupe(spark, tmp_path, within):
+    root, out = tmp_path / "_r", str(tmp_path / "out")
+    put(root / "r1" / "metrics-all.jsonl", {"b": 1, "a": 2}, {"a": 2, "b": 1.0}, "[1]")
+    put(root / "r2" / "metrics-all.jsonl", {"b": 1, "a": 2})
+    kept = ingest.stream_records(ingest.stream_lines(spark, root, files_per_batch=1), within=within)
+    query = kept.select("results_dir", "canon").writeStream.format("parquet").option("checkpointLocation", f"{out}/p").trigger(availableNow=True).start(f"{out}/d")
+    query.awaitTermination()
+    got = sorted(r["results_dir"].rsplit("/", 1)[1] for r in spark.read.parquet(f"{out}/d").collect())
+    assert got == ["r1", "r2"]
+
+
+def test_classify_stream(spark, tmp_path):
+    ids = ["2025_08_21-08_24_43_e_DD-c4-1B_Ft_--learning_rate=5e-05", "x_main_default", "junk"]
+    spark.createDataFrame([(i,) for i in ids], "run_id string").write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    ingest.classify_stream(spark.readStream.schema("run_id string").parquet(str(tmp_path / "in")), out).awaitTermination()
+    assert spark.read.parquet(f"{out}/classification_log").count() == 3
+    assert {r["run_type"] for r in spark.read.parquet(f"{out}/runs").collect()} == {"simple_ft", "other"}
+    assert spark.read.parquet(f"{out}/runs").where(F.col("run_type") == "simple_ft").first()["lr"] == "5e-05"
