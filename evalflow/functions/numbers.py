@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def to_number(c: Column) -> Column:
     """Double, or null when the text is no number."""
-    return c.cast("string").try_cast("double")
+    return c.try_cast("double")
 
 
 def parse_size(c: Column, *, strict: bool = False) -> Column:
@@ -37,26 +37,27 @@ def token_count(c: Column) -> Column:
     here is ours: M is 1e6, B and G are 1e9, a trailing ``t`` is ignored.
     """
     text = F.trim(c.cast("string"))
-    digits = F.nullif(F.regexp_extract(text, r"^(\d+)([MBG]?)t?$", 1), F.lit(""))
-    unit = F.regexp_extract(text, r"^(\d+)([MBG]?)t?$", 2)
-    scale = F.when(unit == "M", F.lit(1e6)).when(unit.isin("B", "G"), F.lit(1e9)).otherwise(1.0)
-    return F.coalesce(digits.try_cast("double") * scale, text.try_cast("double"))
+    body = F.rtrim(text, F.lit("t"))
+    scale = F.when(body.endswith("M"), F.lit(1e6)).when(body.rlike("[BG]$"), F.lit(1e9))
+    scaled = F.left(body, F.length(body) - 1).try_cast("double") * scale
+    counted = text.rlike(r"^\d+[MBG]?t?$")
+    return F.when(counted, F.when(scale.isNull(), body.try_cast("double")).otherwise(scaled)).otherwise(
+        text.try_cast("double")
+    )
 
 
 def parse_timestamp(c: Column) -> Column:
     """``2025_08_21-08_24_43`` or ``250821-082443``; null when neither fits.
 
-    Two-digit years from 69 on belong to the 1900s.
+    Two-digit years from 69 on belong to the 1900s. Text of another form is not
+    handed to the parser, whose failures are slow.
     """
     text = c.cast("string")
-    short = F.try_to_timestamp(text, F.lit("yyMMdd-HHmmss"))
-    short = F.when(
-        F.year(short) >= 2069, short - F.expr("INTERVAL 100 YEARS")
-    ).otherwise(short)
-    return F.when(
-        F.contains(text, F.lit("_")),
-        F.try_to_timestamp(text, F.lit("yyyy_MM_dd-HH_mm_ss")),
-    ).otherwise(short)
+    century = F.when(F.left(text, F.lit(2)) >= "69", F.lit("19")).otherwise(F.lit("20"))
+    digits = F.when(
+        text.rlike(r"^\d{4}_\d{2}_\d{2}-\d{2}_\d{2}_\d{2}$"), F.replace(text, F.lit("_"), F.lit(""))
+    ).when(text.rlike(r"^\d{6}-\d{6}$"), F.concat(century, text))
+    return F.try_to_timestamp(digits, F.lit("yyyyMMdd-HHmmss"))
 
 
 CONVERTERS = {

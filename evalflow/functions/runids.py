@@ -10,25 +10,38 @@ from evalflow.functions.literals import literal_array
 from evalflow.operators.columns import compute_once
 
 # All patterns as one alternation. Each is anchored at both ends, so the first
-# alternative that fits is the first pattern that matches, and one regex pass
-# gives its groups. Every pattern starts with a group that is never empty.
+# alternative that fits is the first pattern that matches.
 _ANY_PATTERN = "|".join(regex for _, _, regex, _ in C.RUN_PATTERNS)
-_COUNT = sum(len(names) for _, _, _, names in C.RUN_PATTERNS)
-_STARTS = [sum(len(n) for _, _, _, n in C.RUN_PATTERNS[:i]) for i in range(len(C.RUN_PATTERNS))]
-_BREAK = "\u0001"
+_FIELDS = C.RUN_METADATA[:-1]
+_BREAK, _NEXT = "\u0001", "\u0002"
 
 
-def pattern_groups(run_id: Column) -> Column:
-    """Groups of all patterns in order, blank but for the matched one; one element if none matches."""
-    every = _BREAK.join(f"${i + 1}" for i in range(_COUNT))
-    return F.split(F.regexp_replace(run_id, _ANY_PATTERN, every), _BREAK)
+def _replacement() -> str:
+    """Text that lists the value of each field, then marks the matched pattern.
+
+    Groups of patterns that did not match are blank, so all groups of a field side
+    by side are its value. The mark is a row of separators, one per pattern, with
+    the matched pattern's first group, which is never blank, in its place.
+    """
+    groups = [name for _, _, _, names in C.RUN_PATTERNS for name in names]
+    values = ["".join(f"${i + 1}" for i, g in enumerate(groups) if g == field) for field in _FIELDS]
+    firsts, seen = [], 1
+    for _, _, _, names in C.RUN_PATTERNS:
+        firsts.append(f"${seen}")
+        seen += len(names)
+    return _BREAK.join([*values, _NEXT.join(firsts)])
+
+
+def pattern_parts(run_id: Column) -> Column:
+    """Field values and the pattern mark from one regex pass; a single part if none matches."""
+    return F.split(F.regexp_replace(run_id, _ANY_PATTERN, _replacement()), _BREAK)
 
 
-def pattern_place(groups: Column) -> Column:
+def pattern_place(parts: Column) -> Column:
     """Place of the matched pattern, null when none matched."""
-    first = F.transform(literal_array(_STARTS), lambda start: F.get(groups, start) != "")
-    place = F.array_position(first, F.lit(True)) - 1
-    return F.when(F.size(groups) == _COUNT, place.cast("int"))
+    mark = F.get(parts, F.lit(len(_FIELDS)))
+    before = F.length(mark) - F.length(F.ltrim(mark, F.lit(_NEXT)))
+    return F.when(F.size(parts) == len(_FIELDS) + 1, before)
 
 
 def legacy_type(run_id: Column) -> Column:
@@ -54,17 +67,13 @@ def classify_runs(df: DataFrame, run_id_col: str = "run_id") -> DataFrame:
         raise KeyError(f"Column '{run_id_col}' not found in DataFrame")
     run_id = F.col(run_id_col)
     named = df.withColumn(run_id_col, F.coalesce(run_id.cast("string"), F.lit("None")))
-    grouped = compute_once(named, {"_groups": pattern_groups(run_id)})
-    placed = compute_once(grouped, {"_place": pattern_place(F.col("_groups"))})
-    place, groups = F.col("_place"), F.col("_groups")
+    parted = compute_once(named, {"_parts": pattern_parts(run_id)})
+    placed = compute_once(parted, {"_place": pattern_place(F.col("_parts"))})
+    place = F.col("_place")
     types = [run_type for _, run_type, _, _ in C.RUN_PATTERNS]
+    names = [name for name, _, _, _ in C.RUN_PATTERNS]
     columns = {"run_type": F.coalesce(_by_pattern(place, types), legacy_type(run_id))}
-    for field in C.RUN_METADATA[:-1]:
-        # the field's group among all groups, per pattern; -1 finds nothing
-        spots = [
-            start + names.index(field) if field in names else -1
-            for start, (_, _, _, names) in zip(_STARTS, C.RUN_PATTERNS)
-        ]
-        columns[field] = F.get(groups, _by_pattern(place, spots))
-    columns["pattern_name"] = _by_pattern(place, [name for name, _, _, _ in C.RUN_PATTERNS])
-    return placed.withColumns(columns).drop("_place", "_groups")
+    for i, field in enumerate(_FIELDS):
+        columns[field] = F.when(place.isNotNull(), F.nullif(F.col("_parts")[i], F.lit("")))
+    columns["pattern_name"] = _by_pattern(place, names)
+    return placed.withColumns(columns).drop("_place", "_parts")

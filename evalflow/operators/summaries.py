@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalflow.functions.jsontext import object_fields
@@ -25,19 +25,21 @@ def summary_metrics(
     other metrics; ``task_config`` is dropped.
 
     A document is cut into rows where it was read. What one key has to know of
-    another is looked up in the document itself (``_m``, and ``_x`` for the few
-    values that are objects), so rows never meet again.
+    another travels with it: ``_x`` holds the few values that are objects, ``_k``
+    the key names, and only where a document has a whole task as an object.
+    Rows never meet again.
     """
     docs = compute_once(df, {"_m": object_fields(F.col(summary))}, keep=keys)
-    docs = compute_once(
-        docs, {"_x": F.map_filter("_m", lambda _, v: F.startswith(v, F.lit("{")))}, keep=[*keys, "_m"]
-    )
-    cells = (
-        docs.select(*keys, "_m", "_x", F.posexplode("_m").alias("_pos", "_key", "_value"))
-        .where(F.col("_key").startswith(_PREFIX) & F.col("_value").isNotNull())
-        .withColumn("_parts", F.split("_key", "/"))
-        .where(F.size("_parts").isin(2, 3))
-    )
+    objects = F.map_filter("_m", lambda _, v: F.startswith(v, F.lit("{")))
+    docs = compute_once(docs, {"_x": objects}, keep=[*keys, "_m"])
+    has_whole = F.exists(F.map_keys("_x"), lambda k: F.size(F.split(k, "/")) == 2)
+    names = F.map_keys(F.map_filter("_m", lambda _, v: v.isNotNull()))
+    docs = compute_once(docs, {"_k": F.when(has_whole, names)})
+    cells = docs.select(*keys, "_x", "_k", F.explode("_m").alias("_key", "_value"))
+    cells = compute_once(
+        cells.where(F.col("_key").startswith(_PREFIX) & F.col("_value").isNotNull()),
+        {"_parts": F.split("_key", "/")},
+    ).where(F.size("_parts").isin(2, 3))
     cells = cells.withColumns(
         {
             "task": F.col("_parts")[1],
@@ -46,43 +48,49 @@ def summary_metrics(
         }
     )
     # a whole task: an object, and no key of the task with a metric before it
+    place = F.array_position("_k", F.col("_key")).cast("int")
     named_before = F.exists(
-        F.slice(F.map_keys("_m"), F.lit(1), F.col("_pos")),
-        lambda k: F.startswith(k, F.concat("_stem", F.lit("/")))
-        & (F.size(F.split(k, "/")) == 3)
-        & F.col("_m")[k].isNotNull(),
-    )
-    cells = cells.withColumn(
-        "_whole", F.col("_name").isNull() & F.startswith("_value", F.lit("{")) & ~named_before
-    )
-    opened = cells.select(
-        *keys, "_m", "_x", "task", "_stem", "_whole",
-        F.explode(
-            F.when(F.col("_whole"), object_fields(F.col("_value"))).otherwise(
-                F.create_map(F.coalesce("_name", F.lit("value")), F.col("_value"))
-            )
-        ).alias("_name", "_value"),
-    ).where(F.col("_value").isNotNull())
-    own_key = F.col("_m")[F.concat_ws("/", "_stem", "_name")]
-    opened = opened.where(~(F.col("_whole") & own_key.isNotNull()))
-
-    is_extra = F.col("_name") == "extra_metrics"
-    flat = opened.where(F.col("_name") != "task_config").select(
-        *keys, "_x", "task", "_stem", is_extra.alias("_extra"),
-        F.explode(
-            F.when(is_extra, object_fields(F.col("_value"))).otherwise(
-                F.create_map(F.col("_name"), F.col("_value"))
-            )
-        ).alias("metric", "value"),
+        F.slice("_k", F.lit(1), place),
+        lambda k: F.startswith(k, F.concat("_stem", F.lit("/"))) & (F.size(F.split(k, "/")) == 3),
     )
+    maybe_whole = F.col("_name").isNull() & F.startswith("_value", F.lit("{"))
+    cells = cells.withColumn("_whole", maybe_whole & ~named_before)
+    cells = cells.select(*keys, "_x", "_k", "task", "_stem", "_whole", F.inline(_entries()))
+
+    # keys of their own beat the fields of a whole task, extra metrics beat both
+    source = F.when(F.col("_extra"), F.lit("extra_metrics")).otherwise(F.col("metric"))
+    has_own_key = F.array_contains("_k", F.concat_ws("/", "_stem", source))
     extra_text = F.coalesce(
         F.col("_x")[F.concat("_stem", F.lit("/extra_metrics"))],
         F.get_json_object(F.col("_x")[F.col("_stem")], "$.extra_metrics"),
     )
-    stays = F.col("_extra") | F.coalesce(
-        object_fields(extra_text)[F.col("metric")].isNull(), F.lit(True)
+    unbeaten = extra_text.isNull() | object_fields(extra_text)[F.col("metric")].isNull()
+    kept = cells.where(
+        F.col("value").isNotNull()
+        & ~(F.col("_whole") & F.coalesce(has_own_key, F.lit(False)))
+        & (F.col("_extra") | ((F.col("metric") != "task_config") & unbeaten))
+    )
+    return kept.select(*keys, "task", "metric", "value")
+
+
+def _entries() -> Column:
+    """Metrics of one cell: itself, or the fields of an object that is opened."""
+
+    def entry(name: Column, value: Column, extra: bool) -> Column:
+        return F.struct(name.alias("metric"), value.alias("value"), F.lit(extra).alias("_extra"))
+
+    def fields(value: Column, extra: bool) -> Column:
+        return F.transform(F.map_entries(object_fields(value)), lambda x: entry(x["key"], x["value"], extra))
+
+    def field(x: Column) -> Column:
+        return F.when(x["metric"] == "extra_metrics", fields(x["value"], True)).otherwise(F.array(x))
+
+    name, value = F.col("_name"), F.col("_value")
+    return (
+        F.when(F.col("_whole"), F.flatten(F.transform(fields(value, False), field)))
+        .when(name == "extra_metrics", fields(value, True))
+        .otherwise(F.array(entry(F.coalesce(name, F.lit("value")), value, False)))
     )
-    return flat.where(F.col("value").isNotNull() & stays).select(*keys, "task", "metric", "value")
 
 
 def summary_task_maps(

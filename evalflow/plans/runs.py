@@ -157,13 +157,14 @@ def matched_labels(df: DataFrame) -> DataFrame:
     """
     df = ops.ensure_column(df, "comparison_metric")
     old = F.col("comparison_metric")
-    labelled = canonical_labels(
-        df.withColumn("_raw", F.coalesce(old, F.lit(NO_LABEL))), "_raw", "_label"
+    matched = F.col("run_type") == "matched" if "run_type" in df.columns else F.lit(True)
+    raw = df.withColumn("_raw", F.when(matched, F.coalesce(old, F.lit(NO_LABEL))))
+    label = F.when(matched, F.col("_label")).otherwise(old)
+    return (
+        canonical_labels(raw, "_raw", "_label")
+        .withColumn("comparison_metric", label)
+        .drop("_raw", "_label")
     )
-    label = F.col("_label")
-    if "run_type" in df.columns:
-        label = F.when(F.col("run_type") == "matched", label).otherwise(old)
-    return labelled.withColumn("comparison_metric", label).drop("_raw", "_label")
 
 
 RUN_HOOKS: dict[str, Callable[[DataFrame], DataFrame]] = {"matched": matched_labels}
