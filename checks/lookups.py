@@ -13,6 +13,7 @@ from evalflow.operators import columns as ops
 from evalflow.operators import joins
 from evalflow.operators.ordering import number_in_order, sorted_nulls_last
 from evalflow.plans.reports import counts_by_period
+from evalflow.sinks import tables as sinks
 from evalflow.sources.tables import merge_as_text
 
 MIXES = [*C.RECIPES, "house mix"]
@@ -176,6 +177,42 @@ def masked_values(spark, folder):
     )
 
 
+def work_status(spark, folder):
+    """Nations as wanted directories, those of the first suppliers as finished ones."""
+    wanted = table(spark, folder, "customer").select(F.concat(F.lit("run"), F.col("c_nationkey").cast("string")).alias("slug"))
+    finished = table(spark, folder, "supplier").where("s_suppkey < 8").select(
+        F.concat(F.lit("run"), F.col("s_nationkey").cast("string")).alias("slug")
+    ).distinct()
+    return sinks.status_counts(sinks.plan_work(wanted, finished))
+
+
+def column_shaping(spark, folder):
+    """Customers through renames, defaults, prefixes and dropped source columns."""
+    df = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("doc_id"),
+        F.col("c_name").alias("name.full"),
+        F.when(F.col("c_nationkey") > 3, F.col("c_mktsegment")).alias("segment"),
+        F.struct(F.col("c_nationkey").alias("n"), F.col("c_mktsegment").alias("s")).alias("doc"),
+        F.lit("/runs/x").alias("source_path"),
+    )
+    df = ops.fill_missing(ops.ensure_column(df, "seed", 7), {"segment": "none", "absent": 1})
+    df = ops.rename_present(ops.drop_source_columns(df), {"segment": "part", "absent": "x"})
+    return df.select("doc_id", *ops.prefixed(df, "prd", ["doc_id"]))
+
+
+def path_lists(spark, folder):
+    """Page URLs as path lists: normalized, distinct in first-seen order, below a local folder."""
+    path = F.regexp_replace("url", r"^https?:/", "")
+    listed = F.array(path, F.concat(F.lit("/"), path), F.lit("a//b"), F.lit("./a/b"))
+    org = F.concat(F.lit("o"), (F.col("page_id") % 3).cast("string"))
+    return table(spark, folder, "pages").select(
+        "page_id",
+        F.array_join(locations.resolve_paths(listed, org, F.lit("r")), ",").alias("plain"),
+        F.array_join(locations.resolve_paths(listed, org, F.lit("r"), local_dir="/c"), ",").alias("local"),
+        locations.path_count_error(locations.resolve_paths(listed, org, F.lit("r")), exactly_one=True).alias("error"),
+    )
+
+
 _URI = """
     src AS (
         SELECT page_id, url, regexp_replace(url, '^https?://', '') AS rest FROM pages
@@ -228,6 +265,9 @@ QUERIES = {
     "key_checks": key_checks,
     "first_seen_ids": first_seen_ids,
     "masked_values": masked_values,
+    "work_status": work_status,
+    "column_shaping": column_shaping,
+    "path_lists": path_lists,
 }
 _RANK = "nullif(list_position([{names}], {value}), 0)"
 
@@ -336,4 +376,27 @@ SQL = {
         count(*) FILTER (WHERE o_orderstatus = 'F') AS done
     FROM orders GROUP BY o_custkey
     """,
+    "work_status": """
+    WITH wanted AS (SELECT DISTINCT c_nationkey AS n FROM customer),
+        finished AS (SELECT DISTINCT s_nationkey AS n FROM supplier WHERE s_suppkey < 8)
+    SELECT CASE WHEN f.n IS NULL THEN 'processed' ELSE 'skipped' END AS status, count(*) AS directories
+    FROM wanted w LEFT JOIN finished f ON f.n = w.n GROUP BY ALL
+    """,
+    "column_shaping": """
+    SELECT c_custkey AS doc_id, c_name AS prd_name_full,
+        CASE WHEN c_nationkey > 3 THEN c_mktsegment ELSE 'none' END AS prd_part,
+        '{"n":' || c_nationkey || ',"s":"' || c_mktsegment || '"}' AS prd_doc, 7 AS prd_seed
+    FROM customer
+    """,
+    "path_lists": """
+    WITH p AS (
+        SELECT page_id, array_to_string(list_filter(string_split(regexp_replace(url, '^https?:/', ''), '/'),
+            lambda x: x <> '' AND x <> '.'), '/') AS path
+        FROM pages
+    )
+    SELECT page_id, path || ',a/b' AS plain,
+        '/c/o' || (page_id % 3) || '/r/' || path || ',/c/o' || (page_id % 3) || '/r/a/b' AS local,
+        'expected exactly one path' AS error
+    FROM p
+    """,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,20 @@ def object_fields(c: Column) -> Column:
 def json_field(c: Column, name: str) -> Column:
     """One top-level field as text, null when absent, JSON null or bad JSON."""
     return object_fields(c)[name]
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Make ``normalize_config(text)`` and ``canonical_json(text)`` known to SQL.
+
+    They are SQL functions, so a query that calls them is planned like one that
+    spells them out; no Python runs per row.
+    """
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION canonical_json(c STRING) RETURNS STRING"
+        " RETURN to_json(try_parse_json(c))"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION normalize_config(c STRING) RETURNS STRING RETURN coalesce("
+        "to_json(try_parse_json(to_json(map_filter(from_json(c, 'map<string,variant>'),"
+        " (k, v) -> k <> 'task_name')))), to_json(try_parse_json(c)), c)"
+    )

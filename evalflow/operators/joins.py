@@ -23,21 +23,40 @@ def key_sets(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).distinct()
 
 
-def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> DataFrame:
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    null_safe: Sequence[str] = (),
+    *,
+    split_right: bool = False,
+) -> DataFrame:
     """Left join keeping one copy of the keys; only ``null_safe`` keys match nulls.
 
     No hint: Spark broadcasts ``right`` when its size estimate is under
     ``autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive skew
-    handling splits a hot key of the left side over several tasks.
+    handling splits a hot key of the left side over several tasks. A left join
+    cannot split a hot key of the right side. ``split_right`` is for that case:
+    an inner join, which can, and the left rows that match nothing.
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     tests = [
         F.col(k).eqNullSafe(F.col(f"_r_{k}")) if k in null_safe else F.col(k) == F.col(f"_r_{k}")
         for k in keys
     ]
-    return left.join(renamed, reduce(lambda a, b: a & b, tests), "left").drop(
-        *[f"_r_{k}" for k in keys]
-    )
+    test = reduce(lambda a, b: a & b, tests)
+    extra = [f"_r_{k}" for k in keys]
+    if not split_right:
+        return left.join(renamed, test, "left").drop(*extra)
+    matched = left.join(renamed, test, "inner").drop(*extra)
+    unmatched = left.join(renamed.select(*extra).distinct(), test, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the most frequent key. Runs a job that brings back one number."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.agg(F.max("rows")).first()[0] or 0
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,12 +18,15 @@ from evalflow.functions.jsontext import config_key
 from evalflow.functions.paths import artifact_prefix, result_slug, task_name_from_prefix
 from evalflow.operators import columns as ops
 from evalflow.operators.dedupe import first_per_key
-from evalflow.operators.joins import key_sets, left_join
+from evalflow.operators.joins import key_sets, largest_group, left_join
 from evalflow.sinks.tables import cut_lineage, finished_slugs, plan_work, write_table
 from evalflow.sources import files, records
 
 DIRS = ("results_dir",)
 
+# Rows of one document beyond which its artifact is joined in parts.
+HOT_ROWS = 1_000_000
+
 
 def task_names(
     preds: DataFrame, recs: DataFrame, reqs: DataFrame, dirs: Sequence[str] = DIRS
@@ -65,11 +68,13 @@ def export_documents(
     doc_id: int | None = None,
     prefixes: Mapping[str, str] = C.EXPORT_PREFIXES,
     config: DataFrame | None = None,
+    hot: Sequence[str] = (),
 ) -> DataFrame:
     """Document spine with everything known about each document and request.
 
     ``metrics`` rows carry a task name and are matched to file prefixes here.
     A ``doc_id`` filters the spine only; Spark carries it into the other sides.
+    ``hot`` names the artifacts where one document holds a large share of the rows.
     """
     file_key = [*dirs, "file_prefix"]
     doc_key = [*file_key, "doc_id"]
@@ -89,9 +94,13 @@ def export_documents(
         skip = {*dirs, "path", *ops.EXPORT_SKIP[artifact]}
         return frame.select(*keys, *ops.prefixed(frame, prefixes[artifact], skip))
 
-    out = left_join(spine, side(preds, "predictions", doc_key), doc_key)
-    out = left_join(out, side(recs, "recorded-inputs", doc_key), doc_key)
-    out = left_join(out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"])
+    out = left_join(spine, side(preds, "predictions", doc_key), doc_key, split_right="predictions" in hot)
+    out = left_join(
+        out, side(recs, "recorded-inputs", doc_key), doc_key, split_right="recorded-inputs" in hot
+    )
+    out = left_join(
+        out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"], split_right="requests" in hot
+    )
     out = left_join(out, side(met, "metrics", file_key), file_key)
     if config is not None:
         out = left_join(out, side(config, "config", file_key), file_key)
@@ -183,8 +192,12 @@ def run_export(
         landed[name] = records.good_rows(rows)
         quarantine.append(records.quarantined(rows).withColumn("artifact", F.lit(name)))
 
+    doc_key = ["results_dir", "file_prefix", "doc_id"]
+    group = {"predictions": doc_key, "recorded-inputs": doc_key, "requests": [*doc_key, "idx"]}
     wide = export_documents(
-        landed["predictions"], landed["recorded-inputs"], landed["requests"], landed["metrics"], doc_id=doc_id
+        *[landed[a] for a in (*C.DOC_ARTIFACTS, "metrics")],
+        doc_id=doc_id,
+        hot=[a for a, keys in group.items() if largest_group(landed[a], keys) > HOT_ROWS],
     )
     slugs = todo.select("results_dir", "slug").distinct()
     write_table(left_join(wide, slugs, ["results_dir"]), f"{out}/data", partition_by=("slug",))

@@ -12,8 +12,22 @@ from evalflow.operators.joins import skip_listed
 from evalflow.sources.files import require_files
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Parquet; with partitions, an overwrite replaces only the partitions it writes."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: tuple[str, ...] = (),
+    rebalance: bool = True,
+    mode: str = "overwrite",
+) -> None:
+    """Parquet; with partitions, an overwrite replaces only the partitions it writes.
+
+    Rows of a partition are first brought together, or each task would write a
+    file into every partition; a partition too large for one task is split again.
+    ``rebalance=False`` is for frames that hold a single partition.
+    """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if partition_by else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

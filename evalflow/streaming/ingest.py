@@ -66,8 +66,8 @@ def ingest_new_files(
 
     def write_batch(batch: DataFrame, number: int) -> None:
         tagged = lambda df: df.withColumn("batch", F.lit(number))
-        write_table(tagged(canonical_records(batch)), f"{out}/records", partition_by=("batch",))
-        write_table(tagged(bad_lines(batch)), f"{out}/quarantine", partition_by=("batch",))
+        write_table(tagged(canonical_records(batch)), f"{out}/records", partition_by=("batch",), rebalance=False)
+        write_table(tagged(bad_lines(batch)), f"{out}/quarantine", partition_by=("batch",), rebalance=False)
 
     return (
         lines.writeStream.foreachBatch(write_batch)
@@ -88,6 +88,7 @@ def classify_stream(runs: DataFrame, out: str) -> StreamingQuery:
             classification_log(batch).withColumn("batch", F.lit(number)),
             f"{out}/classification_log",
             partition_by=("batch",),
+            rebalance=False,
         )
 
     return (

@@ -77,6 +77,15 @@ def test_config_key(value):
         jsontext.config_key(F.lit(one), mode="other")
 
 
+def test_sql_functions(spark):
+    jsontext.register_sql(spark)
+    row = spark.sql("""
+        SELECT normalize_config('{"task_name":"a","k":1.0}') AS a, normalize_config('{"k":1}') AS b,
+            normalize_config(NULL) AS c, canonical_json('{"b":1,"a":2}') AS d
+    """).first()
+    assert tuple(row) == ('{"k":1}', '{"k":1}', None, '{"a":2,"b":1}')
+
+
 def test_paths(value):
     path = F.lit("/d/task-038-mmlu_management:0shot_cot::tulu3-metrics.json")
     assert value(paths.artifact_prefix(path, "metrics")) == "task-038-mmlu_management:0shot_cot::tulu3"

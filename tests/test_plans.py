@@ -231,6 +231,14 @@ def test_spine(spark):
     assert {r["idx"] for r in one.collect()} == {None, 0, 1}
 
 
+def test_hot_artifacts_join_alike(spark):
+    plain = export.export_documents(*spine_inputs(spark))
+    split = export.export_documents(*spine_inputs(spark), hot=("predictions", "recorded-inputs", "requests"))
+    assert plain.columns == split.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert joins.largest_group(spine_inputs(spark)[2], ["doc_id"]) == 2
+
+
 def test_spine_without_idx(spark):
     preds, recs, reqs, metrics = spine_inputs(spark)
     out = export.export_documents(preds, recs, reqs.drop("idx"), metrics.drop("task_name"))
