@@ -15,14 +15,25 @@ def distinct_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def _hash_first(keys: Sequence[str]) -> Column:
+    """Hash of the keys, to group by before the keys themselves.
+
+    Grouping stays exact. Where Spark groups by sorting it compares the hash,
+    not long texts that all start alike.
+    """
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_hash")
+
+
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """First row per key in the given order.
 
     ``row_number() = 1`` is cut in every map task before the shuffle (a window
     group limit), so a key that holds a third of all rows sends one row per task.
     """
-    rank = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
+    hashed = df.withColumn("_hash", _hash_first([key]))
+    rank = Window.partitionBy("_hash", key).orderBy(*order)
+    ranked = hashed.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1")
+    return ranked.drop("_rank", "_hash")
 
 
 def merge_copies(
@@ -34,7 +45,9 @@ def merge_copies(
     crosses the shuffle however many copies there are.
     """
     first = F.min(F.struct(*order, *[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(paths)]))
-    merged = df.groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
+    merged = df.groupBy(_hash_first(keys), *keys).agg(
+        first.alias("_first"), F.count(F.lit(1)).alias("copies")
+    )
     values = [F.col(f"_first._p{i}").alias(p) for i, p in enumerate(paths)]
     return merged.select(*keys, *values, "copies")
 
@@ -50,7 +63,8 @@ def copy_paths(
         *[F.struct(F.lit(p).alias("role"), F.col(f"`{p}`").alias("path")) for p in paths]
     )
     long = df.select(*keys, F.struct(*order).alias("_seen"), F.inline(roles))
-    return long.groupBy(*keys, "role", "path").agg(F.min("_seen").alias("first_seen"))
+    whole = [*keys, "role", "path"]
+    return long.groupBy(_hash_first(whole), *whole).agg(F.min("_seen").alias("first_seen")).drop("_hash")
 
 
 ARRAY_LIMIT = 100_000

@@ -33,15 +33,16 @@ def task_names(
 ) -> DataFrame:
     """Task name of every file prefix: the largest recorded one, else from the prefix.
 
-    One aggregate over the union of all three inputs gives the prefixes and their
-    names together, so nothing is joined back.
+    One pass over the union of all three inputs gives the prefixes and their names
+    together, so nothing is joined back. The distinct hashes rows away in each
+    task; the maximum then sees a few rows per prefix.
     """
     keys = [*dirs, "file_prefix"]
     named = [f.select(*keys, "task_name") for f in (recs, reqs)]
     rows = preds.select(*keys, F.lit(None).cast("string").alias("task_name"))
     for frame in named:
         rows = rows.unionByName(frame)
-    largest = rows.groupBy(*keys).agg(F.max("task_name").alias("task_name"))
+    largest = rows.distinct().groupBy(*keys).agg(F.max("task_name").alias("task_name"))
     return largest.withColumn(
         "task_name", F.coalesce("task_name", task_name_from_prefix(F.col("file_prefix")))
     )

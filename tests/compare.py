@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 from collections import Counter
 
 import duckdb
+from pyspark.sql import SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -64,7 +66,17 @@ def main(folder, names):
     import __spark_entry__ as entry
     from evalflow.session import build_session
 
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # a session without any of the settings the jobs would choose
+        spark = (
+            SparkSession.builder.master("local[*]")
+            .config("spark.sql.shuffle.partitions", "8")
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", os.environ["PLAIN_SESSION"])
+            .getOrCreate()
+        )
+    else:
+        spark = build_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, sql = entry.queries(), entry.oracle_sql()
