@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,16 +12,30 @@ from evalflow.session import settle
 
 
 def pack_order(*parts: tuple[Column, int]) -> Column:
-    """Several non-negative integers as one ``decimal(38,0)`` that sorts like them.
+    """Several integers as one ``decimal(38,0)`` that sorts like them.
 
-    Each part comes with the number of decimal digits kept for it. A fixed-width
-    ordinal lets last-write-wins aggregates hash instead of sort.
+    Each part comes with the number of decimal digits kept for it; its values are
+    not negative and have no more digits. A fixed-width ordinal lets
+    last-write-wins aggregates hash instead of sort. Parts are first put together
+    as longs of up to 18 digits, which leaves little decimal arithmetic.
     """
-    digits = sum(width for _, width in parts)
-    if digits > 38:
-        raise ValueError(f"{digits} digits do not fit decimal(38)")
-    text = F.concat(*[F.lpad(c.cast("string"), width, "0") for c, width in parts])
-    return text.cast("decimal(38,0)")
+    if sum(width for _, width in parts) > 38:
+        raise ValueError("the digits do not fit decimal(38)")
+    longs: list[tuple[Column, int]] = []
+    for part, width in parts:
+        value = part.cast("long")
+        if longs and longs[-1][1] + width <= 18:
+            head, digits = longs.pop()
+            longs.append((head * 10**width + value, digits + width))
+        else:
+            longs.append((value, width))
+    packed = None
+    below = sum(width for _, width in longs)
+    for value, width in longs:
+        below -= width
+        shifted = value.cast("decimal(18,0)") * F.lit(Decimal(10**below))
+        packed = shifted if packed is None else packed + shifted
+    return packed.cast("decimal(38,0)")
 
 
 def leading_digits(packed: Column, digits: int, keep: int) -> Column:
