@@ -26,6 +26,8 @@ DIRS = ("results_dir",)
 
 # Rows of one document beyond which its artifact is joined in parts.
 HOT_ROWS = 1_000_000
+# Metrics rows beyond which they are not expected to be broadcast.
+BROADCAST_ROWS = 10_000
 
 
 def task_names(
@@ -70,12 +72,15 @@ def export_documents(
     prefixes: Mapping[str, str] = C.EXPORT_PREFIXES,
     config: DataFrame | None = None,
     hot: Sequence[str] = (),
+    metrics_first: bool = False,
 ) -> DataFrame:
     """Document spine with everything known about each document and request.
 
     ``metrics`` rows carry a task name and are matched to file prefixes here.
     A ``doc_id`` filters the spine only; Spark carries it into the other sides.
     ``hot`` names the artifacts where one document holds a large share of the rows.
+    Metrics join last, when they can be broadcast; ``metrics_first`` joins larger
+    ones to the narrow spine, so that the wide rows are not shuffled by file.
     """
     file_key = [*dirs, "file_prefix"]
     doc_key = [*file_key, "doc_id"]
@@ -95,17 +100,22 @@ def export_documents(
         skip = {*dirs, "path", *ops.EXPORT_SKIP[artifact]}
         return frame.select(*keys, *ops.prefixed(frame, prefixes[artifact], skip))
 
-    out = left_join(spine, side(preds, "predictions", doc_key), doc_key, split_right="predictions" in hot)
+    met_side = side(met, "metrics", file_key)
+    out = left_join(spine, met_side, file_key) if metrics_first else spine
+    out = left_join(out, side(preds, "predictions", doc_key), doc_key, split_right="predictions" in hot)
     out = left_join(
         out, side(recs, "recorded-inputs", doc_key), doc_key, split_right="recorded-inputs" in hot
     )
     out = left_join(
         out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"], split_right="requests" in hot
     )
-    out = left_join(out, side(met, "metrics", file_key), file_key)
+    if not metrics_first:
+        out = left_join(out, met_side, file_key)
     if config is not None:
         out = left_join(out, side(config, "config", file_key), file_key)
-    return out
+    met_columns = [c for c in met_side.columns if c not in file_key]
+    first = [c for c in out.columns if c not in met_columns]
+    return out.select(*first, *met_columns)
 
 
 def dedupe_configurations(
@@ -199,6 +209,7 @@ def run_export(
         *[landed[a] for a in (*C.DOC_ARTIFACTS, "metrics")],
         doc_id=doc_id,
         hot=[a for a, keys in group.items() if largest_group(landed[a], keys) > HOT_ROWS],
+        metrics_first=landed["metrics"].count() > BROADCAST_ROWS,
     )
     slugs = todo.select("results_dir", "slug").distinct()
     write_table(left_join(wide, slugs, ["results_dir"]), f"{out}/data", partition_by=("slug",))

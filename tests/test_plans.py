@@ -237,6 +237,9 @@ def test_hot_artifacts_join_alike(spark):
     assert plain.columns == split.columns
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
     assert joins.largest_group(spine_inputs(spark)[2], ["doc_id"]) == 2
+    early = export.export_documents(*spine_inputs(spark), metrics_first=True)
+    assert plain.columns == early.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, early.collect()))
 
 
 def test_spine_without_idx(spark):
