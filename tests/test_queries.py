@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import checks
 from compare import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(checks.all_queries()) == set(checks.all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(checks.all_queries()))
 def test_query(spark, con, name):
     bad, (ours, theirs, _, _) = difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
     assert bad is None
