@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evalflow.llm import rules
+from evalflow.llm import bpe, packing, rules
 
-_MODULES = (rules,)
+_MODULES = (packing, bpe, rules)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in getattr(module, "SQL", {}).items()}
