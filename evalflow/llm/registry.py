@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evalflow.llm import bpe, jaccard, packing, rules
+from evalflow.llm import bpe, editprint, jaccard, packing, rules
 
-_MODULES = (jaccard, packing, bpe, rules)
+_MODULES = (jaccard, packing, bpe, editprint, rules)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in getattr(module, "SQL", {}).items()}
