@@ -4,9 +4,8 @@ Rows are dealt into blocks of a few MB. A block asks for the totals of its disti
 requests go by ranges of the key to the tasks that add them up; answers go back to the
 block, whose rows then see, for each of their keys, the total over the table. A key
 that stands in a third of all rows is one entry per block, so no task gets all its
-rows. Keys travel as 48 bits of a hash in sorted, packed arrays: about four bytes each.
-A total may count a rare collision along; users of it must allow for that or compare the
-full hashes.
+rows. Keys travel in sorted, packed arrays: as 48 bits of the hash in about four bytes each
+(`short`, where a rare collision does no harm), or whole in about six.
 """
 
 from __future__ import annotations
@@ -26,12 +25,12 @@ from evalflow.llm.common import ship
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 32 << 20
 
-_SHIFT = np.uint64(16)
+_HIGH, _LOW = np.uint64(48), np.uint64(16)
 
 
 def short(keys: np.ndarray) -> np.ndarray:
-    """The 48 bits of the hashes that travel."""
-    return keys >> _SHIFT
+    """The hashes with all but their upper 48 bits cleared."""
+    return keys >> _LOW << _LOW
 
 
 def _packed(array: np.ndarray, kind: str) -> bytes:
@@ -76,20 +75,22 @@ _ASKED_SQL = "block long, part int, highs binary, lows binary, counts binary"
 _TOLD_SQL = "block long, part int, mask binary, totals binary, first long"
 
 
-def _ask(keys: Keys, parts: int):
+def _ask(keys: Keys, parts: int, brief: bool):
     edges = _edges(parts)
 
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         found, counts = keys(table)
-        high = (found >> np.uint64(32)).astype(np.int64)
+        high = (found >> _HIGH).astype(np.int64)
         cut = np.searchsorted(high, edges)
         rows = []
         for part, (a, b) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
             if b > a:
                 first = int(edges[part])
                 highs = np.bincount(high[a:b] - first, minlength=int(edges[part + 1]) - first)
-                lows = (found[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+                lows = (found[a:b] >> _LOW).astype("<u4").tobytes()
+                if not brief:
+                    lows += found[a:b].astype("<u2").tobytes()
                 rows.append((block, part, _packed(highs, "<u4"), lows, _packed(counts[a:b], "<u4")))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)] if rows else
                                     [pa.array([], f.type) for f in _ASKED], schema=_ASKED)
@@ -97,6 +98,16 @@ def _ask(keys: Keys, parts: int):
     return run
 
 
+def _restored(highs: bytes, lows: bytes, first: int) -> np.ndarray:
+    high = _unpacked(highs, "<u4")
+    n = int(high.sum())
+    keys = np.repeat(np.arange(len(high), dtype=np.uint64) + np.uint64(first), high) << _HIGH
+    keys |= np.frombuffer(lows, "<u4", n).astype(np.uint64) << _LOW
+    if len(lows) > 4 * n:
+        keys |= np.frombuffer(lows, "<u2", n, 4 * n)
+    return keys
+
+
 def _add_up(parts: int, least: int):
     edges = _edges(parts)
 
@@ -106,9 +117,7 @@ def _add_up(parts: int, least: int):
         blocks = table.column("block").to_pylist()
         keys, counts = [], []
         for highs, lows, count in zip(*(table.column(c).to_pylist() for c in ("highs", "lows", "counts"))):
-            high = _unpacked(highs, "<u4")
-            base = np.repeat(np.arange(len(high), dtype=np.uint64) + np.uint64(edges[part]), high)
-            keys.append(base << np.uint64(32) | np.frombuffer(lows, "<u4"))
+            keys.append(_restored(highs, lows, int(edges[part])))
             counts.append(_unpacked(count, "<u4"))
         length = [len(k) for k in keys]
         flat = np.concatenate(keys)
@@ -137,7 +146,7 @@ def _add_up(parts: int, least: int):
 def _totals(found: np.ndarray, told: pa.Table, parts: int) -> tuple[np.ndarray, int]:
     """Totals of the block's keys, 0 where below the least, and the keys this block was the first to ask for."""
     edges = _edges(parts)
-    cut = np.searchsorted(found >> np.uint64(32), edges)
+    cut = np.searchsorted(found >> _HIGH, edges)
     out, first = np.zeros(len(found), np.int64), 0
     for row in told.to_pylist():
         a, b = cut[row["part"]], cut[row["part"] + 1]
@@ -163,7 +172,7 @@ def with_totals(
     ship(docs.sparkSession)
     parts = size.parts
     rows = blocked(docs, size)
-    asked = rows.groupBy("block").applyInArrow(_ask(keys, parts), _ASKED_SQL)
+    asked = rows.groupBy("block").applyInArrow(_ask(keys, parts, least > 1), _ASKED_SQL)
     told = asked.groupBy("part").applyInArrow(_add_up(parts, least), _TOLD_SQL)
 
     def answer(table: pa.Table, replies: pa.Table) -> pa.Table:

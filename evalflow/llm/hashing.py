@@ -69,25 +69,69 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[begin[0] : begin[-1]], begin - begin[0]
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and the first word of each text (and the end)."""
+def _parts(column: pa.Array):
+    """Runs of texts as bytes with their words: hash, start, end, and how many each text has."""
     data, begin = text_bytes(column)
-    hashes, counts = [], []
     row = 0
     while row < len(column):
         end = max(row + 1, int(np.searchsorted(begin, begin[row] + CHUNK_BYTES, "right")) - 1)
         # a blank after each text, so that no word runs into the next text
         part = np.insert(data[begin[row] : begin[end]], begin[row + 1 : end + 1] - begin[row], 32)
-        found, starts, _ = _hash_chunk(part)
+        found, starts, ends = _hash_chunk(part)
         edges = begin[row : end + 1] - begin[row] + np.arange(end - row + 1)
-        hashes.append(found)
-        counts.append(np.diff(np.searchsorted(starts, edges)))
+        yield part, found, starts, ends, np.diff(np.searchsorted(starts, edges))
         row = end
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and the first word of each text (and the end)."""
+    hashes, counts = [], []
+    for _, found, _, _, count in _parts(column):
+        hashes.append(found)
+        counts.append(count)
     if not hashes:
         return np.empty(0, np.uint64), np.zeros(1, np.int64)
     return np.concatenate(hashes), np.r_[0, np.cumsum(np.concatenate(counts))]
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given stretches of an array behind each other, and where each begins (and the end)."""
+    begin = np.r_[0, np.cumsum(sizes)]
+    return data[np.arange(begin[-1]) + np.repeat(starts - begin[:-1], sizes)], begin
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def distinct_words(column: pa.Array, weight: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of the texts in lower case, each with the summed weight of its texts."""
+    seen, words, sums, row = [], [], [], 0
+    for part, found, starts, ends, counts in _parts(column):
+        share = np.repeat(weight[row : row + len(counts)], counts)
+        row += len(counts)
+        key, first, same = np.unique(found, return_index=True, return_inverse=True)
+        flat, begin = gathered(part, starts[first], ends[first] - starts[first])
+        seen.append(key)
+        words.append((lowered(flat), np.diff(begin)))
+        sums.append(np.bincount(same, share, len(key)))
+    if not seen:
+        return pa.array([], pa.binary()), np.empty(0, np.int64)
+    flat, sizes = np.concatenate([w for w, _ in words]), np.concatenate([n for _, n in words])
+    _, first, same = np.unique(np.concatenate(seen), return_index=True, return_inverse=True)
+    total = np.bincount(same, np.concatenate(sums), len(first)).astype(np.int64)
+    at = np.r_[0, np.cumsum(sizes)]
+    flat, begin = gathered(flat, at[first], sizes[first])
+    return binary_array(flat, begin), total
+
+
+def binary_array(flat: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """An Arrow binary column over stretches that lie behind each other."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(begin) - 1, [None, pa.py_buffer(begin.astype("<i4")), pa.py_buffer(np.ascontiguousarray(flat))]
+    )
+
+
 def shingle_hashes(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of ``size`` words of each text, sorted, and where each text's begin.
 
