@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evalflow.llm import bpe, editprint, jaccard, mixing, packing, rules, tokenfiles, toxicity
+from evalflow.llm import bpe, editprint, jaccard, mixing, packing, rules, tokenfiles, toxicity, warc
 
-_MODULES = (jaccard, packing, bpe, toxicity, mixing, tokenfiles, editprint, rules)
+_MODULES = (jaccard, packing, bpe, toxicity, warc, mixing, tokenfiles, editprint, rules)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in getattr(module, "SQL", {}).items()}
