@@ -325,10 +325,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents that name their component; of rows with the same id, one stays."""
-    found = near_duplicates(docs, words)
-    kept = found.filter("doc_id = component_id or n_shingles = 0").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The documents that name their component, all columns as they are.
+
+    Rows with one id are one document and stay once; documents without an id cannot name
+    anything and stay once per text.
+    """
+    named = near_duplicates(docs.filter("doc_id is not null"), words)
+    kept = named.filter("doc_id = component_id").select("doc_id").distinct()
+    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

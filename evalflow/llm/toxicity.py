@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -221,6 +222,23 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     return rows.mapInArrow(_score_batches(model), "doc_id long, score double")
 
 
+def _keep_batches(model, least: float):
+    def run(batches):
+        machine = model.value
+        for batch in batches:
+            text = pc.fill_null(batch.column("text"), "")
+            yield batch.filter(pa.array(machine.scores(text) < least))
+
+    return run
+
+
+def filter_documents(docs: DataFrame, machine: Machine, least: float = 0.5) -> DataFrame:
+    """The rows that score below ``least``, all columns as they are."""
+    ship(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(machine)
+    return docs.mapInArrow(_keep_batches(model, least), docs.schema)
+
+
 def not_held_out() -> Column:
     return crc_bucket(F.col("doc_id"), HELD_OUT_MODULUS) != 0
 
