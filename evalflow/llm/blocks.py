@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from evalflow.llm.common import ship
 
 #: Text that a block holds, and text whose keys are added up in one task.
-BLOCK_BYTES = 8 << 20
-PART_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
+PART_BYTES = 16 << 20
 
 _HIGH, _LOW = np.uint64(48), np.uint64(16)
 

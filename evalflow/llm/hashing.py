@@ -15,7 +15,7 @@ import pyarrow as pa
 _SPACES = bytes([32, *range(9, 14)])
 _BASE = 0x9E3779B97F4A7C15
 #: Bytes whose prefix sums are held at once; longer texts are still taken whole.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
