@@ -66,11 +66,72 @@ def eval_export(spark, folder):
         spark, root, fresh_folder(spark, "export"), fresh_folder(spark, "work")
     )["data"]
     return out.select(
-        "slug", "file_prefix", "doc_id", "idx", "prd_task_hash", "prd_label", "rin_task_name",
+        "slug", "file_prefix", F.col("doc_id").cast("long").alias("doc_id"), "idx", "prd_task_hash", "prd_label", "rin_task_name",
         "rin_label", "req_request_type", "met_task_name", "met_num_instances",
     )
 
 
+def _document_lines(spark, folder):
+    """Documents as predictions of one run, conversations as requests, in files with odd names.
+
+    Ids are text, lines hold a field that no schema declares, and some requests an index that
+    is no number.
+    """
+    def name(key, artifact):
+        return F.concat(F.lit("runs/r/task-002-x%20y"), F.floor(F.col(key) / _CHUNK).cast("string"), F.lit(f"-{artifact}.jsonl"))
+
+    docs = table(spark, folder, "documents").select(
+        name("doc_id", "predictions").alias("file"),
+        F.to_json(F.struct(F.concat(F.lit("q"), "doc_id").alias("doc_id"), F.col("lang").alias("task_hash"), F.col("source").alias("brand_new"))).alias("line"),
+    )
+    turns = table(spark, folder, "conversations").withColumn("idx", F.when(F.col("conv_id") % 7 == 0, F.lit("bad")).otherwise(F.col("turn").cast("string")))
+    idx = F.when(F.col("idx") == "bad", F.lit('"bad"')).otherwise(F.col("idx"))
+    turns = turns.select(
+        name("conv_id", "requests").alias("file"),
+        F.concat(F.lit('{"doc_id":"q'), "conv_id", F.lit('","idx":'), idx, F.lit(',"request_type":"'), "role", F.lit('"}')).alias("line"),
+    )
+    metrics = spark.range(1).select(F.lit("runs/r/metrics-all.jsonl").alias("file"), F.lit('{"task_name":"none"}').alias("line"))
+    return docs.unionAll(turns).unionAll(metrics)
+
+
+def eval_export_odd_fields(spark, folder):
+    """Nothing of odd files is lost: what the export holds, and what it set aside."""
+    root = fresh_folder(spark, "odd")
+    write_files(_document_lines(spark, folder), root)
+    job = export.run_export(spark, root, fresh_folder(spark, "export"), fresh_folder(spark, "work"))
+    kept = job["data"].select(
+        "slug", "file_prefix", "doc_id", "idx", "prd_task_hash",
+        F.get_json_object("prd_undeclared_fields", "$.brand_new").alias("brand_new"),
+        "req_request_type", F.lit(None).cast("string").alias("reason"),
+    )
+    aside = job["quarantine"].select(
+        *[F.lit(None).cast("string").alias(c) for c in ("slug", "file_prefix")],
+        F.get_json_object("line", "$.doc_id").alias("doc_id"), F.lit(None).cast("long").alias("idx"),
+        *[F.lit(None).cast("string").alias(c) for c in ("prd_task_hash", "brand_new")],
+        F.get_json_object("line", "$.request_type").alias("req_request_type"), "reason",
+    )
+    return kept.unionAll(aside)
+
+
+def eval_export_two_roots(spark, folder):
+    """Two roots with runs of one name; the first root is exported again by force."""
+    roots = [fresh_folder(spark, "left") + "/a", fresh_folder(spark, "right") + "/b"]
+    docs = table(spark, folder, "documents")
+    for side, root in enumerate(roots):
+        own = docs.where(F.col("doc_id") % 2 == side).select(
+            F.concat(F.lit("x/run__1/task-001-t"), F.floor(F.col("doc_id") / _CHUNK).cast("string"), F.lit("-predictions.jsonl")).alias("file"),
+            F.to_json(F.struct("doc_id", F.col("source").alias("task_hash"))).alias("line"),
+        )
+        metrics = spark.range(1).select(F.lit("x/run__1/metrics-all.jsonl").alias("file"), F.lit('{"task_name":"none"}').alias("line"))
+        write_files(own.unionAll(metrics), root)
+    out = fresh_folder(spark, "export")
+    export.run_export(spark, roots, out, fresh_folder(spark, "work"))
+    job = export.run_export(
+        spark, roots, out, fresh_folder(spark, "work"), wanted_dirs=[f"{roots[0].removeprefix('file://')}/x/run__1"], force=True
+    )
+    return job["data"].select("slug", "doc_id", "prd_task_hash")
+
+
 def results_load(spark, folder):
     """Results files written out, then loaded and merged across directories."""
     root = fresh_folder(spark, "results")
@@ -86,7 +147,7 @@ def incremental_ingest(spark, folder):
     """Two runs over a growing folder; the second reads only the new files."""
     root, out = fresh_folder(spark, "growing"), fresh_folder(spark, "ingested")
     lines = record_lines.lines(spark, folder).select(F.substring("path", 2, 200).alias("file"), "line")
-    early = F.col("file").rlike(r"/r[0-5]/")
+    early = F.col("file").rlike(r"/r[0-5]c")
     for part in (early, ~early):
         write_files(lines.where(part), root)
         ingest.ingest_new_files(spark, root, out).awaitTermination()
@@ -125,6 +186,8 @@ def stream_classify(spark, folder):
 QUERIES = {
     "manifest": manifest,
     "eval_export": eval_export,
+    "eval_export_odd_fields": eval_export_odd_fields,
+    "eval_export_two_roots": eval_export_two_roots,
     "results_load": results_load,
     "incremental_ingest": incremental_ingest,
     "stream_record_dedupe": stream_dedupe,
@@ -188,6 +251,27 @@ SQL = {
         FROM metrics x JOIN names n ON n.dir = x.dir AND n.task_name = x.task_name) m
         ON m.dir = s.dir AND m.file_prefix = s.file_prefix
     """,
+    "eval_export_odd_fields": """
+    WITH preds AS (
+        SELECT 'task-002-x%20y' || (doc_id // 100000) AS f, 'q' || doc_id AS d, lang, source FROM documents
+    ), reqs AS (
+        SELECT 'task-002-x%20y' || (conv_id // 100000) AS f, 'q' || conv_id AS d, turn, role, conv_id % 7 = 0 AS bad
+        FROM conversations
+    ), spine AS (
+        SELECT f, d, CAST(NULL AS BIGINT) AS idx FROM preds
+        UNION SELECT f, d, turn FROM reqs WHERE NOT bad
+    )
+    SELECT 'runs__r' AS slug, s.f AS file_prefix, s.d AS doc_id, s.idx, p.lang AS prd_task_hash,
+        p.source AS brand_new, q.role AS req_request_type, CAST(NULL AS VARCHAR) AS reason
+    FROM spine s LEFT JOIN preds p ON p.f = s.f AND p.d = s.d
+    LEFT JOIN (SELECT * FROM reqs WHERE NOT bad) q ON q.f = s.f AND q.d = s.d AND q.turn = s.idx
+    UNION ALL
+    SELECT NULL, NULL, d, NULL, NULL, NULL, role, 'a value does not fit its type' FROM reqs WHERE bad
+    """,
+    "eval_export_two_roots": """
+    SELECT CASE doc_id % 2 WHEN 0 THEN 'a' ELSE 'b' END || '__x__run_%5F1' AS slug,
+        CAST(doc_id AS VARCHAR) AS doc_id, source AS prd_task_hash FROM documents
+    """,
     "results_load": f"""
     WITH {record_lines._LINES}
     SELECT canon, any_value(task_name) AS task_name, any_value(task_idx) AS task_idx,

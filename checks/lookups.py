@@ -178,9 +178,9 @@ def masked_values(spark, folder):
 
 
 def work_status(spark, folder):
-    """Nations as wanted directories, those of the first suppliers as finished ones."""
+    """Nations as wanted directories, those with a supplier in debt and much owed as finished ones."""
     wanted = table(spark, folder, "customer").select(F.concat(F.lit("run"), F.col("c_nationkey").cast("string")).alias("slug"))
-    finished = table(spark, folder, "supplier").where("s_suppkey < 8").select(
+    finished = table(spark, folder, "supplier").where("s_acctbal < -900").select(
         F.concat(F.lit("run"), F.col("s_nationkey").cast("string")).alias("slug")
     ).distinct()
     return sinks.status_counts(sinks.plan_work(wanted, finished))
@@ -378,7 +378,7 @@ SQL = {
     """,
     "work_status": """
     WITH wanted AS (SELECT DISTINCT c_nationkey AS n FROM customer),
-        finished AS (SELECT DISTINCT s_nationkey AS n FROM supplier WHERE s_suppkey < 8)
+        finished AS (SELECT DISTINCT s_nationkey AS n FROM supplier WHERE s_acctbal < -900)
     SELECT CASE WHEN f.n IS NULL THEN 'processed' ELSE 'skipped' END AS status, count(*) AS directories
     FROM wanted w LEFT JOIN finished f ON f.n = w.n GROUP BY ALL
     """,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.shape import table
 from evalflow.plans import metrics_all
+from evalflow.session import settle
 from evalflow.sources import files, records
 
+_CHUNK = 20_000
 ROLES = ("predictions", "recorded-inputs", "requests")
 
 
@@ -16,7 +19,10 @@ def _k():
 
 
 def lines(spark, folder):
-    """Result lines: two key orders, ``1`` and ``1.0``, some without a task, some broken."""
+    """Result lines: two key orders, ``1`` and ``1.0``, some without a task, some broken.
+
+    A folder name carries a chunk number of the events, so files stay bounded.
+    """
     k, idx = _k().cast("string"), (_k() % 8).cast("string")
     name = F.col("event_type")
     forward = F.concat(
@@ -34,20 +40,25 @@ def lines(spark, folder):
         .when(number % 2 == 0, forward)
         .otherwise(backward)
     )
-    folder_name = F.concat(F.lit("/runs/r"), (F.col("user_id") % 13).cast("string"))
+    folder_name = F.concat(
+        F.lit("/runs/r"), (F.col("user_id") % 13).cast("string"), F.lit("c"), F.floor(number / _CHUNK).cast("string")
+    )
     return table(spark, folder, "events").select(
         F.concat(folder_name, F.lit("/metrics-all.jsonl")).alias("path"), line.alias("line")
     )
 
 
 def artifact_paths(spark, folder):
-    """Paths of task files: each role exists for some of the tasks of a directory."""
-    role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.col("event_id") % 3).cast("int") + 1)
+    """Paths of task files: one role exists for each task of a directory."""
+    role = F.element_at(
+        F.array(*[F.lit(r) for r in ROLES]), ((F.col("user_id") % 13 + _k() % 8) % 3).cast("int") + 1
+    )
     path = F.concat(
-        F.lit("/runs/r"), (F.col("user_id") % 13).cast("string"), F.lit("/task-"),
+        F.lit("/runs/r"), (F.col("user_id") % 13).cast("string"), F.lit("c"),
+        F.floor(F.col("event_id") / _CHUNK).cast("string"), F.lit("/task-"),
         F.lpad((_k() % 8).cast("string"), 3, "0"), F.lit("-"), F.col("event_type"), F.lit("-"), role, F.lit(".jsonl"),
     )
-    return table(spark, folder, "events").where(F.col("event_id") % 5 == 0).select(path.alias("path")).distinct()
+    return table(spark, folder, "events").select(path.alias("path")).distinct()
 
 
 def enriched(spark, folder):
@@ -64,26 +75,45 @@ def record_dedupe(spark, folder):
 
 
 def record_merge(spark, folder):
-    return _plain(metrics_all.merged_records(enriched(spark, folder))["records"])
+    return _plain(metrics_all.merged_records(enriched(spark, folder)).drop("record"))
 
 
 def record_merge_strict(spark, folder):
-    return _plain(metrics_all.merged_records(enriched(spark, folder), strict=True)["records"])
+    return _plain(metrics_all.merged_records(enriched(spark, folder), strict=True).drop("record"))
+
+
+def _long(spark, folder):
+    """Paths of all copies, each with the text of its record."""
+    rows = enriched(spark, folder)
+    texts = metrics_all.merged_records(rows).select("record", "canon")
+    return metrics_all.record_paths(rows).join(texts, "record")
 
 
 def record_copy_paths(spark, folder):
-    long = metrics_all.merged_records(enriched(spark, folder))["paths"]
-    return long.select(
+    return _long(spark, folder).select(
         "canon", "role", "path", F.col("first_seen._dir").alias("seen_dir"), F.col("first_seen._file").alias("seen_file")
     )
 
 
-def record_path_arrays(spark, folder):
-    arrays = metrics_all.merged_records(enriched(spark, folder))["arrays"]
-    text = [
-        F.to_json(f"`{c}`").alias(c.replace("-", "_")) for c in arrays.columns if c.startswith("all_")
-    ]
-    return arrays.select("canon", *text, F.col("paths_in_table").cast("int").alias("paths_in_table"))
+def record_path_order(spark, folder):
+    """The long form in its order: the paths of a record as they were first seen.
+
+    Rows are numbered inside ranges of the sorted table, so no record has to fit one task.
+    """
+    order = ["canon", "role", F.col("first_seen._dir"), "path"]
+    ranged = (
+        _long(spark, folder)
+        .repartitionByRange(8, *order)
+        .sortWithinPartitions(*order)
+        .select("canon", "role", "path", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("n"))
+    )
+    ranged = settle(ranged)
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("size"), F.min("n").alias("first"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return ranged.join(starts, "range").select(
+        "canon", "role", "path", (F.col("start") + F.col("n") - F.col("first") + 1).alias("place")
+    )
 
 
 def quarantine(spark, folder):
@@ -97,7 +127,7 @@ def field_counts(spark, folder):
 
 _LINES = """
     src AS (
-        SELECT event_id, event_type, '/runs/r' || (user_id % 13) AS result_dir,
+        SELECT event_id, event_type, user_id, '/runs/r' || (user_id % 13) || 'c' || (event_id // 20000) AS result_dir,
             CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
         FROM events
     ), good AS (
@@ -109,8 +139,8 @@ _LINES = """
         FROM src WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0
     ), found AS (
         SELECT DISTINCT result_dir, 'task-' || lpad(CAST(k % 8 AS VARCHAR), 3, '0') || '-' || event_type AS stem,
-            list_extract(['predictions', 'recorded-inputs', 'requests'], CAST(event_id % 3 AS INTEGER) + 1) AS role
-        FROM src WHERE event_id % 5 = 0
+            list_extract(['predictions', 'recorded-inputs', 'requests'], CAST((user_id % 13 + k % 8) % 3 AS INTEGER) + 1) AS role
+        FROM src
     ), paths AS (
         SELECT result_dir, stem, role, result_dir || '/' || stem || '-' || role || '.jsonl' AS path FROM found
     ), enriched AS (
@@ -144,27 +174,12 @@ def _merge_sql(keys):
     """
 
 
-def _arrays_sql():
-    def column(role, name):
-        return f"""(SELECT '[' || string_agg(CASE WHEN path IS NULL THEN 'null' ELSE '"' || path || '"' END, ','
-            ORDER BY seen) || ']' FROM firsts f WHERE f.canon = c.canon AND f.role = '{role}') AS all_{name}"""
-
-    roles = ("result_dir", "eval_results_path", "predictions", "recorded-inputs", "requests")
-    return f"""
-    WITH {_LINES}, firsts AS (
-        SELECT canon, role, path, min(result_dir) AS seen FROM long GROUP BY ALL
-    ), canons AS (SELECT DISTINCT canon FROM enriched)
-    SELECT canon, {", ".join(column(r, r.replace("-", "_")) for r in roles)}, 0 AS paths_in_table
-    FROM canons c
-    """
-
-
 QUERIES = {
     "record_dedupe": record_dedupe,
     "record_dedupe_paths": record_merge,
     "record_dedupe_strict": record_merge_strict,
     "record_copy_paths": record_copy_paths,
-    "record_path_arrays": record_path_arrays,
+    "record_path_order": record_path_order,
     "quarantine": quarantine,
     "field_counts": field_counts,
 }
@@ -177,7 +192,16 @@ SQL = {
     SELECT canon, role, path, min(result_dir) AS seen_dir, min(eval_results_path) AS seen_file
     FROM long GROUP BY canon, role, path
     """,
-    "record_path_arrays": _arrays_sql(),
+    "record_path_order": f"""
+    WITH {_LINES}, firsts AS (
+        SELECT canon, task_name, task_idx, task_file_stem, role, path, min(result_dir) AS seen
+        FROM (SELECT l.*, e.task_name, e.task_idx, e.task_file_stem FROM long l
+            JOIN (SELECT DISTINCT canon, task_name, task_idx, task_file_stem FROM enriched) e USING (canon))
+        GROUP BY ALL
+    )
+    SELECT canon, role, path, row_number() OVER (ORDER BY canon, role, seen, path NULLS FIRST) AS place
+    FROM firsts
+    """,
     "quarantine": f"""
     WITH {_LINES}, bad AS (
         SELECT result_dir || '/metrics-all.jsonl' AS path, k,

@@ -166,17 +166,6 @@ EXPORT_PREFIXES = {
     "metrics": "met",
     "config": "cfg",
 }
-JSON_COLUMNS = (
-    "metrics",
-    "model_output",
-    "doc",
-    "request",
-    "requests",
-    "model_config",
-    "task_config",
-    "compute_config",
-    "beaker_info",
-)
 PATH_COLUMNS = (
     "result_dir",
     "eval_results_path",

@@ -48,11 +48,6 @@ def object_fields(c: Column) -> Column:
     return F.from_json(c, "map<string,string>")
 
 
-def json_field(c: Column, name: str) -> Column:
-    """One top-level field as text, null when absent, JSON null or bad JSON."""
-    return object_fields(c)[name]
-
-
 def register_sql(spark: SparkSession) -> None:
     """Make ``normalize_config(text)`` and ``canonical_json(text)`` known to SQL.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,18 +49,29 @@ def task_stem(task_idx: Column, task_name: Column) -> Column:
 
 
 def result_slug(
-    result_dir: Column, root: str, *, prefix: str = "", doc_id: int | None = None
+    result_dir: Column, roots: str | Sequence[str], *, prefix: str = "", doc_id: int | str | None = None
 ) -> Column:
-    """Output name of a results directory relative to its root.
+    """Output name of a results directory relative to the innermost root that holds it.
 
-    The root itself, and a directory outside the root, use their own name.
+    The root itself, and a directory outside all roots, use their own name. With several
+    roots each name starts with its root: the last part of its path, and its number
+    where two roots end alike. A double underscore in a name is escaped, as it stands
+    for a slash.
     """
-    root = root.rstrip("/")
-    inside = result_dir.startswith(root + "/")
-    relative = F.when(inside, F.substring(result_dir, F.lit(len(root) + 2), F.length(result_dir)))
-    name = F.coalesce(relative, base_name(result_dir))
+    roots = [r.rstrip("/") for r in ([roots] if isinstance(roots, str) else roots)]
+    ends = [r.rsplit("/", 1)[-1] for r in roots]
+    labels = [e if ends.count(e) == 1 else f"{e}-{i}" for i, e in enumerate(ends)]
+    relative, label = F.lit(None).cast("string"), F.lit("")
+    for root, own in sorted(zip(roots, labels), key=lambda pair: len(pair[0])):
+        inside = result_dir.startswith(root + "/")
+        below = F.substring(result_dir, F.lit(len(root) + 2), F.length(result_dir))
+        relative = F.when(inside, below).otherwise(relative)
+        if len(roots) > 1:
+            label = F.when(inside | (result_dir == root), F.lit(own + "/")).otherwise(label)
+    name = F.concat(label, F.coalesce(relative, base_name(result_dir)))
+    name = F.replace(F.replace(name, F.lit("__"), F.lit("_%5F")), F.lit("/"), F.lit("__"))
     suffix = "" if doc_id is None else f"__doc{doc_id}"
-    return F.concat(F.lit(prefix), F.replace(name, F.lit("/"), F.lit("__")), F.lit(suffix))
+    return F.concat(F.lit(prefix), name, F.lit(suffix))
 
 
 def archive_parts(path: Column) -> dict[str, Column]:

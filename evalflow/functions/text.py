@@ -27,30 +27,33 @@ def normalize_text(c: Column, joiner: str = " ") -> Column:
     return F.nullif(words, F.lit(""))
 
 
-def prefix_order(prefixes: Mapping[str, str] | Iterable[tuple[str, str]] | None):
-    """Checked ``(lower-case prefix, group)`` pairs, longest prefix first."""
-    pairs = list(prefixes.items() if isinstance(prefixes, Mapping) else prefixes or [])
-    for pair in pairs:
-        if not (isinstance(pair, tuple) and len(pair) == 2):
-            raise TypeError(f"prefixes must be a mapping or pairs, got {pair!r}")
-        if not all(isinstance(part, str) for part in pair):
-            raise TypeError(f"prefix and group must be text, got {pair!r}")
-        if not pair[0].strip():
-            raise ValueError("a prefix may not be blank")
-    cleaned = [(prefix.strip().lower(), group) for prefix, group in pairs]
-    return sorted(cleaned, key=lambda pair: (-len(pair[0]), pair[0]))
+def _prefix_table(prefixes) -> list[tuple[str, str]]:
+    """The rules as ``(prefix in lower case, group)``, after checking each."""
+    rules = list((prefixes.items() if isinstance(prefixes, Mapping) else prefixes) or ())
+    wrong_kind = next((r for r in rules if not isinstance(r, tuple) or [type(x) for x in r] != [str, str]), None)
+    if wrong_kind is not None:
+        raise TypeError(f"a rule is a pair of texts, not {wrong_kind!r}")
+    table = [(start.strip().lower(), group) for start, group in rules]
+    if any(start == "" for start, _ in table):
+        raise ValueError("an empty prefix would match everything")
+    return table
 
 
 def group_by_prefix(
     c: Column, prefixes: Mapping[str, str] | Iterable[tuple[str, str]] | None
 ) -> Column:
-    """Group of the longest matching prefix, else the value itself."""
-    pairs = prefix_order(prefixes)
-    if not pairs:
+    """Group of the longest matching prefix, else the value itself.
+
+    Every rule that matches offers its length and its group; the longest offer wins, and of two
+    rules with one prefix the one given first.
+    """
+    table = _prefix_table(prefixes)
+    if not table:
         return c
     lowered = F.lower(c)
-    (prefix, group), *rest = pairs
-    chain = F.when(lowered.startswith(prefix), F.lit(group))
-    for prefix, group in rest:
-        chain = chain.when(lowered.startswith(prefix), F.lit(group))
-    return chain.otherwise(c)
+    offers = [
+        F.when(lowered.startswith(start), F.struct(F.lit(len(start)).alias("size"), F.lit(-i).alias("turn"), F.lit(group).alias("group")))
+        for i, (start, group) in enumerate(table)
+    ]
+    best = F.greatest(*offers) if len(offers) > 1 else offers[0]
+    return F.coalesce(best["group"], c)

@@ -57,30 +57,31 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*safe_names(df.columns).values())
 
 
+_NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+
+
 def as_text(c: Column, dtype: T.DataType) -> Column:
     """Nested values as JSON text, everything else as plain text."""
-    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+    if isinstance(dtype, _NESTED):
         return F.to_json(c)
     return c.cast("string")
 
 
 def prefixed(df: DataFrame, prefix: str, skip: Iterable[str] = (), *, serialize: bool = True) -> list[Column]:
-    """``prefix_name`` columns; nested and JSON columns become JSON text.
+    """Each column but the skipped ones as ``<prefix>_<safe name>``.
 
-    Scalars keep their type. With ``serialize=False`` nothing is converted.
+    Structs, lists, maps and variants become JSON text unless ``serialize`` is off; other
+    types stay.
     """
-    prefix = prefix.rstrip("_") + "_"
-    skip = set(skip)
-    kept = [f for f in df.schema.fields if f.name not in skip]
-    names = safe_names(f.name for f in kept)
-    out = []
-    for field in kept:
-        c = F.col(f"`{field.name}`")
-        nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType))
-        if serialize and nested:
-            c = as_text(c, field.dataType)
-        out.append(c.alias(prefix + names[field.name]))
-    return out
+    left_out = frozenset(skip)
+    types = {f.name: f.dataType for f in df.schema.fields if f.name not in left_out}
+    head = f"{prefix.rstrip('_')}_"
+
+    def shown(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return as_text(c, types[name]) if serialize and isinstance(types[name], _NESTED) else c
+
+    return [shown(name).alias(head + safe) for name, safe in safe_names(types).items()]
 
 
 def add_prefix(df: DataFrame, prefix: str, skip: Iterable[str] = ("file_prefix", "doc_id")) -> DataFrame:
@@ -161,25 +162,24 @@ def first_where(value: Column, mask: Column, order: Column) -> Column:
     return F.min_by(value, F.when(mask, order))
 
 
-def dropped_by_dedupe(
-    columns: Iterable[str], drop: Iterable[str] | None = None, *, extend: bool = False
-) -> list[str]:
-    """Columns to leave out: the named ones and every ``*_path`` / ``*_dir``.
-
-    ``drop`` replaces the default names, or adds to them with ``extend``.
-    """
-    default = {"file_prefix", "task_name"}
-    named = set(drop or default) | (default if extend else set())
-    return [c for c in columns if c in named or c.endswith("_path") or c.endswith("_dir")]
+NOTHING_KEPT = "every column names a source, so nothing would be left to compare"
+_SOURCE_NAMES = ("file_prefix", "task_name")
+_SOURCE_ENDINGS = ("_path", "_dir")
 
 
 def drop_source_columns(
     df: DataFrame, drop: Iterable[str] | None = None, *, extend: bool = False
 ) -> DataFrame:
-    gone = dropped_by_dedupe(df.columns, drop, extend=extend)
-    if len(gone) == len(df.columns):
-        raise ValueError("No columns left after dropping path-related fields")
-    return df.drop(*gone)
+    """Without the columns that say where a row came from.
+
+    Those are the usual names, or the names in ``drop`` instead (with ``extend`` as well),
+    and whatever ends like a path or a folder.
+    """
+    names = [*(drop or ()), *(_SOURCE_NAMES if extend or not drop else ())]
+    content = [c for c in df.columns if not c.endswith(_SOURCE_ENDINGS) and c not in names]
+    if not content:
+        raise ValueError(NOTHING_KEPT)
+    return df.select(*[F.col(f"`{c}`") for c in content])
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalflow.session import settle
-
 
 def distinct_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct rows over the key columns only: a hash aggregate with map-side combine."""
@@ -36,62 +34,39 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return ranked.drop("_rank", "_hash")
 
 
+def record_digest(keys: Sequence[str]) -> Column:
+    """SHA-256 over the key columns, nulls told apart from text: the key records meet by."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), {"ignoreNullFields": "false"}), 256)
+
+
 def merge_copies(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], paths: Sequence[str]
 ) -> DataFrame:
     """One row per key with the path values of its first copy and the copy count.
 
-    Minimum of a struct: combined in each map task, one row per key and task
-    crosses the shuffle however many copies there are.
+    Records meet by digest. The minimum of a struct is combined in each map task, so one
+    row per record and task crosses the shuffle, with the record's text once.
     """
-    first = F.min(F.struct(*order, *[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(paths)]))
-    merged = df.groupBy(_hash_first(keys), *keys).agg(
+    carried = [*paths, *keys]
+    first = F.min(F.struct(*order, *[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(carried)]))
+    merged = df.groupBy(record_digest(keys).alias("record")).agg(
         first.alias("_first"), F.count(F.lit(1)).alias("copies")
     )
-    values = [F.col(f"_first._p{i}").alias(p) for i, p in enumerate(paths)]
-    return merged.select(*keys, *values, "copies")
+    values = {c: F.col(f"_first._p{i}").alias(c) for i, c in enumerate(carried)}
+    return merged.select("record", *[values[c] for c in [*keys, *paths]], "copies")
 
 
 def copy_paths(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], paths: Sequence[str]
 ) -> DataFrame:
-    """Every distinct path of every key, one row each: ``(keys, role, path, first_seen)``.
+    """Every distinct path of every record, one row each: ``(record, role, path, first_seen)``.
 
-    Long form, so a record with any number of copies never becomes one value.
+    ``record`` is the digest that :func:`merge_copies` gives, so no text is repeated per
+    path, and a record with any number of copies never becomes one value; ``first_seen``
+    gives the order of its paths.
     """
     roles = F.array(
         *[F.struct(F.lit(p).alias("role"), F.col(f"`{p}`").alias("path")) for p in paths]
     )
-    long = df.select(*keys, F.struct(*order).alias("_seen"), F.inline(roles))
-    whole = [*keys, "role", "path"]
-    return long.groupBy(_hash_first(whole), *whole).agg(F.min("_seen").alias("first_seen")).drop("_hash")
-
-
-ARRAY_LIMIT = 100_000
-
-
-def path_arrays(
-    long: DataFrame, keys: Sequence[str], paths: Sequence[str], *, limit: int = ARRAY_LIMIT
-) -> DataFrame:
-    """``all_<path>`` arrays in first-seen order from the long form.
-
-    Arrays are built for keys with up to ``limit`` distinct paths per role.
-    A key beyond that has null arrays and ``paths_in_table = true``: all its
-    paths are in the long form, which is never shortened. The long form is read
-    twice, so it is settled first.
-    """
-    long = settle(long)
-    sizes = long.groupBy(*keys, "role").agg(F.count(F.lit(1)).alias("_n"))
-    wide = sizes.groupBy(*keys).agg(F.max("_n").alias("_n"))
-    small = long.join(wide.where(F.col("_n") <= limit).select(*keys), list(keys), "left_semi")
-
-    def in_order(role: str) -> Column:
-        pairs = F.collect_list(F.when(F.col("role") == role, F.struct("first_seen", "path")))
-        return F.transform(F.array_sort(pairs), lambda pair: pair["path"])
-
-    arrays = small.groupBy(*keys).agg(*[in_order(p).alias(f"all_{p}") for p in paths])
-    return (
-        wide.join(arrays, list(keys), "left")
-        .withColumn("paths_in_table", F.col("_n") > limit)
-        .drop("_n")
-    )
+    long = df.select(record_digest(keys).alias("record"), F.struct(*order).alias("_seen"), F.inline(roles))
+    return long.groupBy("record", "role", "path").agg(F.min("_seen").alias("first_seen"))

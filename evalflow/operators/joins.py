@@ -23,42 +23,42 @@ def key_sets(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).distinct()
 
 
+def _tests(keys: Sequence[str], null_safe: Sequence[str]) -> Column:
+    tests = [
+        F.col(k).eqNullSafe(F.col(f"_r_{k}")) if k in null_safe else F.col(k) == F.col(f"_r_{k}")
+        for k in keys
+    ]
+    return reduce(lambda a, b: a & b, tests)
+
+
 def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    null_safe: Sequence[str] = (),
-    *,
-    split_right: bool = False,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()
 ) -> DataFrame:
     """Left join keeping one copy of the keys; only ``null_safe`` keys match nulls.
 
     No hint: Spark broadcasts ``right`` when its size estimate is under
     ``autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive skew
-    handling splits a hot key of the left side over several tasks. A left join
-    cannot split a hot key of the right side. ``split_right`` is for that case:
-    an inner join, which can, and the left rows that match nothing.
+    handling splits a hot key of the left side over several tasks. For right
+    sides whose keys may be hot see :func:`attach`.
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    tests = [
-        F.col(k).eqNullSafe(F.col(f"_r_{k}")) if k in null_safe else F.col(k) == F.col(f"_r_{k}")
-        for k in keys
-    ]
-    test = reduce(lambda a, b: a & b, tests)
+    return left.join(renamed, _tests(keys, null_safe), "left").drop(*[f"_r_{k}" for k in keys])
+
+
+def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> DataFrame:
+    """The rows of :func:`left_join` for right sides with any distribution of keys.
+
+    An inner join, of which Spark splits a hot key of either side, and the left rows
+    that match nothing, found against the distinct keys.
+    """
     extra = [f"_r_{k}" for k in keys]
-    if not split_right:
-        return left.join(renamed, test, "left").drop(*extra)
+    renamed = right.withColumnsRenamed(dict(zip(keys, extra)))
+    test = _tests(keys, null_safe)
     matched = left.join(renamed, test, "inner").drop(*extra)
     unmatched = left.join(renamed.select(*extra).distinct(), test, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key. Runs a job that brings back one number."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.max("rows")).first()[0] or 0
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -83,10 +83,6 @@ def require_matches(df: DataFrame, other: DataFrame, keys: Sequence[str], what:
         raise ValueError(f"No {what} found for {bad[0].asDict()}")
 
 
-def keep_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(listed.select(*keys), list(keys), "left_semi")
-
-
 def skip_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(listed.select(*keys), list(keys), "left_anti")
 

@@ -14,8 +14,8 @@ from evalflow.session import settle
 def pack_order(*parts: tuple[Column, int]) -> Column:
     """Several integers as one ``decimal(38,0)`` that sorts like them.
 
-    Each part comes with the number of decimal digits kept for it; its values are
-    not negative and have no more digits. A fixed-width ordinal lets
+    Each part comes with the number of decimal digits kept for it; a negative value or
+    one with more digits is an error. A fixed-width ordinal lets
     last-write-wins aggregates hash instead of sort. Parts are first put together
     as longs of up to 18 digits, which leaves little decimal arithmetic.
     """
@@ -24,6 +24,10 @@ def pack_order(*parts: tuple[Column, int]) -> Column:
     longs: list[tuple[Column, int]] = []
     for part, width in parts:
         value = part.cast("long")
+        # a value with more digits would spill into its neighbour
+        value = F.when(value.isNull() | value.between(0, 10**width - 1), value).otherwise(
+            F.raise_error(F.concat(F.lit(f"no place for more than {width} digits: "), value.cast("string"))).cast("long")
+        )
         if longs and longs[-1][1] + width <= 18:
             head, digits = longs.pop()
             longs.append((head * 10**width + value, digits + width))

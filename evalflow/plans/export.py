@@ -18,17 +18,12 @@ from evalflow.functions.jsontext import config_key
 from evalflow.functions.paths import artifact_prefix, result_slug, task_name_from_prefix
 from evalflow.operators import columns as ops
 from evalflow.operators.dedupe import first_per_key
-from evalflow.operators.joins import key_sets, largest_group, left_join
+from evalflow.operators.joins import attach, key_sets, left_join
 from evalflow.sinks.tables import cut_lineage, finished_slugs, plan_work, write_table
 from evalflow.sources import files, records
 
 DIRS = ("results_dir",)
 
-# Rows of one document beyond which its artifact is joined in parts.
-HOT_ROWS = 1_000_000
-# Metrics rows beyond which they are not expected to be broadcast.
-BROADCAST_ROWS = 10_000
-
 
 def task_names(
     preds: DataFrame, recs: DataFrame, reqs: DataFrame, dirs: Sequence[str] = DIRS
@@ -68,19 +63,17 @@ def export_documents(
     metrics: DataFrame,
     *,
     dirs: Sequence[str] = DIRS,
-    doc_id: int | None = None,
+    doc_id: int | str | None = None,
     prefixes: Mapping[str, str] = C.EXPORT_PREFIXES,
     config: DataFrame | None = None,
-    hot: Sequence[str] = (),
-    metrics_first: bool = False,
 ) -> DataFrame:
     """Document spine with everything known about each document and request.
 
     ``metrics`` rows carry a task name and are matched to file prefixes here.
     A ``doc_id`` filters the spine only; Spark carries it into the other sides.
-    ``hot`` names the artifacts where one document holds a large share of the rows.
-    Metrics join last, when they can be broadcast; ``metrics_first`` joins larger
-    ones to the narrow spine, so that the wide rows are not shuffled by file.
+    Metrics join the narrow spine first, so that the wide rows are not shuffled by
+    file. Each artifact is attached in a form that holds for any number of rows of a
+    document.
     """
     file_key = [*dirs, "file_prefix"]
     doc_key = [*file_key, "doc_id"]
@@ -93,7 +86,7 @@ def export_documents(
         [preds.select(*doc_key, no_idx), recs.select(*doc_key, no_idx), reqs.select(*spine_key)], spine_key
     )
     if doc_id is not None:
-        spine = spine.where(F.col("doc_id") == doc_id)
+        spine = spine.where(F.col("doc_id") == F.lit(doc_id).cast(spine.schema["doc_id"].dataType))
     met = metrics_by_prefix(metrics, task_names(preds, recs, reqs, dirs), dirs)
 
     def side(frame: DataFrame, artifact: str, keys: Sequence[str]) -> DataFrame:
@@ -101,16 +94,10 @@ def export_documents(
         return frame.select(*keys, *ops.prefixed(frame, prefixes[artifact], skip))
 
     met_side = side(met, "metrics", file_key)
-    out = left_join(spine, met_side, file_key) if metrics_first else spine
-    out = left_join(out, side(preds, "predictions", doc_key), doc_key, split_right="predictions" in hot)
-    out = left_join(
-        out, side(recs, "recorded-inputs", doc_key), doc_key, split_right="recorded-inputs" in hot
-    )
-    out = left_join(
-        out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"], split_right="requests" in hot
-    )
-    if not metrics_first:
-        out = left_join(out, met_side, file_key)
+    out = left_join(spine, met_side, file_key)
+    out = attach(out, side(preds, "predictions", doc_key), doc_key)
+    out = attach(out, side(recs, "recorded-inputs", doc_key), doc_key)
+    out = attach(out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"])
     if config is not None:
         out = left_join(out, side(config, "config", file_key), file_key)
     met_columns = [c for c in met_side.columns if c not in file_key]
@@ -133,12 +120,13 @@ def dedupe_configurations(
     by the listed columns that exist and at last by the content of the row.
     """
     if not ops.drop_source_columns(exported, drop, extend=extend).columns:
-        raise ValueError("No columns left after dropping path-related fields")
+        raise ValueError(ops.NOTHING_KEPT)
     if config not in exported.columns:
         return ops.drop_source_columns(exported, drop, extend=extend).distinct()
     # a null configuration gives a null key, so those rows need no key at all
     with_config, without = (exported.where(F.col(config).isNotNull()), exported.where(F.col(config).isNull()))
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(exported.columns)])
+    fields = [F.col(f"`{c}`") for c in sorted(exported.columns)]
+    content = F.xxhash64(*fields, *[c.isNull() for c in fields])  # a hash alone skips nulls
     keyed = ops.compute_once(with_config, {"_key": config_key(F.col(config), mode=key_mode), "_row": content})
     order = [c for c in ("file_prefix", *ties) if c in exported.columns]
     first = first_per_key(keyed, "_key", [*order, "_row"]).drop("_key", "_row")
@@ -163,27 +151,33 @@ def run_export(
     *,
     wanted_dirs: Sequence[str] | None = None,
     force: bool = False,
-    doc_id: int | None = None,
+    doc_id: int | str | None = None,
     slug_prefix: str = "",
 ) -> dict[str, DataFrame]:
     """Export every results directory below the roots as one partitioned table.
 
-    ``work`` is a shared folder for landed artifacts. JSON is parsed once, into
-    Parquet, and each later step reads only the columns it needs from there.
+    ``work`` is a shared folder for landed artifacts. The tree is listed once, into the
+    manifest, and only files of directories still to do are read. JSON is parsed once,
+    into Parquet, and each later step reads only the columns it needs from there.
     Each line belongs to every directory that claims its file. Directories that
-    are already finished are skipped unless ``force``; a bad line goes to the
-    quarantine table and stops nothing.
+    are already finished are skipped unless ``force``; a bad line, or one with a value
+    that does not fit its type, goes to the quarantine table and stops nothing. Fields
+    that no schema declares stay as JSON text in ``<prefix>_undeclared_fields``.
+    Two directories with one slug are an error.
     """
-    root = files.root_list(roots)[0]
+    listed = files.check_roots(spark, roots)
     found = files.manifest(spark, roots)
     if wanted_dirs is not None:
         found = found.where(F.col("results_dir").isin([d.rstrip("/") for d in wanted_dirs]))
     found = found.withColumn(
-        "slug", result_slug(F.col("results_dir"), root, prefix=slug_prefix, doc_id=doc_id)
-    ).withColumn("doc_id_filter", F.lit(doc_id).cast("long"))
+        "slug", result_slug(F.col("results_dir"), listed, prefix=slug_prefix, doc_id=doc_id)
+    ).withColumn("doc_id_filter", F.lit(doc_id).cast("string"))
     found = cut_lineage(spark, found, f"{work}/manifest")
     if not found.take(1):
-        raise FileNotFoundError(f"No eval directories found below {roots}")
+        raise FileNotFoundError(f"no results directory below {roots}")
+    shared = found.groupBy("slug").agg(F.min("results_dir").alias("a"), F.max("results_dir").alias("b"))
+    if clash := shared.where("a <> b").take(1):
+        raise ValueError(f"one slug for two directories: {clash[0].asDict()}")
     status = cut_lineage(
         spark,
         plan_work(found, finished_slugs(spark, f"{out}/manifest"), force=force),
@@ -192,10 +186,9 @@ def run_export(
     todo = found.join(status.where("status = 'processed'").select("slug"), "slug", "left_semi")
 
     landed, quarantine = {}, []
-    globs = {**{a: f"*-{a}.jsonl" for a in C.DOC_ARTIFACTS}, "metrics": C.RESULTS_FILE}
-    for name, glob in globs.items():
+    for name in (*C.DOC_ARTIFACTS, "metrics"):
         wanted = todo.where(F.col("artifact") == ("metrics-all" if name == "metrics" else name))
-        lines = records.read_lines(spark, roots, glob).join(wanted.select("path", "results_dir"), "path")
+        lines = records.read_paths(spark, wanted.select("path")).join(wanted.select("path", "results_dir"), "path")
         rows = records.landed_lines(lines, schemas.ARTIFACTS[name])
         if name != "metrics":
             rows = rows.withColumn("file_prefix", artifact_prefix(F.col("path"), name))
@@ -203,14 +196,7 @@ def run_export(
         landed[name] = records.good_rows(rows)
         quarantine.append(records.quarantined(rows).withColumn("artifact", F.lit(name)))
 
-    doc_key = ["results_dir", "file_prefix", "doc_id"]
-    group = {"predictions": doc_key, "recorded-inputs": doc_key, "requests": [*doc_key, "idx"]}
-    wide = export_documents(
-        *[landed[a] for a in (*C.DOC_ARTIFACTS, "metrics")],
-        doc_id=doc_id,
-        hot=[a for a, keys in group.items() if largest_group(landed[a], keys) > HOT_ROWS],
-        metrics_first=landed["metrics"].count() > BROADCAST_ROWS,
-    )
+    wide = export_documents(*[landed[a] for a in (*C.DOC_ARTIFACTS, "metrics")], doc_id=doc_id)
     slugs = todo.select("results_dir", "slug").distinct()
     write_table(left_join(wide, slugs, ["results_dir"]), f"{out}/data", partition_by=("slug",))
     write_table(

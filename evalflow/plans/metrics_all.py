@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from evalflow import constants as C
 from evalflow.functions.paths import parent_dir, task_stem
 from evalflow.operators.columns import compute_once
-from evalflow.operators.dedupe import copy_paths, distinct_records, merge_copies, path_arrays
+from evalflow.operators.dedupe import copy_paths, distinct_records, merge_copies
 from evalflow.operators.joins import left_join
-from evalflow.session import settle
 from evalflow.sources import files, records
 
 
@@ -57,30 +56,39 @@ def rejected_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def merged_records(rows: DataFrame, *, strict: bool = False) -> dict[str, DataFrame]:
-    """Records merged across directories.
+def _copies(rows: DataFrame, strict: bool) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows with their place in the order, the content columns and the path columns."""
+    keys = [*RECORD, *(["recorded-inputs"] if strict else [])]
+    ordered = rows.withColumns({"_dir": F.col("result_dir"), "_file": F.col("eval_results_path")})
+    return ordered, keys, [p for p in C.PATH_COLUMNS if p not in keys]
+
+
+def merged_records(rows: DataFrame, *, strict: bool = False) -> DataFrame:
+    """One row per distinct content with the paths of its first copy; lazy.
 
-    ``records``: one row per distinct content with the paths of its first copy.
-    ``paths``: every path of every copy, one row each. ``arrays``: the same as
-    ``all_*`` arrays, for records with a bounded number of copies. With
-    ``strict`` the recorded-inputs path counts as content, so copies in two
+    With ``strict`` the recorded-inputs path counts as content, so copies in two
     directories that hold that file stay apart.
     """
-    keys = [*RECORD, *(["recorded-inputs"] if strict else [])]
-    paths = [p for p in C.PATH_COLUMNS if p not in keys]
-    rows = rows.withColumns({"_dir": F.col("result_dir"), "_file": F.col("eval_results_path")})
-    order = ["_dir", "_file"]
-    content = [k for k in keys if k not in RECORD[1:]]
-    return {
-        "records": merge_copies(rows, keys, order, paths),
-        "paths": (long := copy_paths(rows, content, order, paths)),
-        "arrays": path_arrays(long, content, paths),
-    }
+    ordered, keys, paths = _copies(rows, strict)
+    return merge_copies(ordered, keys, ["_dir", "_file"], paths)
+
+
+def record_paths(rows: DataFrame, *, strict: bool = False) -> DataFrame:
+    """Every path of every copy, one row each, by the ``record`` of :func:`merged_records`; lazy."""
+    ordered, keys, paths = _copies(rows, strict)
+    return copy_paths(ordered, keys, ["_dir", "_file"], paths)
 
 
 def load_all_results(spark: SparkSession, roots: files.Roots, *, strict: bool = False) -> dict[str, DataFrame]:
-    """The merged record tables of every results file below the roots."""
+    """The merged record tables of every results file below the roots.
+
+    Nothing runs before a table is asked for.
+    """
     lines = records.read_lines(spark, roots, C.RESULTS_FILE)
     index = files.artifact_index(files.discover(spark, roots, "task-*.jsonl"))
-    rows = settle(enriched_records(directory_records(lines), index))
-    return {**merged_records(rows, strict=strict), "rejected": rejected_records(lines)}
+    rows = enriched_records(directory_records(lines), index)
+    return {
+        "records": merged_records(rows, strict=strict),
+        "paths": record_paths(rows, strict=strict),
+        "rejected": rejected_records(lines),
+    }

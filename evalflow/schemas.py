@@ -33,16 +33,16 @@ METRICS_ALL = _struct(
     " task_idx int"
 )
 PREDICTIONS = _struct(
-    "doc_id bigint, native_id variant, metrics variant, model_output variant,"
+    "doc_id string, native_id variant, metrics variant, model_output variant,"
     " label variant, task_hash string, model_hash string"
 )
 RECORDED_INPUTS = _struct(
-    "doc variant, task_name string, doc_id bigint, native_id variant, label variant,"
+    "doc variant, task_name string, doc_id string, native_id variant, label variant,"
     " requests variant"
 )
 REQUESTS = _struct(
     "request_type string, doc variant, request variant, idx bigint, task_name string,"
-    " doc_id bigint, native_id variant, label variant"
+    " doc_id string, native_id variant, label variant"
 )
 ARTIFACTS = {
     "predictions": PREDICTIONS,
@@ -65,16 +65,6 @@ QUESTION = T.StructType(
         T.StructField("model_output", T.ArrayType(ANSWER)),
     ]
 )
-TASK_OUTPUT = T.StructType(
-    [
-        *_struct(
-            "task_hash string, model_hash string, data string, params string, seed int,"
-            " task string, step int"
-        ).fields,
-        T.StructField("question_outputs", T.ArrayType(QUESTION)),
-    ]
-)
-
 # Train results: every metric is a number; integer indexes read as doubles too.
 TRAIN_METRICS = T.StructType(
     [T.StructField(m, T.DoubleType()) for m in [*C.TRAIN_METRIC_RENAMES, *C.TRAIN_METRICS_DROPPED]]
@@ -83,10 +73,6 @@ TRAIN_INPUT = _struct(
     "params string, data string, task string, step bigint, seed string, chinchilla string,"
     " tokens double, compute double, metrics string"
 )
-SCALING_INPUT = _struct(
-    "setup string, mix string, task string, metric string, step_1_y double,"
-    " step_1_pred double, step_2_y double, step_2_pred double, stacked_pred double"
-)
 RUNS = _struct("run_id string, config string, summary string, created_at string")
 QUARANTINE = _struct("path string, line string, reason string, at timestamp")
 

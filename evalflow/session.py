@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,10 @@ SETTINGS = {
     # export then moves each artifact once.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stream state on disk: it may outgrow an executor's memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -42,6 +48,8 @@ def build_session(
         builder = builder.master(master)
         if master.startswith("local"):
             options.update(LOCAL_FILES)
+            # its checkpoints need the checksumming local file system
+            options.pop("spark.sql.streaming.stateStore.providerClass")
     if shuffle_partitions:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     options.update(settings or {})
@@ -51,37 +59,48 @@ def build_session(
 
 
 _own_folders: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach, as named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session gets a fresh folder of its own and a
-    cluster session a folder in the warehouse.
+    Where that is unset a local session gets a fresh folder of its own, removed when the
+    process ends; a cluster session is refused, as no other folder is known to be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
-        if spark.sparkContext.master.startswith("local"):
-            _own_folders[app] = tempfile.mkdtemp(prefix="evalflow-")
-        else:
-            _own_folders[app] = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/evalflow-{app}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        _own_folders[app] = tempfile.mkdtemp(prefix="evalflow-")
+        atexit.register(shutil.rmtree, _own_folders[app], ignore_errors=True)
     return _own_folders[app]
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame once into the checkpoint folder, for plans that read it twice.
+    """Write a frame to the shared folder and read it back, for plans that read it twice.
 
-    A lost executor costs no recomputation of what lies before.
+    Columns that a reader does not need are not read, and a lost executor costs no
+    recomputation of what lies before.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = fresh_folder(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application put below the shared folder, once its results are written."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

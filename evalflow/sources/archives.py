@@ -6,65 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalflow.functions.paths import archive_parts, member_parts
-from evalflow.sources.files import discover, plain_path
+from evalflow.sources.files import discover
 
-def list_archives(spark: SparkSession, root: str, data: str | None = None, params: str | None = None, seed: int | None = None) -> DataFrame:
-    """Archives below a root with data / params / seed, optionally of one setting."""
+
+def list_archives(
+    spark: SparkSession, root: str, data: str | None = None, params: str | None = None, seed: int | None = None
+) -> DataFrame:
+    """Archives below a root in order, with data / params / seed, optionally of one setting."""
     path = F.col("path")
     found = discover(spark, root, "*.tar.gz").withColumns(archive_parts(path))
     for name, wanted in (("data", data), ("params", params), ("seed", seed)):
         if wanted is not None:
             found = found.where(F.col(name) == wanted)
-    return found.select("path", "length", "data", "params", "seed")
-
-
-def _member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream every JSONL member of each archive as batches of lines."""
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows, size = [], 0
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
-                for member in archive:
-                    if not (member.isfile() and member.name.endswith(".jsonl")):
-                        continue
-                    for number, raw in enumerate(archive.extractfile(member)):
-                        line = raw.decode("utf-8").rstrip("\r\n")
-                        if not line.strip():
-                            continue
-                        rows.append((path, member.name, number, line))
-                        size += len(line)
-                        if size >= _BATCH_CHARS:
-                            yield pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])
-                            rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])
+    return found.select("path", "length", "data", "params", "seed").orderBy("path")
 
 
 def _line_reader(columns: list[str], batch_chars: int = 8_000_000):
     """Task function: every line of every JSONL member, in batches of bounded size.
 
-    Takes ``content`` when the column is there, else opens ``path`` as a stream.
-    Holds all it needs, so workers run it without this package.
+    An archive of any size is read as a stream from its path. Holds all it needs, so
+    workers run it without this package.
     """
 
     def read(batches):
-        import io
         import tarfile
 
         import pandas as pd
         from pyarrow import fs as pafs
 
-        def opened(row):
-            if "content" in row:
-                return io.BytesIO(row["content"])
-            path = row["path"]
+        def opened(path):
+            for scheme in ("s3a://", "s3n://"):
+                path = path.replace(scheme, "s3://", 1) if path.startswith(scheme) else path
             fs, name = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
             return fs.open_input_stream(name, compression=None)
 
         rows, size = [], 0
         for batch in batches:
-            for row in batch.to_dict("records"):
-                with opened(row) as stream, tarfile.open(fileobj=stream, mode="r|gz") as archive:
+            for source in batch["path"]:
+                with opened(source) as stream, tarfile.open(fileobj=stream, mode="r|gz") as archive:
                     for member in archive:
                         if not (member.isfile() and member.name.endswith(".jsonl")):
                             continue
@@ -72,7 +51,7 @@ def _line_reader(columns: list[str], batch_chars: int = 8_000_000):
                             line = raw.decode("utf-8").rstrip("\r\n")
                             if not line.strip():
                                 continue
-                            rows.append((row["path"], member.name, number, line))
+                            rows.append((source, member.name, number, line))
                             size += len(line)
                             if size >= batch_chars:
                                 yield pd.DataFrame(rows, columns=columns)
@@ -83,24 +62,13 @@ def _line_reader(columns: list[str], batch_chars: int = 8_000_000):
     return read
 
 
-def read_archive_lines(spark: SparkSession, root: str, *, stream: bool = False) -> DataFrame:
+def read_archive_lines(spark: SparkSession, root: str) -> DataFrame:
     """``(path, member, line_no, line, data, params, seed, step, task)`` of all archives.
 
-    Archives spread over tasks and their members come out line by line. By default
-    an archive is read as one binary value, which Spark limits to 2 GB; with
-    ``stream`` tasks get paths only and read archives of any size as a stream.
+    Tasks get paths and read archives of any size as a stream, line by line.
     """
-    if stream:
-        listed = discover(spark, root, "*.tar.gz").select("path")
-        archives = listed.repartition(max(spark.sparkContext.defaultParallelism, 1), "path")
-    else:
-        archives = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.tar.gz")
-            .load(root)
-            .select(plain_path(F.col("path")).alias("path"), "content")
-        )
+    listed = discover(spark, root, "*.tar.gz").select("path")
+    archives = listed.repartition(max(spark.sparkContext.defaultParallelism, 1), "path")
     reader = _line_reader(["path", "member", "line_no", "line"])
     lines = archives.mapInPandas(reader, "path string, member string, line_no long, line string")
     return lines.withColumns({**archive_parts(F.col("path")), **member_parts(F.col("member"))})

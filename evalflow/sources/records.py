@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from evalflow import schemas
 from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import artifact_prefix
 from evalflow.operators.columns import compute_once
-from evalflow.sources.files import Roots, check_roots, plain_path
+from evalflow.sources.files import Roots, check_roots, decoded_path
 
 
 def read_lines(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
@@ -23,7 +24,21 @@ def read_lines(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
         .text(check_roots(spark, roots))
     )
     return lines.select(
-        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
+        decoded_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
+    ).where(F.trim("line") != "")
+
+
+def read_paths(spark: SparkSession, paths: DataFrame) -> DataFrame:
+    """``(path, line)`` of all non-blank lines of the files named by ``path``, and of no others.
+
+    The driver holds the names, as it does for any file listing.
+    """
+    names = [re.sub(r"([\\*?\[\]{}])", r"\\\1", row[0]) for row in paths.distinct().toLocalIterator()]
+    if not names:
+        return spark.createDataFrame([], "path string, line string")
+    lines = spark.read.text(names)
+    return lines.select(
+        decoded_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
     ).where(F.trim("line") != "")
 
 
@@ -36,7 +51,7 @@ def read_documents(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
         .text(check_roots(spark, roots))
     )
     return files.select(
-        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
+        decoded_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
     )
 
 
@@ -58,24 +73,36 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+UNDECLARED = "undeclared_fields"
+_MISFIT = "_misfit"
+
+
 def landed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """All columns of ``lines`` but the text, the declared fields, ``bad_line`` and ``reason``.
+    """All columns of ``lines`` but the text, the declared fields, the rest, ``bad_line`` and ``reason``.
 
-    Absent fields are null. A line that is no JSON object keeps its text in
-    ``bad_line``, so one pass over the text yields both rows and quarantine. The
-    typed reader alone would also take a line with rubbish behind its object.
+    Absent fields are null; fields beyond the schema stay together as JSON text in
+    ``undeclared_fields``. A line that is no JSON object, or has a value that does not fit
+    its declared type, keeps its text in ``bad_line``, so one pass over the text yields both
+    rows and quarantine. The typed reader alone would also take a line with rubbish
+    behind its object.
     """
     kept = [c for c in lines.columns if c != "line"]
     parsed = parsed_lines(lines)
     reason = F.when(F.col("v").isNull(), F.lit("not JSON")).when(~is_object(F.col("v")), F.lit("no object"))
-    judged = compute_once(parsed, {"reason": reason}, keep=[*kept, "line"])
-    good = F.when(F.col("reason").isNull(), F.col("line"))
-    return judged.select(
+    judged = compute_once(parsed, {"_reason": reason}, keep=[*kept, "line"])
+    good = F.when(F.col("_reason").isNull(), F.col("line"))
+    marked = T.StructType([*schema.fields, T.StructField(_MISFIT, T.StringType())])
+    typed = F.from_json(good, marked, {"columnNameOfCorruptRecord": _MISFIT})
+    others = F.map_filter(F.from_json("line", "map<string,variant>"), lambda name, _: ~name.isin(schema.fieldNames()))
+    rows = compute_once(judged, {"_r": typed}, keep=[*kept, "line", "_reason"])
+    reason = F.coalesce("_reason", F.when(F.col("_r")[_MISFIT].isNotNull(), F.lit("a value does not fit its type")))
+    return rows.select(
         *kept,
-        F.from_json(good, schema).alias("_r"),
-        F.when(F.col("reason").isNotNull(), F.col("line")).alias("bad_line"),
-        "reason",
-    ).select(*kept, "_r.*", "bad_line", "reason")
+        *[F.col("_r")[name].alias(name) for name in schema.fieldNames()],
+        F.when(F.size(others) > 0, F.to_json(others)).alias(UNDECLARED),
+        F.when(reason.isNotNull(), F.col("line")).alias("bad_line"),
+        reason.alias("reason"),
+    )
 
 
 def good_rows(landed: DataFrame) -> DataFrame:
@@ -120,6 +147,14 @@ def read_json_artifact(
     )
 
 
+def canonical_lines(lines: DataFrame) -> DataFrame:
+    """Every line, parsed once: ``(path, canon)`` of objects, ``line`` and ``reason`` of others."""
+    texts = compute_once(lines, {"_canon": canonical_json(F.col("line"))}, keep=["path", "line"])
+    good = F.startswith("_canon", F.lit("{"))
+    reason = F.when(F.col("_canon").isNull(), F.lit("not JSON")).when(~good, F.lit("no object"))
+    return texts.select("path", F.when(good, F.col("_canon")).alias("canon"), "line", reason.alias("reason"))
+
+
 def canonical_records(lines: DataFrame) -> DataFrame:
     """``(path, canon)`` of the JSON objects, keys sorted at every level."""
     texts = compute_once(lines, {"canon": canonical_json(F.col("line"))}, keep=["path"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,13 +14,15 @@ from evalflow.functions.paths import parent_dir
 from evalflow.operators.columns import compute_once
 from evalflow.plans.runs import classification_log, classified
 from evalflow.sinks.tables import write_table
-from evalflow.sources.files import Roots, check_roots, plain_path
-from evalflow.sources.records import bad_lines, canonical_records
+from evalflow.sources.files import Roots, check_roots, decoded_path
+from evalflow.sources.records import canonical_lines
 
 
-def stream_lines(spark: SparkSession, root: Roots, glob: str = C.RESULTS_FILE, *, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of ``(path, line, modified)`` over files as they appear below a root."""
-    (folder,) = check_roots(spark, root)
+def stream_lines(
+    spark: SparkSession, roots: Roots, glob: str = C.RESULTS_FILE, *, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of ``(path, line, modified)`` over files as they appear below the roots."""
+    folders = check_roots(spark, roots)
     reader = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
@@ -26,10 +30,11 @@ def stream_lines(spark: SparkSession, root: Roots, glob: str = C.RESULTS_FILE, *
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    streams = [reader.load(folder) for folder in folders]
     return (
-        reader.load(folder)
+        reduce(DataFrame.unionByName, [s.select("*", "_metadata") for s in streams])
         .select(
-            plain_path(F.col("_metadata.file_path")).alias("path"),
+            decoded_path(F.col("_metadata.file_path")).alias("path"),
             F.col("value").alias("line"),
             F.col("_metadata.file_modification_time").alias("modified"),
         )
@@ -65,9 +70,14 @@ def ingest_new_files(
     lines = stream_lines(spark, root, glob, files_per_batch=files_per_batch)
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        tagged = lambda df: df.withColumn("batch", F.lit(number))
-        write_table(tagged(canonical_records(batch)), f"{out}/records", partition_by=("batch",), rebalance=False)
-        write_table(tagged(bad_lines(batch)), f"{out}/quarantine", partition_by=("batch",), rebalance=False)
+        rows = canonical_lines(batch).withColumn("batch", F.lit(number)).persist()
+        good = rows.where(F.col("reason").isNull()).select("path", "canon", "batch")
+        bad = rows.where(F.col("reason").isNotNull()).select(
+            "path", "line", "reason", F.current_timestamp().alias("at"), "batch"
+        )
+        write_table(good, f"{out}/records", partition_by=("batch",), rebalance=False)
+        write_table(bad, f"{out}/quarantine", partition_by=("batch",), rebalance=False)
+        rows.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write_batch)

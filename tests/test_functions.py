@@ -29,9 +29,9 @@ def test_prefix_groups(spark, value):
     assert value(text.group_by_prefix(F.lit(None).cast("string"), prefixes)) is None
     assert value(text.group_by_prefix(F.lit("arc"), None)) == "arc"
     with pytest.raises(ValueError):
-        text.prefix_order({" ": "x"})
+        text.group_by_prefix(F.lit("a"), {" ": "x"})
     with pytest.raises(TypeError):
-        text.prefix_order([("a", 1)])
+        text.group_by_prefix(F.lit("a"), [("a", 1)])
 
 
 def test_sizes(value):

@@ -182,6 +182,8 @@ def test_packed_order(value):
     assert int(value(packed)) == 1203
     with pytest.raises(ValueError):
         pack_order((F.lit(1), 30), (F.lit(1), 9))
+    with pytest.raises(Exception, match="no place for more than 2 digits"):
+        value(pack_order((F.lit(12), 4), (F.lit(300), 2)))
 
 
 def test_train(spark):
@@ -231,15 +233,14 @@ def test_spine(spark):
     assert {r["idx"] for r in one.collect()} == {None, 0, 1}
 
 
-def test_hot_artifacts_join_alike(spark):
-    plain = export.export_documents(*spine_inputs(spark))
-    split = export.export_documents(*spine_inputs(spark), hot=("predictions", "recorded-inputs", "requests"))
-    assert plain.columns == split.columns
-    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
-    assert joins.largest_group(spine_inputs(spark)[2], ["doc_id"]) == 2
-    early = export.export_documents(*spine_inputs(spark), metrics_first=True)
-    assert plain.columns == early.columns
-    assert sorted(map(str, plain.collect())) == sorted(map(str, early.collect()))
+def test_attached_rows_are_those_of_a_left_join(spark):
+    spine = frame(spark, [("a", 1), ("a", None), ("b", 2), (None, 3)], "k string, idx long")
+    right = frame(spark, [("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 3, "w")], "k string, idx long, v string")
+    for safe in ([], ["idx"], ["k", "idx"]):
+        plain = joins.left_join(spine, right, ["k", "idx"], safe)
+        split = joins.attach(spine, right, ["k", "idx"], safe)
+        assert plain.columns == split.columns
+        assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
 
 
 def test_spine_without_idx(spark):
@@ -276,7 +277,7 @@ def test_config_dedupe(spark):
     assert {tuple(r) for r in again.collect()} == expected
     plain = df.drop("met_task_config")
     assert {tuple(r) for r in export.dedupe_configurations(plain).collect()} == {(0,), (1,)}
-    with pytest.raises(ValueError, match="No columns left"):
+    with pytest.raises(ValueError, match="nothing would be left"):
         export.dedupe_configurations(df.select("file_prefix"))
     dropped = export.dedupe_configurations(df, drop=["doc_id"])
     assert dropped.columns == ["file_prefix", "met_task_config"]
@@ -317,25 +318,41 @@ def test_records(spark):
     }
     assert {r["requests"] for r in full.collect()} == {None}
     merged = metrics_all.merged_records(full)
-    (one,) = merged["records"].collect()
+    (one,) = merged.collect()
     assert (one["result_dir"], one["copies"], one["task_file_stem"]) == ("/x/r1", 2, "task-007-a")
-    (arrays,) = merged["arrays"].collect()
-    assert arrays["all_result_dir"] == ["/x/r1", "/x/r2"] and arrays["all_predictions"] == [None]
-    assert metrics_all.merged_records(full, strict=True)["records"].count() == 2
+    paths = metrics_all.record_paths(full)
+    assert {r["path"] for r in paths.where("role = 'result_dir'").collect()} == {"/x/r1", "/x/r2"}
+    assert [r["path"] for r in paths.where("role = 'predictions'").collect()] == [None]
+    assert metrics_all.merged_records(full, strict=True).count() == 2
     reasons = sorted(r["reason"] for r in metrics_all.rejected_records(src).collect())
     assert reasons == ["no object", "not JSON", "task_name must be a string"]
 
 
-def test_array_bound_keeps_every_path_in_the_long_form(spark):
+def test_paths_of_a_record_stay_in_long_form(spark):
     df = spark.range(40).select(
         F.when(F.col("id") < 30, F.lit("hot")).otherwise(F.lit("cold")).alias("canon"),
         F.format_string("/r%03d", F.col("id")).alias("result_dir"),
     ).withColumn("_dir", F.col("result_dir"))
     long = dedupe.copy_paths(df, ["canon"], ["_dir"], ["result_dir"])
-    got = {r["canon"]: r for r in dedupe.path_arrays(long, ["canon"], ["result_dir"], limit=20).collect()}
-    assert got["hot"]["all_result_dir"] is None and got["hot"]["paths_in_table"]
-    assert got["cold"]["all_result_dir"] == [f"/r{i:03d}" for i in range(30, 40)]
-    assert long.where("canon = 'hot'").count() == 30
+    (hot,) = dedupe.merge_copies(df.where("canon = 'hot'"), ["canon"], ["_dir"], ["result_dir"]).collect()
+    paths = [r["path"] for r in long.where(F.col("record") == hot["record"]).orderBy("first_seen").collect()]
+    assert paths == [f"/r{i:03d}" for i in range(30)] and hot["copies"] == 30
+
+
+def test_merging_records_is_lazy(spark):
+    broken = lines(spark, [("/x/r1/metrics-all.jsonl", RECORD)]).withColumn("line", F.raise_error(F.lit("ran")).cast("string"))
+    index = spark.createDataFrame([], "result_dir string, stem string, predictions string, `recorded-inputs` string, requests string")
+    rows = metrics_all.enriched_records(metrics_all.directory_records(broken), index)
+    metrics_all.merged_records(rows), metrics_all.record_paths(rows)
+
+
+def test_content_hash_tells_nulls_apart(spark):
+    rows = [("p", "a", None, '{"k":1}'), ("p", None, "a", '{"k":1}')]
+    picked = set()
+    for order in (rows, rows[::-1]):
+        df = frame(spark, order, "file_prefix string, x string, y string, met_task_config string").coalesce(1)
+        picked.add(str(export.dedupe_configurations(df, ties=()).collect()))
+    assert len(picked) == 1
 
 
 def test_qa(spark):
@@ -399,5 +416,5 @@ def test_row_order_never_matters(spark):
     for _ in range(2):
         rng.shuffle(rows)
         full = metrics_all.enriched_records(metrics_all.directory_records(lines(spark, rows)), index)
-        results.append(sorted(map(str, metrics_all.merged_records(full)["records"].collect())))
+        results.append(sorted(map(str, metrics_all.merged_records(full).collect())))
     assert results[0] == results[1]

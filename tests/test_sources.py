@@ -64,14 +64,14 @@ def test_export_job(spark, dump, tmp_path):
     out, work = str(tmp_path / "out"), str(tmp_path / "work")
     job = export.run_export(spark, dump, out, f"{work}1", slug_prefix="nov_")
     rows = job["data"].where("slug = 'nov_run1'").collect()
-    assert {(r["doc_id"], r["idx"]) for r in rows} == {(0, None), (0, 0), (0, 1), (1, None)}
+    assert {(r["doc_id"], r["idx"]) for r in rows} == {("0", None), ("0", 0), ("0", 1), ("1", None)}
     # the record stands twice in the results file, and the export does not merge rows
     assert len(rows) == 8
-    first = next(r for r in rows if r["doc_id"] == 0)
+    first = next(r for r in rows if r["doc_id"] == "0")
     assert first["prd_native_id"] == '"q/1"' and first["prd_model_output"] == '[{"a":1}]'
     assert first["met_task_config"] == '{"k":1,"task_name":"boolq"}' and first["met_task_idx"] == 2
     assert first["rin_doc"] == '{"q":"é"}'
-    both = {r["slug"] for r in job["data"].where("doc_id = 5").collect()}
+    both = {r["slug"] for r in job["data"].where("doc_id = '5'").collect()}
     assert both == {"nov_run2", "nov_run2__inner"}
     assert [r["line"] for r in job["quarantine"].collect()] == ["broken"]
     assert {r["status"] for r in job["status"].collect()} == {"processed"}
@@ -79,6 +79,8 @@ def test_export_job(spark, dump, tmp_path):
     again = export.run_export(spark, dump, out, f"{work}2", slug_prefix="nov_")
     assert {tuple(r) for r in sinks.status_counts(again["status"]).collect()} == {("skipped", 3)}
     assert again["data"].count() == job["data"].count()
+    # nothing was left to read
+    assert records.read_paths(spark, again["status"].where("status = 'processed'").select("slug")).inputFiles() == []
     put(dump / "run3" / "metrics-all.jsonl", {"task_name": "n"})
     put(dump / "run3" / "task-000-n-predictions.jsonl", {"doc_id": 9})
     third = export.run_export(spark, dump, out, f"{work}3", slug_prefix="nov_")
@@ -88,8 +90,8 @@ def test_export_job(spark, dump, tmp_path):
     assert forced["data"].count() == total
 
     one = export.run_export(spark, dump, str(tmp_path / "one"), f"{work}5", doc_id=0, wanted_dirs=[str(dump / "run1")])
-    assert {r["doc_id"] for r in one["data"].collect()} == {0}
-    assert {(r["slug"], r["doc_id_filter"]) for r in one["manifest"].collect()} == {("run1__doc0", 0)}
+    assert {r["doc_id"] for r in one["data"].collect()} == {"0"}
+    assert {(r["slug"], r["doc_id_filter"]) for r in one["manifest"].collect()} == {("run1__doc0", "0")}
     with pytest.raises(FileNotFoundError):
         export.run_export(spark, dump, out, f"{work}6", wanted_dirs=["/none"])
 
@@ -105,8 +107,9 @@ def test_load_all_results(spark, dump):
     merged = {r["task_name"]: r for r in loaded["records"].collect()}
     assert merged["boolq"]["copies"] == 2 and merged["boolq"]["task_file_stem"] == "task-002-boolq"
     assert loaded["rejected"].count() == 1
-    arrays = loaded["arrays"].join(loaded["records"].where("task_name = 'boolq'"), "canon").first()
-    assert [p.rsplit("/", 1)[1] for p in arrays["all_result_dir"]] == ["run1", "run2"]
+    paths = loaded["paths"].join(loaded["records"].where("task_name = 'boolq'").select("record"), "record")
+    seen = paths.where("role = 'result_dir'").orderBy("first_seen").collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in seen] == ["run1", "run2"]
 
 
 def test_json_documents(spark, dump):
@@ -137,10 +140,9 @@ def test_archives(spark, tmp_path):
         ("c4", "4M", 2, 10, "boolq", 0, '{"a":1}'), ("c4", "4M", 2, 10, "boolq", 2, '{"a":2}'),
         ("c4", "4M", 2, 20, "arc", 0, '{"é":3}'), ("c4", "1B", 0, 1, "arc", 0, '{"a":4}'),
     }
-    for stream in (False, True):
-        lines = archives.read_archive_lines(spark, str(tmp_path), stream=stream)
-        assert {tuple(r) for r in lines.select("data", "params", "seed", "step", "task", "line_no", "line").collect()} == expected
-    listed = archives.list_archives(spark, str(tmp_path), "c4", "4M", 2).orderBy("path").collect()
+    lines = archives.read_archive_lines(spark, str(tmp_path))
+    assert {tuple(r) for r in lines.select("data", "params", "seed", "step", "task", "line_no", "line").collect()} == expected
+    listed = archives.list_archives(spark, str(tmp_path), "c4", "4M", 2).collect()
     assert [r["path"].rsplit("/", 1)[1] for r in listed] == ["a.tar.gz", "b.tar.gz"]
     assert archives.list_archives(spark, str(tmp_path), "c4", "4M", 9).count() == 0
 
@@ -228,3 +230,22 @@ def test_classify_stream(spark, tmp_path):
     assert spark.read.parquet(f"{out}/classification_log").count() == 3
     assert {r["run_type"] for r in spark.read.parquet(f"{out}/runs").collect()} == {"simple_ft", "other"}
     assert spark.read.parquet(f"{out}/runs").where(F.col("run_type") == "simple_ft").first()["lr"] == "5e-05"
+
+
+def test_export_keeps_what_no_schema_declares(spark, tmp_path):
+    root = tmp_path / "dump"
+    put(root / "a" / "metrics-all.jsonl", {"task_name": "n", "zz_new": 1})
+    put(root / "a" / "task-000-x%20y[1]-predictions.jsonl", {"doc_id": "q1", "brand_new": {"k": 2}})
+    put(root / "a" / "task-000-x%20y[1]-requests.jsonl", {"doc_id": "q1", "idx": "seven"})
+    job = export.run_export(spark, root, str(tmp_path / "out"), str(tmp_path / "work"))
+    (row,) = job["data"].collect()
+    assert (row["doc_id"], row["prd_undeclared_fields"]) == ("q1", '{"brand_new":{"k":2}}')
+    assert [r["reason"] for r in job["quarantine"].collect()] == ["a value does not fit its type"]
+
+
+def test_slugs_tell_directories_apart(spark, value):
+    from evalflow.functions.paths import result_slug
+
+    roots = ["/a/evals", "/b/evals"]
+    slugs = [value(result_slug(F.lit(d), roots)) for d in ("/a/evals/x/run", "/b/evals/x/run", "/a/evals/x__run", "/a/evals")]
+    assert len(set(slugs)) == 4
