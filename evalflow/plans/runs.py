@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
@@ -15,7 +15,7 @@ from evalflow.functions.numbers import CONVERTERS, to_number
 from evalflow.functions.runids import classify_runs
 from evalflow.functions.text import normalize_text
 from evalflow.operators import columns as ops
-from evalflow.operators.joins import UPDATE_RULES, left_join, require_matches, require_unique
+from evalflow.operators.joins import UPDATE_RULES, left_join
 from evalflow.operators.ordering import sorted_nulls_as_blank
 
 Classifier = Callable[[DataFrame, str], DataFrame]
@@ -36,8 +36,10 @@ def classified(
     return out.where(~F.col("run_type").isin(drop)) if drop else out
 
 
-def classification_log(runs: DataFrame, run_id_col: str = "run_id") -> DataFrame:
-    return classify_runs(runs, run_id_col).select(
+def classification_log(
+    runs: DataFrame, run_id_col: str = "run_id", *, classifier: Classifier = classify_runs
+) -> DataFrame:
+    return classifier(runs, run_id_col).select(
         F.col(run_id_col).alias("run_id"), "run_type", F.col("pattern_name").alias("pattern")
     )
 
@@ -68,20 +70,24 @@ def hydrate(
     *,
     summary_fields: Mapping[str, str] = C.RUN_SUMMARY_FIELDS,
     config_fields: Mapping[str, str] = C.RUN_CONFIG_FIELDS,
-    check: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """Fill run columns from the ``summary`` (wins) and ``config`` (fills gaps) JSON.
 
     With ``payloads`` the two documents are joined by ``run_id``; without, they
-    are columns of ``runs`` and nothing is shuffled. ``check`` first verifies
-    that each run finds exactly one payload.
+    are columns of ``runs`` and nothing is shuffled. A run that finds no payload, or more than
+    one, fails the job unless ``check`` is off; the join itself counts them.
     """
     if payloads is not None:
-        if check:
-            require_unique(payloads, ["run_id"], "payloads")
-            require_matches(runs, payloads, ["run_id"], "payload")
         documents = payloads.select("run_id", *[c for c in ("summary", "config") if c in payloads.columns])
+        if check:
+            documents = documents.withColumn("_payloads", F.count(F.lit(1)).over(Window.partitionBy("run_id")))
         runs = left_join(runs.drop("summary", "config"), documents, ["run_id"])
+        if check:
+            found = F.coalesce("_payloads", F.lit(0)).cast("string")
+            message = F.concat(F.lit("a run needs one payload, found "), found, F.lit(" for "), F.col("run_id"))
+            one = F.when(F.col("_payloads") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+            runs = runs.where(one).drop("_payloads")
     for source, fields, rule in (
         ("summary", summary_fields, "overwrite"),
         ("config", config_fields, "fill_missing"),
@@ -167,7 +173,21 @@ def matched_labels(df: DataFrame) -> DataFrame:
     )
 
 
-RUN_HOOKS: dict[str, Callable[[DataFrame], DataFrame]] = {"matched": matched_labels}
+Hook = Callable[[DataFrame], DataFrame]
+
+# Hooks that look at the run type themselves and so need no rows set aside.
+RUN_HOOKS: dict[str, Hook] = {"matched": matched_labels}
+
+
+def apply_hooks(runs: DataFrame, hooks: Mapping[str, Hook]) -> DataFrame:
+    """Each hook over the rows of its run type only; other rows pass by."""
+    for kind, hook in hooks.items():
+        if RUN_HOOKS.get(kind) is hook or "run_type" not in runs.columns:
+            runs = hook(runs)
+            continue
+        own = F.col("run_type").eqNullSafe(kind)
+        runs = runs.where(~own).unionByName(hook(runs.where(own)), allowMissingColumns=True)
+    return runs
 
 
 def normalize(
@@ -178,7 +198,7 @@ def normalize(
     converters: Mapping[str, str] = C.RUN_CONVERTERS,
     registry: Mapping[str, Callable[[Column], Column]] = CONVERTERS,
     recipe_mode: str = "noop",
-    hooks: Iterable[Callable[[DataFrame], DataFrame]] = tuple(RUN_HOOKS.values()),
+    hooks: Mapping[str, Hook] = RUN_HOOKS,
 ) -> DataFrame:
     """Defaults, recipes, renames, converters, token defaults, totals, hooks.
 
@@ -196,9 +216,7 @@ def normalize(
     out = ops.rename_present(out, {**C.RUN_COLUMN_RENAMES, **(renames or {})})
     out = ops.apply_converters(out, converters, registry)
     out = token_totals(token_defaults(out))
-    for hook in hooks:
-        out = hook(out)
-    return out
+    return apply_hooks(out, hooks)
 
 
 def process_runs(
@@ -211,13 +229,15 @@ def process_runs(
     config_fields: Mapping[str, str] | None = None,
     summary_fields: Mapping[str, str] | None = None,
     recipe_mode: str = "noop",
-    check: bool = False,
+    check: bool = True,
+    classifier: Classifier = classify_runs,
+    hooks: Mapping[str, Hook] | None = None,
 ) -> DataFrame:
     """Classify, hydrate and normalize all run types in one frame.
 
-    Caller maps are merged over the built-in ones, key by key.
+    Caller maps, hooks by run type among them, are merged over the built-in ones, key by key.
     """
-    typed = classified(runs, drop_types=drop_types)
+    typed = classified(runs, drop_types=drop_types, classifier=classifier)
     full = hydrate(
         typed,
         payloads,
@@ -225,7 +245,9 @@ def process_runs(
         config_fields={**C.RUN_CONFIG_FIELDS, **(config_fields or {})},
         check=check,
     )
-    return normalize(full, defaults=defaults, renames=column_map, recipe_mode=recipe_mode)
+    return normalize(
+        full, defaults=defaults, renames=column_map, recipe_mode=recipe_mode, hooks={**RUN_HOOKS, **(hooks or {})}
+    )
 
 
 def since(runs: DataFrame, column: str, earliest: str) -> DataFrame:

@@ -12,7 +12,8 @@ from evalflow import constants as C
 from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import parent_dir
 from evalflow.operators.columns import compute_once
-from evalflow.plans.runs import classification_log, classified
+from evalflow.functions.runids import classify_runs
+from evalflow.plans.runs import Classifier, classification_log, classified
 from evalflow.sinks.tables import write_table
 from evalflow.sources.files import Roots, check_roots, decoded_path
 from evalflow.sources.records import canonical_lines
@@ -87,15 +88,15 @@ def ingest_new_files(
     )
 
 
-def classify_stream(runs: DataFrame, out: str) -> StreamingQuery:
+def classify_stream(runs: DataFrame, out: str, *, classifier: Classifier = classify_runs) -> StreamingQuery:
     """Classified runs and, as a second table, the classification log."""
 
     def write_batch(batch: DataFrame, number: int) -> None:
         write_table(
-            classified(batch).withColumn("batch", F.lit(number)), f"{out}/runs", partition_by=("batch", "run_type")
+            classified(batch, classifier=classifier).withColumn("batch", F.lit(number)), f"{out}/runs", partition_by=("batch", "run_type")
         )
         write_table(
-            classification_log(batch).withColumn("batch", F.lit(number)),
+            classification_log(batch, classifier=classifier).withColumn("batch", F.lit(number)),
             f"{out}/classification_log",
             partition_by=("batch",),
             rebalance=False,

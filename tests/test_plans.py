@@ -68,7 +68,7 @@ def test_hydration_and_normalization(spark):
         ],
         "run_id string, config string, summary string",
     )
-    full = runs.hydrate(typed, payloads, check=True)
+    full = runs.hydrate(typed, payloads)
     first, second = full.orderBy("run_id").collect()
     assert (first["lr"], first["seed"], first["num_finetuned_tokens_real"]) == ("0.5", "3", "77")
     assert (second["lr"], second["seed"], second["num_finetuned_tokens_real"]) == ("0.1", None, None)
@@ -86,10 +86,24 @@ def test_hydration_and_normalization(spark):
     assert plain["comparison_metric"] == "None None none none"
 
     twice = payloads.unionAll(payloads)
-    with pytest.raises(ValueError, match="Multiple"):
-        runs.hydrate(typed, twice, check=True)
-    with pytest.raises(ValueError, match="No payload"):
-        runs.hydrate(typed, payloads.where("run_id = 'plain'"), check=True)
+    with pytest.raises(Exception, match="found 2 for"):
+        runs.hydrate(typed, twice).collect()
+    with pytest.raises(Exception, match="found 0 for a_Ft_b"):
+        runs.hydrate(typed, payloads.where("run_id = 'plain'")).collect()
+    assert runs.hydrate(typed, twice, check=False).count() == 4
+
+
+def test_hooks_and_classifier_of_a_whole_job(spark):
+    df = frame(spark, [("a",), ("b",)], "run_id string")
+
+    def by_name(rows, run_id):
+        typed = rows.withColumn("run_type", F.when(F.col(run_id) == "a", "x").otherwise("y"))
+        return typed.withColumn("pattern_name", F.lit("p"))
+
+    seen = runs.process_runs(df, classifier=by_name, hooks={"x": lambda rows: rows.withColumn("mark", F.lit(1))})
+    assert {r["run_id"]: r["mark"] for r in seen.collect()} == {"a": 1, "b": None}
+    log = runs.classification_log(df, classifier=by_name).collect()
+    assert {(r["run_id"], r["run_type"]) for r in log} == {("a", "x"), ("b", "y")}
 
 
 def test_run_options(spark):
