@@ -30,14 +30,23 @@ def config_key(c: Column, *, ignore: tuple[str, ...] = ("task_name",), mode: str
     return F.coalesce(canonical_json(F.to_json(kept)), canonical_json(c), c)
 
 
+# A quoted text, or one of the words that JSON spells otherwise.
+_QUOTED_OR_WORD = (
+    r"""('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")|\b(None|True|False)\b"""
+)
+_WORDS = {"None": "null", "True": "true", "False": "false"}
+
+
 def python_literal_to_json(c: Column) -> Column:
-    """Dict literal as relaxed JSON: None, True and False become JSON words.
+    """Dict literal as relaxed JSON: None, True and False outside quotes become JSON words.
 
-    Read the result with ``allowSingleQuotes``.
+    Read the result with ``allowSingleQuotes``. One pass marks the words, and passes over
+    quoted texts whole; marks with nothing between them stood behind a quoted text.
     """
-    text = F.regexp_replace(c, r"\bNone\b", "null")
-    text = F.regexp_replace(text, r"\bTrue\b", "true")
-    return F.regexp_replace(text, r"\bFalse\b", "false")
+    text = F.regexp_replace(c, _QUOTED_OR_WORD, "$1\x01$2\x02")
+    for word, spelled in {"": "", **_WORDS}.items():
+        text = F.replace(text, F.lit(f"\x01{word}\x02"), F.lit(spelled))
+    return text
 
 
 def object_fields(c: Column) -> Column:

@@ -185,3 +185,13 @@ def test_lookups(value):
     assert value(lookups.acc_baseline(F.lit("mmlu_law"))) == 0.25
     assert value(lookups.display_rank(F.lit("6M"), ["4M", "6M"])) == 2
     assert value(lookups.display_rank(F.lit("x"), ["4M", "6M"])) is None
+
+
+def test_words_inside_quotes_stay(value):
+    from evalflow.functions.jsontext import python_literal_to_json
+
+    text = """{'a': None, 'None': 'None of the above', "b": [True, "it's False", 'x\\'None'], 'c': False}"""
+    shown = value(python_literal_to_json(F.lit(text)))
+    assert shown == """{'a': null, 'None': 'None of the above', "b": [true, "it's False", 'x\\'None'], 'c': false}"""
+    long = "{'a': '" + "x None " * 20000 + "', 'b': None}"
+    assert value(python_literal_to_json(F.lit(long))) == long.replace("'b': None", "'b': null")
