@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from evalflow import constants as C
 from evalflow.operators.columns import stringify, union_by_name
-from evalflow.sources.files import check_roots, plain_path, require_files
+from evalflow.sources.files import check_roots, decoded_path, require_files
 
 
 def read_shards(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -23,7 +23,7 @@ def with_source_order(df: DataFrame) -> DataFrame:
     """Add ``source_path`` and ``source_row``, the place of each Parquet row."""
     return df.select(
         "*",
-        plain_path(F.col("_metadata.file_path")).alias("source_path"),
+        decoded_path(F.col("_metadata.file_path")).alias("source_path"),
         F.col("_metadata.row_index").alias("source_row"),
     )
 
