@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalflow.llm.common import crc_bucket, ship, text_rows
-from evalflow.llm.hashing import _hash_chunk, mix, text_bytes
+from evalflow.llm.hashing import _hash_chunk, distinct, mix, text_bytes
 
 HELD_OUT_MODULUS = 5
 TERM_BITS = 20
@@ -66,7 +66,7 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         part = np.insert(data[begin[row] : begin[end]], begin[row : end + 1] - begin[row], 32)
         part = _PLAIN[part]
         edges = begin[row : end + 1] - begin[row] + np.arange(end - row + 1)
-        owner = np.repeat(np.arange(row, end), np.diff(edges))
+        owner = np.repeat(np.arange(row, end, dtype=np.int32), np.diff(edges))
         words, starts, _ = _hash_chunk(part)
         found.append((words >> shift).astype(np.int32))
         owners.append(owner[np.minimum(starts, len(owner) - 1)])
@@ -87,7 +87,7 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def presence(term: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each term once a text, texts in order."""
-    key = np.unique(owner.astype(np.int64) << 32 | term)
+    key = distinct(owner.astype(np.int64) << 32 | term)
     return (key & 0xFFFFFFFF).astype(np.int64), key >> 32
 
 
@@ -109,22 +109,22 @@ class Machine:
         return self.bias + sums + pairs / 2
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        term, owner = terms(column)
-        at = self.place[term]
-        used = at >= 0
-        at, owner = presence(at[used], owner[used])
-        return 1 / (1 + np.exp(-np.clip(self.margins(at, owner, len(column)), -30, 30)))
-
-
-def chosen(term: np.ndarray, owner: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Terms whose presence depends on the label by a G test."""
-    size = 1 << TERM_BITS
-    toxic = np.bincount(term, label[owner], size)
-    clean = np.bincount(term, 1 - label[owner], size)
-    n1, n0 = label.sum(), len(label) - label.sum()
-    g = np.zeros(size)
+        found = []
+        for row in range(0, len(column), _TEXTS_AT_ONCE):  # terms take many times the text
+            part = column.slice(row, _TEXTS_AT_ONCE)
+            term, owner = terms(part)
+            at = self.place[term]
+            used = at >= 0
+            at, owner = presence(at[used], owner[used])
+            found.append(1 / (1 + np.exp(-np.clip(self.margins(at, owner, len(part)), -30, 30))))
+        return np.concatenate(found) if found else np.empty(0)
+
+
+def chosen(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Terms whose presence, counted by label, depends on the label by a G test."""
+    g = np.zeros(len(toxic))
+    share = (toxic + clean) / (n1 + n0)
     for a, n in ((toxic, n1), (clean, n0)):
-        share = (toxic + clean) / len(label)
         for seen, expected in ((a, n * share), (n - a, n * (1 - share))):
             g += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-9)), 0)
     return np.flatnonzero((toxic + clean >= LEAST_TEXTS) & (g >= LEAST_G))
@@ -137,16 +137,22 @@ def fit(column: pa.Array, label: np.ndarray) -> Machine:
         share = n1 / max(1, len(label))
         bias = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return Machine(np.full(1 << TERM_BITS, -1, np.int32), np.zeros(1), np.zeros((1, FACTORS)), bias)
-    parts = []
+    # some texts at a time, twice: all their terms would not fit
+    counts = np.zeros((2, 1 << TERM_BITS))
     for row in range(0, len(label), _TEXTS_AT_ONCE):
         term, owner = presence(*terms(column.slice(row, _TEXTS_AT_ONCE)))
-        parts.append((term.astype(np.int32), (owner + row).astype(np.int32)))
-    term, owner = (np.concatenate(x) for x in zip(*parts))
-    picked = chosen(term, owner, label)
+        for kind in (0, 1):
+            counts[kind] += np.bincount(term[label[owner + row] == kind], minlength=1 << TERM_BITS)
+    picked = chosen(counts[1], counts[0], n1, len(label) - n1)
     place = np.full(1 << TERM_BITS, -1, np.int32)
     place[picked] = np.arange(len(picked))
-    at = place[term]
-    at, owner = at[at >= 0], owner[at >= 0]
+    parts = []
+    for row in range(0, len(label), _TEXTS_AT_ONCE):
+        term, owner = terms(column.slice(row, _TEXTS_AT_ONCE))
+        at = place[term]
+        at, owner = presence(at[at >= 0], owner[at >= 0])
+        parts.append((at.astype(np.int32), (owner + row).astype(np.int32)))
+    at, owner = (np.concatenate(x) for x in zip(*parts))
     begin = np.searchsorted(owner, np.arange(len(label) + 1))
     order = np.random.default_rng(4)
     size = max(1, len(picked))
@@ -192,15 +198,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFram
     ]
     picked = parts[0].unionByName(parts[1]).select("doc_id", "toxic", "order")
     texts = text_rows(docs).withColumn("order", F.xxhash64("doc_id", "text"))
-    return texts.join(F.broadcast(picked), ["doc_id", "order"]).select("text", "toxic")  # at most as many as the sample
+    sample = texts.join(F.broadcast(picked), ["doc_id", "order"])  # at most as many as the sample
+    return sample.orderBy("toxic", "order", "doc_id").select("text", "toxic")
 
 
 def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Machine:
-    rows = training_rows(docs, labels, learn).toArrow().combine_chunks()
+    rows = training_rows(docs, labels, learn).toArrow()
     if not len(rows):
         return fit(pa.array([], pa.string()), np.empty(0, np.int64))
-    order = np.lexsort((np.array(rows.column("text").to_pylist(), object), rows.column("toxic").to_numpy()))
-    rows = rows.take(pa.array(order)).combine_chunks()
+    rows = rows.combine_chunks()
     return fit(rows.column("text").chunk(0), rows.column("toxic").to_numpy().astype(np.int64))
 
 
