@@ -95,7 +95,7 @@ def record_copy_paths(spark, folder):
     )
 
 
-def record_path_order(spark, folder):
+def record_path_arrays(spark, folder):
     """The long form in its order: the paths of a record as they were first seen.
 
     Rows are numbered inside ranges of the sorted table, so no record has to fit one task.
@@ -179,7 +179,7 @@ QUERIES = {
     "record_dedupe_paths": record_merge,
     "record_dedupe_strict": record_merge_strict,
     "record_copy_paths": record_copy_paths,
-    "record_path_order": record_path_order,
+    "record_path_arrays": record_path_arrays,
     "quarantine": quarantine,
     "field_counts": field_counts,
 }
@@ -192,7 +192,7 @@ SQL = {
     SELECT canon, role, path, min(result_dir) AS seen_dir, min(eval_results_path) AS seen_file
     FROM long GROUP BY canon, role, path
     """,
-    "record_path_order": f"""
+    "record_path_arrays": f"""
     WITH {_LINES}, firsts AS (
         SELECT canon, task_name, task_idx, task_file_stem, role, path, min(result_dir) AS seen
         FROM (SELECT l.*, e.task_name, e.task_idx, e.task_file_stem FROM long l

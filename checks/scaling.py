@@ -8,6 +8,8 @@ from checks.shape import case_sql, pick, pick_sql, table
 from evalflow import constants as C
 from evalflow.operators.ordering import leading_digits, pack_order
 from evalflow.plans import scaling
+from evalflow.plans import tables as table_plans
+from evalflow.session import fresh_folder
 
 MIXES = ["C4", "DCLM-baseline", "DCLM-Baseline", "no_code", "house_mix"]
 SETUPS = [
@@ -70,6 +72,19 @@ def _flat(df, structs):
     return df.select(*out)
 
 
+def _job(spark, folder):
+    """The whole job over a stored fit file, its rows in the order of ``row_order``."""
+    root = fresh_folder(spark, "fits")
+    ordered = fits(spark, folder).orderBy("row_order").drop("row_order")
+    ordered.write.parquet(f"{root}/{C.SCALING_FIT_FILE}")
+    spark.range(1).write.parquet(f"{root}/{C.MACRO_AVG_FILE}")
+    return table_plans.parse_scaling(spark, root, f"{root}/out")
+
+
+def job_one_step(spark, folder):
+    return _flat(_job(spark, folder)["scaling_law_pred_one_step.parquet"], ["pred_task_metrics"])
+
+
 def one_step(spark, folder):
     return _flat(scaling.one_step_predictions(*_arguments(spark, folder)), ["pred_task_metrics"])
 
@@ -133,6 +148,7 @@ QUERIES = {
     "scaling_one_step": one_step,
     "scaling_two_step": two_step,
     "scaling_true": truth,
+    "scaling_job_one_step": job_one_step,
 }
 SQL = {
     "scaling_one_step": _sql("contains(setup, '1_step')", {"pred_task_metrics": "stacked_pred"}, True),
@@ -152,3 +168,4 @@ SQL = {
         f"WHERE setup = '{C.TRUE_METRICS_SETUP}'",
     ),
 }
+SQL["scaling_job_one_step"] = SQL["scaling_one_step"]

@@ -432,3 +432,14 @@ def test_row_order_never_matters(spark):
         full = metrics_all.enriched_records(metrics_all.directory_records(lines(spark, rows)), index)
         results.append(sorted(map(str, metrics_all.merged_records(full).collect())))
     assert results[0] == results[1]
+
+
+def test_scaling_job_aggregates_by_hash(spark, tmp_path):
+    from evalflow.plans import tables as table_plans
+    from evalflow.sources.tables import with_source_order
+
+    fit_rows(spark, [("t1", "C4", "3_param-default", "acc_raw", 1.0)]).drop("row_order").write.parquet(str(tmp_path / "fit"))
+    fits = table_plans.with_ordinal(with_source_order(spark.read.parquet(str(tmp_path / "fit"))))
+    wide = scaling.pivot_metrics(scaling.prepare_fits(fits), scaling.KEYS, scaling.ONE_STEP, table_plans.source_order()[0])
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
