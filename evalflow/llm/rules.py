@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalflow.llm.common import SPACE
+from evalflow.llm.common import SPACE, written
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -31,8 +31,9 @@ SAMPLE_ROWS = 1000
 # Limits of the rules, each a whole number so that any engine decides alike.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_SYMBOL_PERCENT = 8
+MAX_SYMBOL_PERCENT = 5
 MAX_DUP_LINE_PERCENT = 30
+MIN_DUP_LINES = 3  # fewer may be a title or a closing line
 MAX_SHOUT_PERCENT = 30
 MIN_LETTER_PERCENT = 50
 MIN_MEAN_WORD, MAX_MEAN_WORD = 2, 25
@@ -124,7 +125,13 @@ RULES = (
     Rule("few_words", lambda t: F.size(words(t)) < MIN_WORDS),
     Rule("repeats", lambda t: bound(words(t), lambda w: _percent(repeat_words(w), F.size(w), MAX_REPEAT_PERCENT))),
     Rule("symbols", lambda t: _percent(count_of(t, SYMBOLS), word_chars(t), MAX_SYMBOL_PERCENT)),
-    Rule("dup_lines", lambda t: bound(word_lines(t), lambda x: _percent(dup_lines(x), F.size(x), MAX_DUP_LINE_PERCENT))),
+    Rule(
+        "dup_lines",
+        lambda t: bound(
+            word_lines(t),
+            lambda x: (dup_lines(x) >= MIN_DUP_LINES) & _percent(dup_lines(x), F.size(x), MAX_DUP_LINE_PERCENT),
+        ),
+    ),
     Rule("shouting", lambda t: _percent(count_of(t, "!"), F.size(words(t)), MAX_SHOUT_PERCENT)),
     Rule("letters", lambda t: F.length(F.regexp_replace(t, r"[^\p{L}]+", "")) * 100 < word_chars(t) * MIN_LETTER_PERCENT),
     Rule(
@@ -148,18 +155,18 @@ class Estimate:
 
 
 def estimates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Seconds and rejections of each rule over at most ``rows`` rows of the table."""
-    sample = docs.select(F.coalesce("text", F.lit("")).alias("text")).limit(rows).persist()
-    try:
-        sample.count()
-        found = []
-        for rule in rules:
-            began = time.perf_counter()
-            hit = sample.select(F.sum(rule.rejects(F.col("text")).cast("int"))).first()[0]
-            found.append(Estimate(rule.name, time.perf_counter() - began, hit or 0))
-        return found
-    finally:
-        sample.unpersist()
+    """Seconds and rejections of each rule over the first rows of the table, ``rows`` at most.
+
+    The rows are taken partition by partition until there are enough, and kept as a file.
+    """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    sample = written(docs.sparkSession.createDataFrame(texts.take(rows), "text string").coalesce(1), "sample")
+    found = []
+    for rule in rules:
+        began = time.perf_counter()
+        hit = sample.select(F.sum(rule.rejects(F.col("text")).cast("int"))).first()[0]
+        found.append(Estimate(rule.name, time.perf_counter() - began, hit or 0))
+    return found
 
 
 def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
@@ -254,7 +261,7 @@ base AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 8 * word_chars OR 100 * n_dup_lines > 30 * n_lines
+       NOT (base_failed OR 100 * n_symbols > 5 * word_chars OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)
             OR 100 * shouts > 30 * n_words OR 100 * letters < 50 * word_chars
             OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
 FROM base""",

@@ -42,7 +42,7 @@ def junk():
         *good,
         " ".join(w + "***" for w in good[0].split()),
         " ".join(w.upper() + "!!" for w in good[1].split()),
-        "\n".join(lines + lines[:9]),
+        "\n".join(lines + lines[:9]),  # many lines again
         "Der " * 300,
         " ".join(["a b c", *good[2].split()[:60], "a b c", "b c a b c"]),
         "1 2 3 " * 30 + good[3],
