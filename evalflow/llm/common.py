@@ -2,57 +2,40 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+import io
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalflow.session import fresh_folder
+
 #: White space of the contracts: space and the controls from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
 _shipped: set[str] = set()
-_own: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application."""
+    """Send this package to the executors, once per application, by way of the shared folder."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    target = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package.name}-{uuid.uuid4().hex}.zip")
-    with zipfile.ZipFile(target, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, str(file.relative_to(package.parent)))
-    spark.sparkContext.addPyFile(target)
+    path = f"{fresh_folder(spark, package.name)}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(packed.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(path)
     _shipped.add(app)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
-
-    Where that is unset a local session, as in tests, gets one of its own; a
-    cluster session is refused, since no other folder is known to be shared.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        _own[app] = tempfile.mkdtemp(prefix="shared-")
-    return _own[app]
-
-
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once as Parquet in the shared folder and read again.
 
