@@ -192,14 +192,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFram
     known = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     keys = docs.filter(learn).select("doc_id", F.xxhash64("doc_id", "text").alias("order"))
     drawn = keys.join(known.select("doc_id", "toxic"), "doc_id")
-    parts = [
-        drawn.filter(F.col("toxic") == kind).orderBy("order", "doc_id").limit(rows)
-        for kind, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
-    ]
+    counts = {bool(r[0]): r[1] for r in drawn.groupBy(F.col("toxic") != 0).count().collect()}  # two rows
+
+    def least(toxic: bool, rows: int) -> DataFrame:
+        """The rows with the least hash, out of about twice as many with a small one."""
+        share = min(1.0, 2 * rows / max(1, counts.get(toxic, 0)))
+        small = F.pmod("order", F.lit(1 << 40))
+        near = drawn.filter(((F.col("toxic") != 0) == F.lit(toxic)) & (small < int(share * (1 << 40))))
+        return near.orderBy(small, "doc_id").limit(rows)
+
+    parts = [least(True, TOXIC_ROWS), least(False, CLEAN_ROWS)]
     picked = parts[0].unionByName(parts[1]).select("doc_id", "toxic", "order")
     texts = text_rows(docs).withColumn("order", F.xxhash64("doc_id", "text"))
     sample = texts.join(F.broadcast(picked), ["doc_id", "order"])  # at most as many as the sample
-    return sample.orderBy("toxic", "order", "doc_id").select("text", "toxic")
+    return sample.orderBy("toxic", "order", "doc_id").select("text", (F.col("toxic") != 0).cast("int").alias("toxic"))
 
 
 def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Machine:
