@@ -25,6 +25,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; by sorting, which is several times faster than by a table."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
@@ -69,6 +75,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[begin[0] : begin[-1]], begin - begin[0]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes as they are; stretches are not empty and in order."""
+    power, inverse = _powers(max(12, int(len(data)).bit_length()))
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values[data] * power[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def _parts(column: pa.Array):
     """Runs of texts as bytes with their words: hash, start, end, and how many each text has."""
     data, begin = text_bytes(column)
