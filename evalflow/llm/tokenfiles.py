@@ -28,11 +28,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalflow.llm.bpe import slices
+from evalflow.llm.bpe import PLAIN, ChunkTable, MergeRules, slices
 from evalflow.llm.common import fresh_folder, partitions, ship, text_rows, written
 from evalflow.llm.files import Reader, Writer
 
@@ -41,18 +42,24 @@ END_ID = 0
 BLOCK_TOKENS = 1 << 16
 LANES = 1024
 SCALE_BITS = 20
-KEPT_CHUNKS = 1_000_000
 
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _SCALE = np.uint64(SCALE_BITS)
 
 
+# Fixed value: the pattern that byte-level vocabularies cut texts by.
+_PRETOKENS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+).findall
+
+
 class ByteEncoder:
-    """The tokenizers library over the distinct chunks between single blanks of many texts.
+    """Ids as the tokenizers library gives them, from a table of the chunks between single blanks.
 
     No token crosses a blank between two other characters: it can only begin one. Texts
-    with blanks beside other white space, or with special tokens, are encoded whole.
+    with blanks beside other white space, with special tokens, or with letters beyond
+    Latin go through the library as a whole.
     """
 
     _beside = re.compile(r" \s|\s ").search
@@ -60,29 +67,34 @@ class ByteEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
         self.vocabulary = self._library.get_vocab_size(with_added_tokens=True)
-        self._kept: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        rules = MergeRules(model["vocab"], model["merges"])
+        self._table = ChunkTable(rules, self._words, blank=True)
+
+    def _words(self, chunk: bytes) -> list[bytes]:
+        return [w.encode() for w in _PRETOKENS(chunk.decode())]
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.r_[0, np.cumsum(sizes)]
+        opens = data == 32
+        opens[begin[:-1][sizes > 0]] = True
+        starts = np.flatnonzero(opens)
+        ends = np.r_[starts[1:], len(data)]
+        return self._table.encode(data, starts, ends, np.searchsorted(starts, begin))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [self._beside(t) is not None or "<|" in t for t in texts]
-        # the first chunk has no blank before it and is marked, so that one table serves both
-        cut = [[] if w else ("\0" + t).split(" ") for t, w in zip(texts, whole)]
-        wanted = set().union(*cut)
-        missing = list(wanted - self._kept.keys())
-        if len(self._kept) + len(missing) > KEPT_CHUNKS:
-            self._kept = {c: self._kept[c] for c in wanted.difference(missing)}
-        ids = self._encode([c[1:] if c[:1] == "\0" else " " + c for c in missing])
-        self._kept.update(zip(missing, ids))
-        rest = iter(self._encode([t for t, w in zip(texts, whole) if w]))
-        get = self._kept.__getitem__
-        return [next(rest) if w else b"".join(map(get, c)) for c, w in zip(cut, whole)]
+        plain = [PLAIN(t) is not None and self._beside(t) is None and "<|" not in t for t in texts]
+        found = iter(self._encode_plain([t.encode() for t, p in zip(texts, plain) if p]))
+        whole = self._library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)
+        rest = iter([np.array(e.ids, "<u4").tobytes() for e in whole])
+        return [next(found) if p else next(rest) for p in plain]
 
 
 _encoders: dict[str, ByteEncoder] = {}
@@ -321,16 +333,14 @@ def _read_index(batches):
 
 _DOC = pa.schema(
     [
-        ("place", pa.int64()),
-        ("block", pa.int64()),
         ("doc_id", pa.int64()),
-        ("inside", pa.int64()),
+        ("start", pa.int64()),
         ("n_tokens", pa.int64()),
         ("ids_crc32", pa.int64()),
         ("ids", pa.binary()),
     ]
 )
-_DOC_SQL = "place long, block long, doc_id long, inside long, n_tokens long, ids_crc32 long, ids binary"
+_DOC_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 
 def _decode(tables_path: str, with_ids: bool):
@@ -356,10 +366,8 @@ def _decode(tables_path: str, with_ids: bool):
                 begin = ends - counts
                 parts = [ids[4 * a : 4 * b] for a, b in zip(begin.tolist(), ends.tolist())]
                 columns = [
-                    np.full(n, e["place"]),
-                    np.full(n, e["block"]),
                     pa.array([None if d == _NULL_ID else d for d in docs.tolist()], pa.int64()),
-                    begin,
+                    begin + e["block_start"],
                     counts,
                     [zlib.crc32(p) for p in parts],
                     parts if with_ids else [None] * n,
@@ -389,14 +397,11 @@ def read_token_files(files: DataFrame, folder: str, with_ids: bool = False) -> D
             ),
         )
         .join(places, "place")
-        .select("place", "block", (F.col("base") + F.col("within")).alias("block_start"))
+        .withColumn("block_start", F.col("base") + F.col("within"))
     )
-    docs = entries.repartition(partitions(spark), "path", "block").mapInArrow(
+    found = starts.repartition(partitions(spark), "path", "block").mapInArrow(
         _decode(f"{folder}/tables.bin", with_ids), _DOC_SQL
     )
-    found = docs.join(starts, ["place", "block"]).select(
-        "doc_id", (F.col("block_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "ids"
-    )
     return found if with_ids else found.drop("ids")
 
 
