@@ -321,9 +321,10 @@ def slices(column: pa.Array, size: int = BATCH_CHARS) -> Iterator[tuple[int, lis
 def _encode_batches(path: str):
     def run(batches):
         for batch in batches:
-            ids = [x for _, texts in slices(batch.column("text")) for x in encoder(path).encode(texts)]
             rest = batch.drop_columns(["text"])
-            yield rest.append_column("ids", pa.array(ids, pa.binary()))
+            for first, texts in slices(batch.column("text")):
+                ids = pa.array(encoder(path).encode(texts), pa.binary())
+                yield rest.slice(first, len(texts)).append_column("ids", ids)
 
     return run
 
@@ -331,9 +332,9 @@ def _encode_batches(path: str):
 def _decode_batches(path: str):
     def run(batches):
         for batch in batches:
-            # tens of characters may stand for a few bytes of ids
-            texts = [t for _, ids in slices(batch.column("ids")) for t in encoder(path).decode(ids)]
-            yield batch.append_column("decoded", pa.array(texts, pa.string()))
+            for first, ids in slices(batch.column("ids")):
+                texts = pa.array(encoder(path).decode(ids), pa.string())
+                yield batch.slice(first, len(ids)).append_column("decoded", texts)
 
     return run
 
@@ -353,6 +354,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(_decode_batches(path), f"{fields}, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``keep``, the ids and the text decoded from them: encoded and decoded in one pass."""
+    ship(docs.sparkSession)
+    rows = text_rows(docs, keep, text)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+
+    def both(batches):
+        return _decode_batches(path)(_encode_batches(path)(batches))
+
+    return rows.mapInArrow(both, f"{fields}, ids binary, decoded string")
+
+
 def word_vocabulary() -> str:
     import public_tokenizers
 
@@ -362,7 +375,7 @@ def word_vocabulary() -> str:
 def op3_bpe_round_trip(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     """Token count, and digests of the ids and of the decoded text, of every document."""
     path = path or word_vocabulary()
-    both = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path), path)
+    both = round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
     return both.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
