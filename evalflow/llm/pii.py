@@ -10,7 +10,8 @@ another, and the same entity has the same surrogate wherever it stands. It keeps
 format (lengths, letters, digits, punctuation, valid check digits), and for names the
 gender that title and ending show, and the script. The table of all entities is then
 checked: no two entities of a kind share a surrogate and none is an entity that really
-occurs; those that fail are derived again until none does.
+occurs; those that fail are derived again until none does. Names get a syllable more each
+time, so that there are more of them than any table has.
 
 Only texts with a character that some pattern needs (`MAYBE`, decided by Spark) are looked at;
 of them only those with entities are joined with their replacements.
@@ -26,6 +27,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -206,13 +208,22 @@ class _Stream:
         return "".join(map(one, text))
 
 
-def _name(stream: _Stream, script: str, gender: str, normal: str) -> str:
+@lru_cache(64)
+def _letters(block: int, script: str) -> list[str]:
+    """Small letters of a script among 128 code points, those that come back from capitals."""
+    found = [c for c in map(chr, range(block, block + 128)) if c.isalpha() and c.lower() == c == c.upper().lower()]
+    found = [c for c in found if len(c.upper()) == 1 and _script(c) == script]
+    return found if len(found) > 1 else list("abcdefghijklmnopqrstuvwxyz")
+
+
+def _name(stream: _Stream, script: str, gender: str, normal: str, nonce: int) -> str:
+    """A made-up name; every nonce has a syllable or letter more, so that names never run out."""
     if script not in ("latin", "cyrillic"):  # letters of the same alphabet
-        base = ord(normal[0]) - ord(normal[0]) % 16
-        letters = [chr(c) for c in range(base, base + 16) if chr(c).isalpha()]
-        return "".join(stream.pick(letters) for _ in range(max(2, len(normal))))
+        letters = _letters(ord(normal[0]) // 128 * 128, script)
+        return "".join(stream.pick(letters) for _ in range(max(2, len(normal)) + nonce))
     parts = _LATIN if script == "latin" else _CYRILLIC
-    return "".join(stream.pick(parts) for _ in range(2 + stream.below(2))) + stream.pick(_ENDINGS[script, gender])
+    size = 2 + stream.below(2) + nonce
+    return "".join(stream.pick(parts) for _ in range(size)) + stream.pick(_ENDINGS[script, gender])
 
 
 def surrogate(key: bytes, kind: str, normal: str, nonce: int = 0) -> str:
@@ -245,8 +256,8 @@ def surrogate(key: bytes, kind: str, normal: str, nonce: int = 0) -> str:
         return f"{normal[:2]}{98 - _iban_rest(normal[:2] + '00' + body):02d}{body}"
     if kind.startswith("given:"):
         _, gender, script = kind.split(":")
-        return _name(s, script, gender, normal)
-    return _name(s, kind.split(":")[1], "", normal)
+        return _name(s, script, gender, normal, nonce)
+    return _name(s, kind.split(":")[1], "", normal, nonce)
 
 
 def rendered(kind: str, original: str, new: str) -> str:

@@ -81,6 +81,18 @@ def test_colliding_surrogates_are_derived_again(spark, monkeypatch):
     assert not {r.surrogate for r in rows} & {r.normal for r in rows}
 
 
+def test_names_never_run_out(spark):
+    """More names than two or three syllables give: 13,056, and 32 of a few Greek letters."""
+    for kind, normal in (("given:f:cyrillic", "имя{}"), ("family:latin", "name{}"), ("family:greek", "ω{}")):
+        made = {pii.surrogate(KEY, kind, normal.format(i), 3) for i in range(50000)}
+        assert len(made) > 45000
+    kinds = [("given:f:cyrillic", f"имя{i}") for i in range(15000)]
+    kinds += [("family:greek", a + b) for a in "αβγδεζηθικλμνξοπρστυφχψω" for b in "αβγδεζηθικλμνξοπρστυφχψω"]
+    rows = pii.surrogates(spark.createDataFrame(kinds, "kind string, normal string"), KEY).collect()
+    assert len(rows) == len(kinds) == len({(r.kind, r.surrogate) for r in rows})
+    assert not {r.surrogate for r in rows} & {r.normal for r in rows}
+
+
 def _derive(key, made):
     import pyarrow as pa
 
