@@ -53,7 +53,9 @@ _SECRET = re.compile(
     r"\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?([A-Za-z0-9+/_-]{8,})", re.IGNORECASE
 )
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-_CARD = re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])")
+#: Groups of digits that may hold a card, and the groups of one that stands behind another number.
+_DIGITS = re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,}")
+_CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
 _SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP = re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])")
@@ -84,6 +86,41 @@ def _iban_rest(code: str) -> int:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97
 
 
+def _cards(text: str):
+    """Spans of valid cards: the longest run of whole digit groups whose check digit is right."""
+    for run in _DIGITS.finditer(text):
+        groups = [m.span() for m in re.finditer("[0-9]+", run.group())]
+        groups = [(run.start() + a, run.start() + b) for a, b in groups]
+        first = 0
+        while first < len(groups):
+            start, found = groups[first][0], 0
+            # no number that goes on behind a hyphen starts a card
+            for last in range(first, min(first + 19, len(groups))) if first == 0 or text[start - 1] == " " else ():
+                end = groups[last][1]
+                digits = _digits(text[start:end])
+                if len(digits) > 19:
+                    break
+                if len(digits) < 13 or re.match(r"\w|-(?![0-9])", text[end : end + 2]):
+                    continue
+                if luhn(digits) == 0 and len(set(digits)) > 1 and (first == 0 or _CARD_GROUPS.fullmatch(text, start, end)):
+                    found = last + 1
+            if found:
+                yield start, groups[found - 1][1]
+            first = found or first + 1
+
+
+def _ibans(text: str):
+    """Spans of valid IBANs: the longest that ends with a word."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, end = m.span()
+        while end > start and not (15 <= len(code := text[start:end].replace(" ", "")) <= 34 and _iban_rest(code) == 1):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        at = max(end, start + 4)
+
+
 def _phone(match: str) -> str | None:
     digits = _digits(match)
     if not 7 <= len(digits) <= 15 or not (match[0] in "+(" or "(" in match or len(digits) >= 10):
@@ -134,14 +171,10 @@ def _raw(text: str):
     for m in _SECRET.finditer(text):
         if any("0" <= c <= "9" for c in m.group(1)):
             yield m.start(1), m.end(1), "secret", m.group(1)
-    for m in _IBAN.finditer(text):
-        code = m.group().replace(" ", "")
-        if 15 <= len(code) <= 34 and _iban_rest(code) == 1:
-            yield m.start(), m.end(), "iban", code
-    for m in _CARD.finditer(text):
-        digits = _digits(m.group())
-        if luhn(digits) == 0 and len(set(digits)) > 1:
-            yield m.start(), m.end(), "card", digits
+    for start, end in _ibans(text):
+        yield start, end, "iban", text[start:end].replace(" ", "")
+    for start, end in _cards(text):
+        yield start, end, "card", _digits(text[start:end])
     for m in _SSN.finditer(text):
         yield m.start(), m.end(), "ssn", _digits(m.group())
     for m in _IP.finditer(text):

@@ -81,6 +81,33 @@ def test_colliding_surrogates_are_derived_again(spark, monkeypatch):
     assert not {r.surrogate for r in rows} & {r.normal for r in rows}
 
 
+@pytest.mark.parametrize(
+    "text, kind, original",
+    [
+        ("card 4111 1111 1111 1111 12/27", "card", "4111 1111 1111 1111"),
+        ("4111111111111111 123 now", "card", "4111111111111111"),
+        ("4111-1111-1111-1111 737", "card", "4111-1111-1111-1111"),
+        ("no 12 4111 1111 1111 1111 99 1234", "card", "4111 1111 1111 1111"),
+        ("3782 822463 10005 1234", "card", "3782 822463 10005"),
+        ("BE68 5390 0754 7034 USD", "iban", "BE68 5390 0754 7034"),
+        ("BE68539007547034 EUR", "iban", "BE68539007547034"),
+        ("DE89 3704 0044 0532 0130 00 BANK", "iban", "DE89 3704 0044 0532 0130 00"),
+        ("ES91 2100 0418 4502 0005 1332 AB BE68 5390 0754 7034", "iban", "ES91 2100 0418 4502 0005 1332"),
+    ],
+)
+def test_numbers_behind_cards_and_words_behind_ibans(text, kind, original):
+    found = [text[a:b] for a, b, k, _ in pii.find(text) if k == kind]
+    assert found[0] == original
+    assert original not in applied(text)
+
+
+def test_cards_are_whole_groups():
+    for text in ("4111 1111 1111 1111x", "x4111 1111 1111 1111", "41111111111111111111111", "4111 1111 1111 1112 12/27"):
+        assert not [s for s in pii.find(text) if s[2] == "card"]
+    two = "4111111111111111 5500005555555559"
+    assert [two[a:b] for a, b, k, _ in pii.find(two) if k == "card"] == two.split()
+
+
 def test_names_never_run_out(spark):
     """More names than two or three syllables give: 13,056, and 32 of a few Greek letters."""
     for kind, normal in (("given:f:cyrillic", "имя{}"), ("family:latin", "name{}"), ("family:greek", "ω{}")):
