@@ -2,7 +2,9 @@
 
 Found are mail addresses, telephone numbers, IP addresses, card numbers (with a valid check
 digit), social security numbers, IBANs, access keys, passwords and tokens beside their
-label, and names behind a title. An entity is a kind and a normal form, so that spellings of
+label, and names behind a title: any number of capitalised words, with inner hyphens and
+apostrophes, the last of them the family name; initials and particles (van, de) between
+them stay. An entity is a kind and a normal form, so that spellings of
 one number or address are one entity, and a surname behind "Mr" is the surname of the full name.
 
 A surrogate comes from a keyed hash of the entity: nobody without the key can tell it from
@@ -63,10 +65,21 @@ _PHONE = re.compile(
     r"(?<![\w.+-])(?:\+[0-9]{8,15}|(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
     r"[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3})(?!\w|-[0-9]|\.[0-9])"
 )
-_NAME = re.compile(
-    r"\b(" + "|".join(sorted(_FEMALE + _MALE + _EITHER, key=len, reverse=True)) + r")\b\.?[ \t]+"
-    r"((?:[^\W\d_][^\W\d_'’-]+)(?:[ \t]+[^\W\d_][^\W\d_'’-]+)?)"
+_TITLE = re.compile(
+    r"\b(" + "|".join(sorted(_FEMALE + _MALE + _EITHER, key=len, reverse=True)) + r")\b\.?(?=[ \t])"
 )
+_INITIALS = re.compile(r"(?:[^\W\d_]\.-?)+")
+_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_BLANKS = re.compile(r"[ \t]*")
+_POSSESSIVE = re.compile(r"['’][sS]$")
+_PARTICLES = frozenset(
+    "van von vom de der den des del della di da das do dos du la le lo los las ten ter te zu zum zur af av al el bin ibn y"
+    .split()
+)
+#: As in d'Artagnan or al-Rashid.
+_SMALL_HEAD = re.compile(r"(?:d|l|al|el|ad|an|ar|as|ash)['’-]([^\W\d_])")
+_TITLES = frozenset(_FEMALE + _MALE + _EITHER)
+_BEHIND = frozenset(("Jr", "Sr", "Jnr", "Snr", "II", "III", "IV", "Esq", "PhD", "MD"))
 
 
 def _digits(text: str) -> str:
@@ -140,27 +153,61 @@ def _gender(title: str, given: str) -> str:
     return "f" if given[-1:].lower() in ("a", "а", "я") else "m"
 
 
+def _capital(word: str) -> bool:
+    head = _SMALL_HEAD.match(word)
+    return (head.group(1) if head else word[0]).isupper()
+
+
+def _name_words(text: str, at: int) -> list[tuple[int, int]]:
+    """Spans of the words of the name behind a title, the family name last.
+
+    Initials, particles and what stands behind a family name (Jr, III) are passed over.
+    """
+    found: list[tuple[int, int]] = []
+    while True:
+        start = _BLANKS.match(text, at).end()
+        m = _INITIALS.match(text, start)
+        if m and m.group()[0].isupper():
+            at = m.end()
+            continue
+        m = _WORD.match(text, start)
+        if not m:
+            return found
+        word = _POSSESSIVE.sub("", m.group())
+        at = m.end()
+        if word in _TITLES:
+            if found:
+                return found
+            at += text[at : at + 1] == "."
+        elif word in _PARTICLES:
+            pass
+        elif not _capital(word) or found and word in _BEHIND:
+            return found
+        elif len(word) > 1:
+            found.append((start, start + len(word)))
+            if word != m.group():
+                return found
+
+
 def _names(text: str):
     known: dict[str, str] = {}
-    for m in _NAME.finditer(text):
-        words = m.group(2).split()
-        if not words[0][0].isupper():
-            continue
-        words = [w for w in words if w[0].isupper()]
-        at = m.start(2)
-        for i, word in enumerate(words):
-            at = text.index(word, at)
-            if i + 1 < len(words):
+    for m in _TITLE.finditer(text):
+        spans = _name_words(text, m.end())
+        for i, (start, end) in enumerate(spans):
+            word = text[start:end]
+            if i + 1 < len(spans):
                 kind = f"given:{_gender(m.group(1), word)}:{_script(word)}"
             else:
                 kind = f"family:{_script(word)}"
             known.setdefault(word, kind)
-            at += len(word)
+    for word, kind in list(known.items()):  # either apostrophe
+        known.setdefault(word.replace("’", "'"), kind)
+        known.setdefault(word.replace("'", "’"), kind)
     if known:  # the same names without a title, and in capitals
         known |= {w.upper(): kind for w, kind in known.items() if w.upper() not in known}
         pattern = r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=lambda w: (-len(w), w)))) + r")(?!\w)"
         for m in re.finditer(pattern, text):
-            yield m.start(), m.end(), known[m.group()], m.group().lower()
+            yield m.start(), m.end(), known[m.group()], m.group().lower().replace("’", "'")
 
 
 def _raw(text: str):

@@ -108,6 +108,38 @@ def test_cards_are_whole_groups():
     assert [two[a:b] for a, b, k, _ in pii.find(two) if k == "card"] == two.split()
 
 
+@pytest.mark.parametrize(
+    "text, given, family",
+    [
+        ("Mr. J. Smith left", [], "Smith"),
+        ("Mr. J.R. Smith left", [], "Smith"),
+        ("Mr J Smith left", [], "Smith"),
+        ("said Mr O'Brien.", [], "O'Brien"),
+        ("Mr O’Brien's hat", [], "O’Brien"),
+        ("Ms Smith-Jones came", [], "Smith-Jones"),
+        ("Dr. Martin Luther King spoke", ["Martin", "Luther"], "King"),
+        ("Dr. Martin Luther King Jr. spoke", ["Martin", "Luther"], "King"),
+        ("Mrs Anna Maria Schmidt und", ["Anna", "Maria"], "Schmidt"),
+        ("Herr Ludwig van Beethoven spielt", ["Ludwig"], "Beethoven"),
+        ("Señora María de la Cruz habla", ["María"], "Cruz"),
+        ("Prof. Dr. Weber lehrt", [], "Weber"),
+        ("Monsieur d'Artagnan rit", [], "d'Artagnan"),
+        ("Mr Smith Mrs Jones", [], "Smith"),
+        ("Mr Smith said", [], "Smith"),
+    ],
+)
+def test_whole_names(text, given, family):
+    found = [(text[a:b], k.split(":")[0]) for a, b, k, _ in pii.find(text)]
+    assert found[: len(given) + 1] == [*((g, "given") for g in given), (family, "family")]
+    new = applied(text)
+    assert not any(w in new for w in [*given, family])
+
+
+def test_either_apostrophe_is_one_name():
+    spans = pii.find("Mr O'Brien, then O’Brien and O'BRIEN")
+    assert len(spans) == 3 and len({(k, n) for *_, k, n in spans}) == 1
+
+
 def test_names_never_run_out(spark):
     """More names than two or three syllables give: 13,056, and 32 of a few Greek letters."""
     for kind, normal in (("given:f:cyrillic", "имя{}"), ("family:latin", "name{}"), ("family:greek", "ω{}")):
