@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +293,45 @@ def test_word_scores_are_probabilities(spark):
     assert score[b"ab"] > score[b"ba"] > score[b"zz"]
 
 
+def test_context_counts_are_whole_numbers_over_all_blocks(spark):
+    """Counts past what 24 and 32 bits hold stay exact, and every context has its own entry."""
+    pick = random.Random(3)
+    words = {"".join(pick.choice("abcd") for _ in range(pick.randrange(1, 7))).encode(): pick.randrange(5) for _ in range(400)}
+    words |= {b"aa": 2**24 + 1, b"ab": 1, b"zz": 2**33 + 3, b"zy": 1, "é".encode(): 2}
+    expected = Counter()
+    for word, n in words.items():
+        spelled = word + b" "
+        for i in range(len(spelled)):
+            for k in range(1, 5):
+                expected[k, spelled[max(0, i - k) : i].rjust(k, b"\0"), spelled[i]] += n
+            expected[5, spelled[:i], spelled[i]] += n
+    names = {}
+    for word in words:
+        spelled = word + b" "
+        for k, keys in enumerate(mixing.Bits(pa.array([word], pa.binary())).keys, 1):
+            for i, key in enumerate(keys.tolist()):
+                context = spelled[:i] if k == 5 else spelled[max(0, i - k) : i].rjust(k, b"\0")
+                assert names.setdefault((k, context, spelled[i]), key) == key
+    assert len(set(names.values())) == len(names) == len(expected)
+    rows = spark.createDataFrame([(i % 3, w, n) for i, (w, n) in enumerate(words.items())], "block long, word binary, n long")
+    told = mixing.context_counts(rows, 4).toArrow()
+    for block in range(3):
+        contexts = [pair for pair in mixing._context_arrays(told.filter(pc.equal(told.column("block"), block)))]
+        found = dict(zip(np.concatenate([k for k, _ in contexts]).tolist(), np.concatenate([n for _, n in contexts]).tolist()))
+        mine = {w for i, w in enumerate(words) if i % 3 == block}
+        wanted = {key >> 8 for w in mine for keys in mixing.Bits(pa.array([w], pa.binary())).keys for key in keys.tolist()}
+        assert found == {names[x]: n for x, n in expected.items() if names[x] >> 8 in wanted}
+
+
+def test_word_scores_do_not_depend_on_blocks_being_small(spark, monkeypatch):
+    """A word that only one block holds is scored with what all blocks counted."""
+    monkeypatch.setattr(mixing, "WORD_BYTES", 40)
+    monkeypatch.setattr(mixing, "PART_BYTES", 60)
+    rows = [(f"w{i:03d}".encode(), 50) for i in range(60)] + [(b"w06", 0), (b"q06", 0)]
+    score = {bytes(r.word): r.score for r in mixing.word_scores(spark.createDataFrame(rows, "word binary, n long")).collect()}
+    assert len(score) == 62 and score[b"w06"] > score[b"q06"] + 1
+
+
 # -- archives
 
 
