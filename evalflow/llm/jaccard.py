@@ -15,7 +15,8 @@
 5. In a group, pairs come from an index over prefix shingles and pass the length, positional
    and suffix filters; a pair is verified exactly, and only in the group of the first prefix
    shingle it shares. Pairs that links found so far already connect are not verified.
-   A group gives its connected classes, never all its pairs.
+   A group gives its connected classes, never all its pairs. `link_counts` needs every link: there
+   all candidate pairs are verified, and classes give how many documents they link with.
 6. Components over all groups (`components`).
 
 Shingles are compared by 64-bit hash. Frequencies come by 48 bits of it, which only
@@ -106,10 +107,12 @@ def _shared(words: int):
 class _Group:
     """The classes of a group in one task."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, every: bool = False):
+        self.every = every
         n = _column(table, "n").to_numpy()
         rep = _column(table, "rep").to_numpy()
         order = np.lexsort((rep, n))
+        self.order = order
         table = table.take(pa.array(order))
         self.n, self.rep = n[order], rep[order]
         lists = _column(table, "shingles")
@@ -151,7 +154,7 @@ class _Group:
         return self.flat[at], start
 
     def candidates(self, x: int) -> np.ndarray:
-        """Smaller or equal classes that pass the filters and are not yet connected."""
+        """Smaller or equal classes that pass the filters and, unless every pair counts, are not yet connected."""
         own = self.shingles(x)[: self.prefix[x]]
         places = np.flatnonzero(self.here[own])
         least = np.searchsorted(self.n, -(-self.n[x] * NEED // OF))  # length
@@ -168,7 +171,7 @@ class _Group:
             return np.empty(0, np.int64)
         docs, first = np.unique(np.concatenate(found), return_index=True)
         mine, theirs = np.concatenate(mine)[first], np.concatenate(theirs)[first]
-        ok = self.component[docs] != self.component[x]
+        ok = self.every | (self.component[docs] != self.component[x])
         if self.side is not None:
             ok &= self.side[docs] != self.side[x]
         need = -(-NEED * (self.n[x] + self.n[docs]) // (NEED + OF))
@@ -223,6 +226,17 @@ class _Group:
                 docs = docs[self.component[docs] != self.component[x]]
                 wave = min(4 * wave, 4096)
 
+    def linked(self, copies: np.ndarray) -> np.ndarray:
+        """Of each class the copies of those similar to it: every pair is verified."""
+        total = np.zeros(len(self.n), np.int64)
+        for x in range(len(self.n)):
+            docs = self.candidates(x)
+            for at in range(0, len(docs), 4096):
+                found = self.verified(x, docs[at : at + 4096])
+                total[x] += copies[found].sum()
+                total[found] += copies[x]
+        return total
+
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Every class tied to the smallest of its component."""
         _, same = np.unique(self.component, return_inverse=True)
@@ -242,6 +256,12 @@ def _connect(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_LINK)
 
 
+def _count_links(table: pa.Table) -> pa.Table:
+    group = _Group(table, every=True)
+    copies = _column(table, "copies").to_numpy()[group.order]
+    return pa.Table.from_arrays([pa.array(group.rep), pa.array(group.linked(copies))], ["rep", "linked"])
+
+
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Sizes of all documents; digest and shared shingles of those that can have a partner."""
     rows = text_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -250,8 +270,8 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return written(found, "sets")
 
 
-def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
-    """Links ``(u, v)`` that connect the classes ``(rep, n, prefix, shingles)``."""
+def _dealt_groups(classes: DataFrame, chunk_classes: int) -> DataFrame:
+    """The classes of each group, and the chunk of the group that each is dealt into."""
     ship(classes.sparkSession)
     posts = classes.select("rep", F.explode(F.slice("shingles", F.lit(1), F.col("prefix"))).alias("shingle"))
     buckets = posts.groupBy("shingle").agg(F.min("rep").alias("leader"), F.count("*").alias("k")).filter("k > 1")
@@ -262,7 +282,12 @@ def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataF
     )
     members = written(members, "groups")
     chunks = members.groupBy("leader").agg(F.ceil(F.count("*") / chunk_classes).cast("int").alias("chunks"))
-    dealt = members.join(chunks, "leader").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    return members.join(chunks, "leader").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+
+
+def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
+    """Links ``(u, v)`` that connect the classes ``(rep, n, prefix, shingles)``."""
+    dealt = _dealt_groups(classes, chunk_classes)
     # the smallest class goes into every chunk and so ties the chunks together early
     alone = dealt.withColumn(
         "chunk",
@@ -300,6 +325,49 @@ def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataF
     return first.unionByName(written(cells, "links"))
 
 
+def class_link_counts(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
+    """``(rep, linked)``: copies of other classes similar to each class ``(rep, n, prefix, shingles, copies)``.
+
+    Every candidate pair is verified, once: in its chunk, or where two chunks meet.
+    """
+    dealt = _dealt_groups(classes, chunk_classes)
+    full = classes.select("rep", "n", "prefix", "shingles", "copies")
+    first = dealt.select("leader", "side", "rep", "mine").join(full, "rep")
+    inside = first.withColumnRenamed("side", "chunk").groupBy("leader", "chunk").applyInArrow(_count_links, "rep long, linked long")
+    cells = (
+        dealt.filter("chunks > 1")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .filter("other <> side")
+        .withColumn("low", F.least("side", "other"))
+        .withColumn("high", F.greatest("side", "other"))
+        .select("leader", "low", "high", "rep", "mine", "side")
+        .join(full, "rep")
+        .groupBy("leader", "low", "high")
+        .applyInArrow(_count_links, "rep long, linked long")
+    )
+    return inside.unionByName(cells).groupBy("rep").agg(F.sum("linked").alias("linked"))
+
+
+def link_counts(docs: DataFrame, words: int = WORDS, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
+    """Per row its id and with how many other rows it links; rows without an id count like any other."""
+    sets = document_sets(docs, words)
+    classes = written(
+        sets.filter("digest is not null")
+        .groupBy(F.xxhash64("digest").alias("rep"))
+        .agg(
+            F.first("n").alias("n"),
+            F.first("prefix").alias("prefix"),
+            F.first("shingles").alias("shingles"),
+            F.count("*").alias("copies"),
+        ),
+        "classes",
+    )
+    counted = classes.select("rep", "copies").join(class_link_counts(classes, chunk_classes), "rep", "left")
+    per_class = counted.select("rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    rows = sets.select("doc_id", F.when(F.col("digest").isNotNull(), F.xxhash64("digest")).alias("rep"))
+    return rows.join(per_class, "rep", "left").select("doc_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row its set's size and the smallest document that links lead to."""
     sets = document_sets(docs, words)

@@ -126,6 +126,22 @@ def test_near_duplicates(spark, monkeypatch, chunk):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
 
 
+@pytest.mark.parametrize("chunk", [4000, 7])
+def test_link_counts(spark, chunk):
+    """Every link counts, also those between documents that other links connect already."""
+    rows = [*enumerate(near_texts()), (None, near_texts()[0])]
+    sets = []
+    for _, t in rows:
+        w = [x.lower() for x in (t or "").encode().split()]
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    similar = lambda a, b: a & b and 100 * len(a & b) >= 75 * len(a | b)
+    expected = {i: sum(1 for k, b in enumerate(sets) if k != at and similar(sets[at], b)) for at, (i, _) in enumerate(rows)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.link_counts(docs, chunk_classes=chunk).collect()
+    assert len(found) == len(rows) and {r.doc_id: r.n_links for r in found} == expected
+    assert max(expected.values()) > 20
+
+
 def test_near_duplicate_sql(spark, tmp_path, odd_docs, no_docs):
     docs = odd_docs.filter("doc_id is not null").select("doc_id", "text").distinct()
     con = table(docs, tmp_path)
