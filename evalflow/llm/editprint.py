@@ -37,7 +37,10 @@ SLOTS = 128
 PERIOD = 4096
 #: Characters that a slot's byte stands for.
 WINDOW = 4
-BAND_SLOTS = 4
+#: 42 bands of three slots meet for all but a 270th of the pairs with half of their slots equal.
+BAND_SLOTS = 3
+#: Prints of one band that one task pairs with queries; fuller bands are split.
+BAND_PRINTS = 10_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,18 +142,24 @@ def search(queries: DataFrame, prints: DataFrame, least: float = 0.5, band_slots
     """Fingerprints like those of the queries: ``(query, fingerprint, likeness)``, distinct.
 
     Rows with equal fingerprints are one here; a join on the fingerprint gives their ids.
-    Candidates share a band of ``band_slots`` slots; each is verified once.
+    Candidates share a band of ``band_slots`` slots; each is verified once. No registered query
+    searches.
     """
 
     def bands(df: DataFrame, name: str) -> DataFrame:
         each = [
             F.concat(F.lit(b).cast("string"), F.lit(":"), F.hex(F.substring("fingerprint", b + 1, band_slots)))
-            for b in range(0, SLOTS, band_slots)
+            for b in range(0, SLOTS - band_slots + 1, band_slots)  # whole bands only
         ]
         distinct = df.select("fingerprint").distinct()
         return distinct.select(F.col("fingerprint").alias(name), F.explode(F.array(*each)).alias("band"))
 
-    pairs = bands(queries, "query").join(bands(prints, "fingerprint"), "band").select("query", "fingerprint").distinct()
+    filed, asked = bands(prints, "fingerprint"), bands(queries, "query")
+    splits = filed.groupBy("band").agg(F.ceil(F.count("*") / BAND_PRINTS).cast("int").alias("splits")).filter("splits > 1")
+    of_band = F.coalesce("splits", F.lit(1))
+    filed = filed.join(splits, "band", "left").withColumn("split", F.pmod(F.xxhash64("fingerprint"), of_band).cast("int"))
+    asked = asked.join(splits, "band", "left").withColumn("split", F.explode(F.sequence(F.lit(0), of_band - 1)))
+    pairs = asked.drop("splits").join(filed.drop("splits"), ["band", "split"]).select("query", "fingerprint").distinct()
     return pairs.withColumn("likeness", _slots_equal(F.col("query"), F.col("fingerprint"))).filter(
         F.col("likeness") >= least
     )

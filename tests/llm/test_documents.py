@@ -223,6 +223,25 @@ def test_fewer_edits_are_nearer():
     assert near[0] == 1.0 and near == sorted(near, reverse=True) and near[1] > 0.7 and near[3] < 0.4
 
 
+@pytest.mark.parametrize("full", [10_000, 20])
+def test_search_at_its_own_threshold(spark, monkeypatch, full):
+    """Of pairs with just half of their slots equal nearly all are found, also in split bands."""
+    monkeypatch.setattr(editprint, "BAND_PRINTS", full, raising=False)
+    pick = random.Random(6)
+    asked, filed = [], []
+    for _ in range(300):
+        one = bytearray([7, 7, 7, 7, *(pick.randrange(256) for _ in range(editprint.SLOTS - 4))])
+        two = bytearray(one)
+        for at in pick.sample(range(editprint.SLOTS), editprint.SLOTS // 2):
+            two[at] ^= 1 + pick.randrange(255)
+        asked.append((bytes(one),))
+        filed.append((bytes(two),))
+    found = editprint.search(*(spark.createDataFrame(x, "fingerprint binary") for x in (asked, filed))).collect()
+    pairs = [(bytes(r.query), bytes(r.fingerprint)) for r in found]
+    assert len(pairs) == len(set(pairs))
+    assert sum((a, b) in set(pairs) for (a,), (b,) in zip(asked, filed)) >= 290
+
+
 def test_search_finds_like_fingerprints(spark):
     pick = random.Random(9)
     texts = ["".join(pick.choice("abcdefgh ijk") for _ in range(600)) for _ in range(60)]
