@@ -47,7 +47,7 @@ from evalflow.llm.terms import byte_set, slices, words
 LONGEST, LEAST, INSIDE_PERCENT, TOP = 3, 10, 50, 2000
 SAMPLE_WORDS = 4_000_000
 #: Bytes of text a block holds, words whose phrases are added up in one task, bits of a map.
-BLOCK_BYTES, PART_WORDS, MAP_BITS = 16 << 20, 2_000_000, 1 << 26
+BLOCK_BYTES, PART_WORDS, MAP_BITS = 6 << 20, 1_000_000, 1 << 26
 NO_LANGUAGE = "und"
 
 _BREAK = byte_set((0x0A, 0x0D))
