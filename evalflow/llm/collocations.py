@@ -81,10 +81,11 @@ class _Block:
         lang = langs.indices.to_numpy()[found.text]
         key = _keys(lang_keys[lang], found.keys)
         breaks = np.r_[0, np.cumsum(_BREAK[found.data])][found.starts]
+        fresh = (breaks[1:] != breaks[:-1]) | (found.text[1:] != found.text[:-1])
         own, first, at = np.unique(key, return_index=True, return_inverse=True)
         flat, begin = gathered(found.data, found.starts[first], found.ends[first] - found.starts[first])
         names = langs.dictionary.take(pa.array(lang[first]))
-        self.parts.append((own, at, np.r_[True, breaks[1:] != breaks[:-1]][: len(at)], lowered(flat), np.diff(begin), names))
+        self.parts.append((own, at, np.r_[True, fresh][: len(at)], lowered(flat), np.diff(begin), names))
         self.size += len(found.data)
 
     def row(self, number: int) -> tuple:
@@ -223,8 +224,8 @@ _COUNTED_SQL = "level int, key long, a long, block long"
 def _drawn(row: dict, starts: np.ndarray, rate: float) -> np.ndarray:
     """Words of the pieces that the sample takes."""
     piece = np.cumsum(starts) - 1
-    seed = np.uint64(row["block"]) * _STEP + np.uint64(1)
-    order = mix(np.arange(piece[-1] + 1 if len(piece) else 0, dtype=np.uint64) * _STEP + mix(np.array([seed], np.uint64)))
+    seed = mix(np.array([row["block"]], np.uint64) * _STEP + np.uint64(1))
+    order = mix(np.arange(piece[-1] + 1 if len(piece) else 0, dtype=np.uint64) * _STEP + seed)
     return (order < np.uint64(min(rate, 1) * (2**64 - 2**11)))[piece] if rate < 1 else np.ones(len(piece), bool)
 
 
