@@ -61,6 +61,30 @@ def spine_export(spark, folder):
     return export.export_documents(*artifacts(spark, folder))
 
 
+def skewed_artifacts(spark, folder):
+    """A third of the predictions on one document, a third of the requests on another."""
+    docs = table(spark, folder, "documents")
+    where = [F.lit("/runs/r0").alias("results_dir"), F.lit("task-000-t").alias("file_prefix")]
+
+    def moved(key, to):
+        return F.when(key % 3 == 0, F.lit(to)).otherwise(key).alias("doc_id")
+
+    preds = docs.select(*where, moved(F.col("doc_id"), -1), "source", "n_chars")
+    recs = table(spark, folder, "labels").select(*where, "doc_id", F.lit("t").alias("task_name"), "quality")
+    key = F.col("o_orderkey")
+    reqs = table(spark, folder, "orders").select(
+        *where, moved(key, -2), (key % 40).alias("idx"), F.lit("t").alias("task_name"), "o_custkey"
+    )
+    metrics = docs.groupBy(F.lit("/runs/r0").alias("results_dir"), F.lit("t").alias("task_name")).agg(
+        F.count(F.lit(1)).alias("num_instances")
+    )
+    return preds, recs, reqs, metrics
+
+
+def spine_export_hot_keys(spark, folder):
+    return export.export_documents(*skewed_artifacts(spark, folder), split_rows=20)
+
+
 def task_name_map(spark, folder):
     preds, recs, reqs, _ = artifacts(spark, folder)
     return export.task_names(preds, recs, reqs)
@@ -167,6 +191,7 @@ def _dedupe_sql(key):
 
 QUERIES = {
     "spine_export": spine_export,
+    "spine_export_hot_keys": spine_export_hot_keys,
     "task_name_map": task_name_map,
     "metrics_to_prefix": metrics_to_prefix,
     "config_rank_dedupe": config_rank_dedupe,
@@ -193,6 +218,23 @@ SQL = {
         AND q.doc_id = s.doc_id AND q.idx IS NOT DISTINCT FROM s.idx
     LEFT JOIN met m ON m.results_dir = s.results_dir AND m.file_prefix = s.file_prefix
     """,
+    "spine_export_hot_keys": """
+    WITH preds AS (
+        SELECT CASE WHEN doc_id % 3 = 0 THEN -1 ELSE doc_id END AS doc_id, source, n_chars FROM documents
+    ), reqs AS (
+        SELECT CASE WHEN o_orderkey % 3 = 0 THEN -2 ELSE o_orderkey END AS doc_id, o_orderkey % 40 AS idx, o_custkey
+        FROM orders
+    ), spine AS (
+        SELECT doc_id, CAST(NULL AS BIGINT) AS idx FROM preds UNION SELECT doc_id, NULL FROM labels
+        UNION SELECT doc_id, idx FROM reqs
+    )
+    SELECT '/runs/r0' AS results_dir, 'task-000-t' AS file_prefix, s.doc_id, s.idx, p.source AS prd_source,
+        p.n_chars AS prd_n_chars, CASE WHEN r.doc_id IS NOT NULL THEN 't' END AS rin_task_name, r.quality AS rin_quality,
+        CASE WHEN q.doc_id IS NOT NULL THEN 't' END AS req_task_name, q.o_custkey AS req_o_custkey,
+        't' AS met_task_name, (SELECT count(*) FROM documents) AS met_num_instances
+    FROM spine s LEFT JOIN preds p ON p.doc_id = s.doc_id LEFT JOIN labels r ON r.doc_id = s.doc_id
+    LEFT JOIN reqs q ON q.doc_id = s.doc_id AND q.idx IS NOT DISTINCT FROM s.idx
+    """,
     "task_name_map": f"WITH {_INPUTS} SELECT results_dir, file_prefix, task_name FROM names",
     "metrics_to_prefix": f"WITH {_INPUTS} SELECT * FROM met",
     "config_rank_dedupe": _dedupe_sql("content"),

@@ -38,27 +38,13 @@ def left_join(
 
     No hint: Spark broadcasts ``right`` when its size estimate is under
     ``autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive skew
-    handling splits a hot key of the left side over several tasks. For right
-    sides whose keys may be hot see :func:`attach`.
+    handling splits a hot key of the left side over several tasks. For sides whose
+    keys may be hot see :mod:`evalflow.operators.skew`.
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     return left.join(renamed, _tests(keys, null_safe), "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> DataFrame:
-    """The rows of :func:`left_join` for right sides with any distribution of keys.
-
-    An inner join, of which Spark splits a hot key of either side, and the left rows
-    that match nothing, found against the distinct keys.
-    """
-    extra = [f"_r_{k}" for k in keys]
-    renamed = right.withColumnsRenamed(dict(zip(keys, extra)))
-    test = _tests(keys, null_safe)
-    matched = left.join(renamed, test, "inner").drop(*extra)
-    unmatched = left.join(renamed.select(*extra).distinct(), test, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")

@@ -18,7 +18,8 @@ from evalflow.functions.jsontext import config_key
 from evalflow.functions.paths import artifact_prefix, result_slug, task_name_from_prefix
 from evalflow.operators import columns as ops
 from evalflow.operators.dedupe import first_per_key
-from evalflow.operators.joins import attach, key_sets, left_join
+from evalflow.operators.joins import key_sets, left_join
+from evalflow.operators.skew import SPLIT_ROWS, hot_keys, salted_left_join
 from evalflow.sinks.tables import cut_lineage, finished_slugs, plan_work, write_table
 from evalflow.sources import files, records
 
@@ -66,14 +67,15 @@ def export_documents(
     doc_id: int | str | None = None,
     prefixes: Mapping[str, str] = C.EXPORT_PREFIXES,
     config: DataFrame | None = None,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Document spine with everything known about each document and request.
 
     ``metrics`` rows carry a task name and are matched to file prefixes here.
     A ``doc_id`` filters the spine only; Spark carries it into the other sides.
     Metrics join the narrow spine first, so that the wide rows are not shuffled by
-    file. Each artifact is attached in a form that holds for any number of rows of a
-    document.
+    file. Each artifact is joined once. Documents with more than ``split_rows`` rows of an
+    artifact are found first, by a job over the keys, and their rows dealt over many tasks.
     """
     file_key = [*dirs, "file_prefix"]
     doc_key = [*file_key, "doc_id"]
@@ -95,9 +97,21 @@ def export_documents(
 
     met_side = side(met, "metrics", file_key)
     out = left_join(spine, met_side, file_key)
-    out = attach(out, side(preds, "predictions", doc_key), doc_key)
-    out = attach(out, side(recs, "recorded-inputs", doc_key), doc_key)
-    out = attach(out, side(reqs, "requests", spine_key), spine_key, null_safe=["idx"])
+    artifacts = {"preds": preds, "recs": recs, "reqs": reqs}
+    found = hot_keys(artifacts, doc_key, split_rows)
+    hot = {tuple(r[k] for k in doc_key): (r["rows_preds"], r["rows_recs"], r["rows_reqs"]) for r in found}
+    # rows of a key on the left: its spine, then times what was joined to it
+    to_preds = [(k, q + 1, p) for k, (p, _, q) in hot.items()]
+    to_recs = [(k, (q + 1) * max(1, p), r) for k, (p, r, q) in hot.items()]
+    out = salted_left_join(out, side(preds, "predictions", doc_key), doc_key, to_preds, split_rows=split_rows)
+    out = salted_left_join(out, side(recs, "recorded-inputs", doc_key), doc_key, to_recs, split_rows=split_rows)
+    wide = {k: max(1, p) * max(1, r) for k, (p, r, _) in hot.items()}
+    # a request key is hot only in a document that is hot
+    requests = hot_keys({"reqs": reqs}, spine_key, split_rows) if any(q for _, _, q in hot.values()) else []
+    to_reqs = [(tuple(r[k] for k in spine_key), wide.get(tuple(r[k] for k in doc_key), 1), r["rows_reqs"]) for r in requests]
+    out = salted_left_join(
+        out, side(reqs, "requests", spine_key), spine_key, to_reqs, null_safe=["idx"], split_rows=split_rows
+    )
     if config is not None:
         out = left_join(out, side(config, "config", file_key), file_key)
     met_columns = [c for c in met_side.columns if c not in file_key]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 from evalflow import schemas
+from evalflow.operators.skew import salted_left_join
 from evalflow.operators import columns as ops
 from evalflow.operators import dedupe, joins
 from evalflow.operators.ordering import number_in_order, pack_order
@@ -252,7 +253,7 @@ def test_attached_rows_are_those_of_a_left_join(spark):
     right = frame(spark, [("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 3, "w")], "k string, idx long, v string")
     for safe in ([], ["idx"], ["k", "idx"]):
         plain = joins.left_join(spine, right, ["k", "idx"], safe)
-        split = joins.attach(spine, right, ["k", "idx"], safe)
+        split = salted_left_join(spine, right, ["k", "idx"], [(("a", 1), 1, 2)], null_safe=safe, split_rows=1)
         assert plain.columns == split.columns
         assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
 
