@@ -8,19 +8,24 @@ prefixes repeat between directories.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalflow import constants as C
 from evalflow import schemas
 from evalflow.functions.jsontext import config_key
 from evalflow.functions.paths import artifact_prefix, result_slug, task_name_from_prefix
 from evalflow.operators import columns as ops
+from evalflow.operators import evolve
 from evalflow.operators.dedupe import first_per_key
 from evalflow.operators.joins import key_sets, left_join
 from evalflow.operators.skew import SPLIT_ROWS, hot_keys, salted_left_join
-from evalflow.sinks.tables import cut_lineage, finished_slugs, plan_work, write_table
+from evalflow.sinks import snapshots
+from evalflow.sinks.tables import cut_lineage, plan_work, write_table
 from evalflow.sources import files, records
 
 DIRS = ("results_dir",)
@@ -148,15 +153,80 @@ def dedupe_configurations(
 
 
 def dedupe_exports(spark: SparkSession, folder: str, out: str, **options) -> DataFrame:
-    """De-duplicate an export folder into a table outside of it."""
+    """De-duplicate an export, or any folder of exported Parquet files, into a table outside of it."""
     if f"{out.rstrip('/')}/".startswith(f"{folder.rstrip('/')}/"):
         raise ValueError("the output must lie outside the folder that is read")
     files.check_roots(spark, folder)
-    exported = spark.read.option("mergeSchema", "true").parquet(folder).drop("slug")
+    if snapshots.current(spark, folder).entries:
+        exported = snapshots.read(spark, folder, "data").drop("slug")
+    else:
+        exported = spark.read.option("mergeSchema", "true").parquet(folder).drop("slug", "version")
     write_table(dedupe_configurations(exported, **options), out)
     return spark.read.parquet(out)
 
 
+#: Where the fields found so far are kept between commits.
+_FIELDS = "fields of {}"
+
+
+class _Landing:
+    """Artifacts of the directories to do, read once into Parquet.
+
+    Directories whose files were not read to the end, or whose reading ended in an error, are
+    set aside with the reason; the others go on.
+    """
+
+    def __init__(self, spark: SparkSession, work: str, todo: DataFrame):
+        self.spark, self.work, self.todo = spark, work, todo
+        self.rows: dict[str, DataFrame] = {}
+        self.failures: list[DataFrame] = []
+
+    def land(self, name: str) -> None:
+        role, glob = ("metrics-all", C.RESULTS_FILE) if name == "metrics" else (name, f"*-{name}.{C.ARTIFACT_EXTENSIONS[name]}")
+        claimed = self.todo.where(F.col("artifact") == role)
+        done = self._read(name, glob, claimed, 1, 0)
+        rows = done[0] if done else self._rows(name, glob, claimed.limit(0))
+        for more in done[1:]:
+            rows = rows.unionByName(more)
+        self.rows[name] = rows
+        unread = records.unread_files(claimed, rows)
+        if self.failures:
+            unread = unread.join(self._failed_dirs(), "results_dir", "left_anti")
+        reason = F.format_string("%d of %d bytes were read", "read", "length")
+        self.failures.append(unread.select("results_dir", "path", reason.alias("reason"), F.lit(role).alias("artifact")))
+
+    def _rows(self, name: str, glob: str, claimed: DataFrame) -> DataFrame:
+        rows = records.landed_lines(records.read_claimed(self.spark, claimed, glob), schemas.ARTIFACTS[name])
+        return rows if name == "metrics" else rows.withColumn("file_prefix", artifact_prefix(F.col("path"), name))
+
+    def _read(self, name: str, glob: str, claimed: DataFrame, modulus: int, part: int) -> list[DataFrame]:
+        """Land the files; after an error each half of their directories, down to single ones."""
+        mine = claimed.where(F.pmod(F.xxhash64("results_dir"), F.lit(modulus)) == part)
+        try:
+            return [cut_lineage(self.spark, self._rows(name, glob, mine), f"{self.work}/rows/{name}/{modulus}-{part}")]
+        except PySparkException as error:
+            folders = mine.select("results_dir").distinct().take(2)
+            if not folders:
+                raise
+            if len(folders) == 2 and modulus < 1 << 40:
+                return [f for half in (part, part + modulus) for f in self._read(name, glob, claimed, 2 * modulus, half)]
+            reason = str(error).strip().split("\n")[0][:500]
+            failed = mine.select("results_dir", "path", F.lit(reason).alias("reason"), "artifact")
+            self.failures.append(failed)
+            return []
+
+    def _failed_dirs(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [f.select("results_dir") for f in self.failures]).distinct()
+
+    def finish(self) -> DataFrame:
+        """``(results_dir, path, reason, artifact)`` of all that could not be read; their directories' rows leave."""
+        failures = cut_lineage(self.spark, reduce(DataFrame.unionByName, self.failures), f"{self.work}/failures")
+        if failures.take(1):
+            failed = failures.select("results_dir").distinct()
+            self.rows = {name: rows.join(failed, "results_dir", "left_anti") for name, rows in self.rows.items()}
+        return failures
+
+
 def run_export(
     spark: SparkSession,
     roots: files.Roots,
@@ -167,20 +237,33 @@ def run_export(
     force: bool = False,
     doc_id: int | str | None = None,
     slug_prefix: str = "",
+    promote: bool = True,
+    listing: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Export every results directory below the roots as one partitioned table.
+    """Export every results directory below the roots as one table, a commit per run.
 
     ``work`` is a shared folder for landed artifacts. The tree is listed once, into the
-    manifest, and only files of directories still to do are read. JSON is parsed once,
-    into Parquet, and each later step reads only the columns it needs from there.
-    Each line belongs to every directory that claims its file. Directories that
-    are already finished are skipped unless ``force``; a bad line, or one with a value
-    that does not fit its type, goes to the quarantine table and stops nothing. Fields
-    that no schema declares stay as JSON text in ``<prefix>_undeclared_fields``.
-    Two directories with one slug are an error.
+    manifest, and only directories still to do are read. JSON is parsed once, into Parquet,
+    and each later step reads only the columns it needs from there. Each line belongs to
+    every directory that claims its file. Directories that are already finished are skipped
+    unless ``force``. Two directories with one slug are an error.
+
+    A bad line, or one with a value that does not fit its type, goes to the quarantine table
+    and stops nothing; neither does a file that cannot be read to its end: it is named in the
+    quarantine, its directory is ``failed`` in ``status``, keeps what it had in ``out`` and is
+    tried again by the next run.
+
+    Fields that no schema declares stay as JSON text in ``<prefix>_undeclared_fields``, and
+    unless ``promote`` is off get typed columns too. The fields found are kept with the commit:
+    later runs add to them and widen their types, and the table reads in the newest schema.
+
+    ``listing`` is a manifest made before, with lengths, in place of listing the tree now.
+    ``out`` is read with :func:`exported`; what a commit holds appears at once
+    (:mod:`evalflow.sinks.snapshots`).
     """
     listed = files.check_roots(spark, roots)
-    found = files.manifest(spark, roots)
+    before = snapshots.current(spark, out)
+    found = files.manifest(spark, roots, lengths=True) if listing is None else listing
     if wanted_dirs is not None:
         found = found.where(F.col("results_dir").isin([d.rstrip("/") for d in wanted_dirs]))
     found = found.withColumn(
@@ -192,35 +275,52 @@ def run_export(
     shared = found.groupBy("slug").agg(F.min("results_dir").alias("a"), F.max("results_dir").alias("b"))
     if clash := shared.where("a <> b").take(1):
         raise ValueError(f"one slug for two directories: {clash[0].asDict()}")
-    status = cut_lineage(
-        spark,
-        plan_work(found, finished_slugs(spark, f"{out}/manifest"), force=force),
-        f"{work}/status",
-    )
-    todo = found.join(status.where("status = 'processed'").select("slug"), "slug", "left_semi")
+    finished = snapshots.parts(spark, out, at=before).select("slug")
+    planned = cut_lineage(spark, plan_work(found, finished, force=force), f"{work}/planned")
+    todo = found.join(planned.where("status = 'processed'").select("slug"), "slug", "left_semi")
 
-    landed, quarantine = {}, []
+    landing = _Landing(spark, work, todo)
     for name in (*C.DOC_ARTIFACTS, "metrics"):
-        wanted = todo.where(F.col("artifact") == ("metrics-all" if name == "metrics" else name))
-        lines = records.read_paths(spark, wanted.select("path")).join(wanted.select("path", "results_dir"), "path")
-        rows = records.landed_lines(lines, schemas.ARTIFACTS[name])
-        if name != "metrics":
-            rows = rows.withColumn("file_prefix", artifact_prefix(F.col("path"), name))
-        rows = cut_lineage(spark, rows, f"{work}/rows/{name}")
-        landed[name] = records.good_rows(rows)
-        quarantine.append(records.quarantined(rows).withColumn("artifact", F.lit(name)))
-
-    wide = export_documents(*[landed[a] for a in (*C.DOC_ARTIFACTS, "metrics")], doc_id=doc_id)
-    slugs = todo.select("results_dir", "slug").distinct()
-    write_table(left_join(wide, slugs, ["results_dir"]), f"{out}/data", partition_by=("slug",))
-    write_table(
-        todo.select("slug", "results_dir", "artifact", "path", "doc_id_filter"),
-        f"{out}/manifest",
-        partition_by=("slug",),
+        landing.land(name)
+    failures = landing.finish()
+    failed = failures.select("results_dir").distinct()
+    broken = todo.join(failed, "results_dir", "left_semi").select("slug").distinct()
+    status = planned.join(broken.withColumn("_broken", F.lit(True)), "slug", "left").select(
+        "slug", F.when(F.col("_broken"), F.lit("failed")).otherwise(F.col("status")).alias("status")
+    )
+    status = cut_lineage(spark, status, f"{work}/status")
+    aside = [records.quarantined(rows).withColumn("artifact", F.lit(name)) for name, rows in landing.rows.items()]
+    aside.append(
+        failures.select("path", F.lit(None).cast("string").alias("line"), "reason", F.current_timestamp().alias("at"), "artifact").distinct()
     )
-    return {
-        "data": spark.read.parquet(f"{out}/data"),
-        "manifest": spark.read.parquet(f"{out}/manifest"),
-        "status": status,
-        "quarantine": ops.union_by_name(*quarantine),
-    }
+
+    good = {name: records.good_rows(rows).drop("bytes") for name, rows in landing.rows.items()}
+    notes = {}
+    for name, rows in good.items() if promote else ():
+        known = schemas.from_json_text(before.notes.get(_FIELDS.format(name), T.StructType([]).json()))
+        fields = schemas.merged_schema(known, evolve.found_schema(rows, records.UNDECLARED))
+        notes[_FIELDS.format(name)] = fields.json()
+        good[name] = evolve.promoted(rows, records.UNDECLARED, fields)
+    wide = export_documents(*[good[a] for a in (*C.DOC_ARTIFACTS, "metrics")], doc_id=doc_id)
+    done = todo.join(broken, "slug", "left_anti")
+    slugs = done.select("results_dir", "slug").distinct()
+    if status.where("status = 'processed'").take(1):
+        snapshots.commit(
+            spark,
+            out,
+            {
+                "data": left_join(wide, slugs, ["results_dir"]),
+                "manifest": done.select("slug", "results_dir", "artifact", "path", "doc_id_filter"),
+            },
+            slugs,
+            notes=notes,
+            before=before,
+        )
+    tables = exported(spark, out) if snapshots.current(spark, out).entries else {}
+    return {**tables, "status": status, "quarantine": ops.union_by_name(*aside)}
+
+
+def exported(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """``data`` and ``manifest`` of an export as of its last commit."""
+    at = snapshots.current(spark, out)
+    return {name: snapshots.read(spark, out, name, at=at) for name in ("data", "manifest")}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalflow import constants as C
@@ -80,3 +83,59 @@ QUARANTINE = _struct("path string, line string, reason string, at timestamp")
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """Typed frame without rows; joins and unions with it keep every column."""
     return spark.createDataFrame([], schema)
+
+
+# Schemas that grow: a field may be added, and its type may become wider, never narrower.
+
+_NUMBERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType())
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both; text when nothing else does."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if a in _NUMBERS and b in _NUMBERS:
+        return _NUMBERS[max(_NUMBERS.index(a), _NUMBERS.index(b))]
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return merged_schema(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widened(a.elementType, b.elementType))
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Fields of both, the old ones first; names that differ in case alone are one field."""
+    fields = {f.name.lower(): f for f in old.fields}
+    for f in new.fields:
+        known = fields.get(f.name.lower())
+        kind = f.dataType if known is None else widened(known.dataType, f.dataType)
+        fields[f.name.lower()] = T.StructField(f.name if known is None else known.name, kind)
+    return T.StructType(list(fields.values()))
+
+
+def from_json_text(text: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(text))
+
+
+def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The frame with every field of the schema in its type, absent ones null; other columns stay."""
+    names = {c.lower(): c for c in df.columns}
+    held = {f.name: f.dataType for f in df.schema.fields}
+
+    def value(f: T.StructField) -> Column:
+        own = names.get(f.name.lower())
+        if own is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        c = F.col(f"`{own}`")
+        if held[own] == f.dataType:
+            return c.alias(f.name)
+        nested = isinstance(held[own], (T.StructType, T.ArrayType, T.MapType, T.VariantType))
+        return (F.to_json(c) if nested and f.dataType == T.StringType() else c.cast(f.dataType)).alias(f.name)
+
+    wanted = {f.name.lower() for f in schema.fields}
+    rest = [F.col(f"`{c}`") for c in df.columns if c.lower() not in wanted]
+    return df.select(*[value(f) for f in schema.fields], *rest)

@@ -43,15 +43,6 @@ def cut_lineage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def finished_slugs(spark: SparkSession, bookkeeping: str) -> DataFrame:
-    """Slugs whose data and manifest rows are both written."""
-    from evalflow.sources.files import _status
-
-    if not _status(spark, bookkeeping):
-        return spark.createDataFrame([], "slug string")
-    return spark.read.parquet(bookkeeping).select("slug").distinct()
-
-
 def plan_work(wanted: DataFrame, finished: DataFrame, *, force: bool = False) -> DataFrame:
     """``(slug, status)`` with ``skipped`` for finished slugs unless forced."""
     if force:

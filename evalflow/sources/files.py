@@ -106,25 +106,32 @@ def manifest(
     *,
     artifacts: Sequence[str] = C.DOC_ARTIFACTS,
     results_file: str = C.RESULTS_FILE,
+    lengths: bool = False,
 ) -> DataFrame:
-    """``(results_dir, artifact, path)`` of every results directory.
+    """``(results_dir, artifact, path)`` of every results directory, with ``length`` if asked.
 
-    A file belongs to every results directory above it, so a nested directory's
-    files show up under its parent too. Paths meet directories by equality on
-    each ancestor; no pair of unrelated path and directory is ever formed.
+    The tree is listed once. A file belongs to every results directory above it, so a
+    nested directory's files show up under its parent too. Paths meet directories by
+    equality on each ancestor; no pair of unrelated path and directory is ever formed.
     """
-    results = discover(spark, roots, results_file)
-    found = discover(spark, roots, "*.{json,jsonl}")
-    files = found.select("path", artifact_role(F.col("path"), artifacts).alias("artifact")).where(
-        F.col("artifact").isNotNull()
-    )
+    columns = ["results_dir", "artifact", "path", *(["length"] if lengths else [])]
+    found = discover(spark, roots, f"{{{results_file},*.json,*.jsonl}}")
+    results = found.where(base_name(F.col("path")) == results_file)
+    files = found.withColumn("artifact", artifact_role(F.col("path"), artifacts)).where(F.col("artifact").isNotNull())
     claimed = files.withColumn("results_dir", F.explode(_ancestors(F.col("path")))).join(
         results_dirs(results), "results_dir"
     )
-    own = results.select(
-        parent_dir(F.col("path")).alias("results_dir"), F.lit("metrics-all").alias("artifact"), "path"
-    )
-    return own.unionByName(claimed.select("results_dir", "artifact", "path"))
+    own = results.withColumns({"results_dir": parent_dir(F.col("path")), "artifact": F.lit("metrics-all")})
+    return own.select(*columns).unionByName(claimed.select(*columns))
+
+
+def topmost(folders: Sequence[str]) -> list[str]:
+    """The folders that lie in none of the others."""
+    kept: list[str] = []
+    for folder in sorted(set(folders), key=lambda f: f.rstrip("/") + "/"):
+        if not kept or not f"{folder}/".startswith(f"{kept[-1].rstrip('/')}/"):
+            kept.append(folder)
+    return kept
 
 
 def artifact_index(paths: DataFrame, artifacts: Sequence[str] = C.DOC_ARTIFACTS) -> DataFrame:

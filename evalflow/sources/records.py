@@ -13,7 +13,7 @@ from evalflow import schemas
 from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import artifact_prefix
 from evalflow.operators.columns import compute_once
-from evalflow.sources.files import Roots, check_roots, decoded_path
+from evalflow.sources.files import Roots, check_roots, decoded_path, topmost
 
 
 def read_lines(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
@@ -28,18 +28,44 @@ def read_lines(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
     ).where(F.trim("line") != "")
 
 
-def read_paths(spark: SparkSession, paths: DataFrame) -> DataFrame:
-    """``(path, line)`` of all non-blank lines of the files named by ``path``, and of no others.
+def read_claimed(spark: SparkSession, claimed: DataFrame, glob: str) -> DataFrame:
+    """``(results_dir, path, line, bytes)`` of every line of the files listed as ``(results_dir, path)``.
 
-    The driver holds the names, as it does for any file listing.
+    Folders are read, not lists of files: the driver holds the topmost directories alone. A
+    file is a row source of every directory that claims it. A file that is gone or breaks off
+    yields the lines before that and no error; ``bytes``, the length of a line with its
+    end, tells (:func:`unread_files`). Blank lines are kept for that count.
     """
-    names = [re.sub(r"([\\*?\[\]{}])", r"\\\1", row[0]) for row in paths.distinct().toLocalIterator()]
-    if not names:
-        return spark.createDataFrame([], "path string, line string")
-    lines = spark.read.text(names)
-    return lines.select(
-        decoded_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line")
-    ).where(F.trim("line") != "")
+    folders = topmost([row[0] for row in claimed.select("results_dir").distinct().toLocalIterator()])
+    if not folders:
+        return spark.createDataFrame([], "results_dir string, path string, line string, bytes long")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob)
+        .option("lineSep", "\n")
+        .option("ignoreMissingFiles", "true")
+        .option("ignoreCorruptFiles", "true")
+        .text([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in folders])
+    )
+    lines = lines.select(
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
+        (F.octet_length("value") + 1).cast("long").alias("bytes"),
+    )
+    return lines.join(claimed.select("results_dir", "path").distinct(), "path").select("results_dir", "path", "line", "bytes")
+
+
+def unread_files(claimed: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(results_dir, path, length, read)`` of listed files that were not read to their end.
+
+    ``claimed`` has the length each file was listed with. The last line may lack its end,
+    and a byte order mark is no part of any line; a file that lost just two or three bytes
+    passes for one with such a mark, and its last line is then no JSON.
+    """
+    seen = lines.groupBy("results_dir", "path").agg(F.sum("bytes").alias("read"))
+    both = claimed.select("results_dir", "path", "length").join(seen, ["results_dir", "path"], "left")
+    both = both.withColumn("read", F.coalesce("read", F.lit(0)))
+    return both.where(~(F.col("read") - F.col("length")).isin(0, 1, -3, -2) | ((F.col("length") > 3) & (F.col("read") == 0)))
 
 
 def read_documents(spark: SparkSession, roots: Roots, glob: str) -> DataFrame:
@@ -110,7 +136,8 @@ def good_rows(landed: DataFrame) -> DataFrame:
 
 
 def quarantined(landed: DataFrame) -> DataFrame:
-    return landed.where(F.col("reason").isNotNull()).select(
+    """Lines set aside, blank ones left out."""
+    return landed.where(F.col("reason").isNotNull() & (F.btrim("bad_line") != "")).select(
         "path", F.col("bad_line").alias("line"), "reason", F.current_timestamp().alias("at")
     )
 
