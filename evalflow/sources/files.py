@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 from evalflow.functions.paths import base_name, parent_dir
+from evalflow.operators.columns import compute_once
 
 Roots = str | PurePath | Sequence[str | PurePath]
 
@@ -140,12 +141,14 @@ def artifact_index(paths: DataFrame, artifacts: Sequence[str] = C.DOC_ARTIFACTS)
     Only files that lie directly in the directory and start with ``task-`` count.
     """
     path = F.col("path")
-    tagged = paths.select(
-        parent_dir(path).alias("result_dir"), artifact_role(path, artifacts).alias("artifact"), "path"
-    ).where(F.col("artifact").isNotNull() & base_name(path).startswith("task-"))
-    stem = F.regexp_replace(base_name(path), r"-(" + "|".join(artifacts) + r")\.[^.]*$", "")
-    return (
-        tagged.withColumn("stem", stem)
-        .groupBy("result_dir", "stem")
-        .agg(*[F.max(F.when(F.col("artifact") == a, path)).alias(a) for a in artifacts])
+    parts = {
+        "result_dir": parent_dir(path),
+        "artifact": artifact_role(path, artifacts),
+        "stem": F.regexp_replace(base_name(path), r"-(" + "|".join(artifacts) + r")\.[^.]*$", ""),
+    }
+    tagged = compute_once(paths, parts, keep=["path"]).where(
+        F.col("artifact").isNotNull() & F.col("stem").startswith("task-")
+    )
+    return tagged.groupBy("result_dir", "stem").agg(
+        *[F.max(F.when(F.col("artifact") == a, path)).alias(a) for a in artifacts]
     )
