@@ -7,7 +7,7 @@
 2. Prefixes. Two sets of size n and m with the similarity wanted share a shingle among the
    first ``n - ceil(0.75 n) + 1`` of each, rarest first. Documents whose prefix holds
    unshared shingles alone have no partner and leave here: most do.
-3. Equal sets become one class, named by its smallest document.
+3. Equal sets become one class, named by a hash of the set.
 4. Groups. The classes whose prefix holds a shingle form its bucket; buckets with the same
    smallest class are joined to one group, so that a class travels about once
    although it stands in many buckets. A group that is too large for a task is dealt into
@@ -17,14 +17,14 @@
    shingle it shares. Pairs that links found so far already connect are not verified.
    A group gives its connected classes, never all its pairs. `link_counts` needs every link: there
    all candidate pairs are verified, and classes give how many documents they link with.
-6. Components over all groups (`components`).
+6. Components over all groups (`components`), named by their smallest document.
 
 Shingles are compared by 64-bit hash. Frequencies come by 48 bits of it, which only
 affects the order and what is kept, not what is compared.
 
 Defined results: documents without words have no shingles and link with nothing;
-repeated rows are documents with equal sets; a null id links like any other and is left
-out of the naming of components; an empty table gives an empty one; other columns are
+repeated rows are documents with equal sets, and rows of one id with different texts documents
+of their own; a null id links like any other and is left out of the naming of components; an empty table gives an empty one; other columns are
 ignored.
 """
 
@@ -371,20 +371,24 @@ def link_counts(docs: DataFrame, words: int = WORDS, chunk_classes: int = CHUNK_
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row its set's size and the smallest document that links lead to."""
     sets = document_sets(docs, words)
-    live = sets.filter("digest is not null and doc_id is not null")
     classes = written(
-        live.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"),
+        sets.filter("digest is not null")
+        .groupBy("digest")
+        .agg(
+            F.min("doc_id").alias("least"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
             F.first("shingles").alias("shingles"),
-        ),
+        )
+        .withColumn("rep", F.xxhash64("digest")),
         "classes",
     )
-    found = components(class_links(classes))
-    named = classes.select("digest", "rep").join(
-        found.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("digest", F.coalesce("component", "rep").alias("component"))
+    found = written(components(class_links(classes)), "class-components")
+    linked = classes.select("rep", "least").join(found.withColumnRenamed("node", "rep"), "rep")
+    smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    by_class = found.join(smallest, "component").select(F.col("node").alias("rep"), "smallest")
+    named = classes.select("digest", "rep", "least").join(by_class, "rep", "left")
+    named = named.select("digest", F.coalesce("smallest", "least").alias("component"))
     some = sets.filter("digest is not null").select("doc_id", "n", "digest").join(named, "digest", "left")
     rest = sets.filter("digest is null").select("doc_id", "n", F.lit(None).cast("long").alias("component"))
     return some.select("doc_id", "n", "component").unionByName(rest).select(
@@ -393,15 +397,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents that name their component, all columns as they are.
+    """One row of each component, all columns as they are: that of the smallest ``doc_id``.
 
-    Rows with one id are one document and stay once; documents without an id cannot name
-    anything and stay once per text.
+    A row is told by its id and text: rows of one id with other texts are documents of their own,
+    and rows that agree in both stay once. A null id comes after all others.
     """
-    named = near_duplicates(docs.filter("doc_id is not null"), words)
-    kept = named.filter("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    hashed = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))]
+    rows = docs.select("doc_id", F.xxhash64(*hashed).alias("row"))
+    named = near_duplicates(docs.select(F.xxhash64(*hashed).alias("doc_id"), "text"), words)
+    named = named.select(F.col("doc_id").alias("row"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    first = rows.join(named, "row").groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.row").alias("__row"))
+    return docs.withColumn("__row", F.xxhash64(*hashed)).join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -190,7 +190,7 @@ def fit(column: pa.Array, label: np.ndarray) -> Machine:
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     """The bounded sample: ``(text, toxic)`` of labelled rows where ``learn`` holds."""
     known = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    keys = docs.filter(learn).select("doc_id", F.xxhash64("doc_id", "text").alias("order"))
+    keys = docs.filter(learn).select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("order"))
     drawn = keys.join(known.select("doc_id", "toxic"), "doc_id")
     counts = {bool(r[0]): r[1] for r in drawn.groupBy(F.col("toxic") != 0).count().collect()}  # two rows
 
@@ -202,9 +202,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFram
         return near.orderBy(small, "doc_id").limit(rows)
 
     parts = [least(True, TOXIC_ROWS), least(False, CLEAN_ROWS)]
-    picked = parts[0].unionByName(parts[1]).select("doc_id", "toxic", "order")
+    # equal rows are drawn by number: one row a text, and how often it was drawn
+    picked = parts[0].unionByName(parts[1]).groupBy("doc_id", "order").agg(F.max("toxic").alias("toxic"), F.count("*").alias("times"))
     texts = text_rows(docs).withColumn("order", F.xxhash64("doc_id", "text"))
-    sample = texts.join(F.broadcast(picked), ["doc_id", "order"])  # at most as many as the sample
+    # at most as many as the sample, once the copies of a row have met
+    sample = texts.join(F.broadcast(picked), ["doc_id", "order"]).dropDuplicates(["doc_id", "order"])
+    sample = sample.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return sample.orderBy("toxic", "order", "doc_id").select("text", (F.col("toxic") != 0).cast("int").alias("toxic"))
 
 

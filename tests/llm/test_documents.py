@@ -398,3 +398,31 @@ def test_damaged_member_costs_only_itself(spark, tmp_path):
     open(path, "wb").write(data)
     found = {warc.parsed(c)["page_id"] for c in warc.records(path, 0, len(data)) if warc.parsed(c)}
     assert len(found) in (18, 19)
+
+
+def test_rows_of_one_id_are_kept_apart(spark):
+    words = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    a, b = (" ".join(w) for w in words)
+    rows = [(5, a), (5, b), (7, a), (8, b), (9, b + " more"), (None, a + " end"), (5, a), (None, "x y"), (3, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__row", F.lit(1)).drop("__row")
+    found = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert found[(7, 36)] == found[(8, 36)] == found[(9, 37)] == 5 and found[(3, 1)] == 3
+    kept = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect())
+    assert kept == [(3, "x y"), (5, a), (5, b)]
+
+
+def test_a_row_without_id_connects_others(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base, "p1", "p2", "p3", "p4", "p5", "p6", "p7"]), " ".join([*base, *(f"p{i}" for i in range(1, 21))])]
+    rows = [(10, texts[0]), (None, texts[1]), (11, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()} == {10: 10, None: 10, 11: 10}
+    assert [r["doc_id"] for r in jaccard.one_of_each(docs).collect()] == [10]
+
+
+def test_the_toxicity_sample_grows_with_its_rows_alone(spark):
+    rows = [(1, "same text")] * 300 + [(i, f"text {i}") for i in range(2, 202)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 202)], "doc_id long, toxic int")
+    sample = toxicity.training_rows(docs, labels, F.lit(True))
+    assert sample.count() == 500 and sample.where("text = 'same text'").count() == 300
