@@ -40,6 +40,18 @@ def prefix_group(spark, folder):
     )
 
 
+def prefix_rules(spark, folder):
+    """Orders grouped by rules that stand in a table: many lengths, several rules of one prefix."""
+    name = F.concat(F.lit("Key "), F.lpad((F.col("o_orderkey") * 7919 % 1_000_000).cast("string"), 6, "0"), F.lit("/"), "o_orderstatus")
+    orders = table(spark, folder, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 31 != 0, name).alias("name"))
+    start = F.concat(F.lit(" KEY "), F.lpad((F.col("l_orderkey") * 7919 % 1_000_000).cast("string"), 6, "0"))
+    rules = table(spark, folder, "lineitem").select(
+        F.substring(start, F.lit(1), (F.col("l_linenumber") % 4 + F.col("l_orderkey") % 3 + 6).cast("int")).alias("prefix"),
+        F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("group"),
+    )
+    return joins.group_by_rules(orders, "name", rules, "name_group").drop("name")
+
+
 def display_order(spark, folder):
     n = F.col("p_partkey")
     return sorted_nulls_last(
@@ -254,6 +266,7 @@ _URI = """
 QUERIES = {
     "lookup_fallback": lookup_fallback,
     "prefix_group": prefix_group,
+    "prefix_rules": prefix_rules,
     "display_order": display_order,
     "parse_sizes": sizes,
     "union_by_name": union_by_name,
@@ -295,6 +308,23 @@ SQL = {
         WHEN starts_with(lower(p_name), 'red') THEN 'red' ELSE p_name END AS name_group
     FROM part
     """,
+    "prefix_rules": """
+    WITH names AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 THEN
+            'Key ' || lpad(CAST(o_orderkey * 7919 % 1000000 AS VARCHAR), 6, '0') || '/' || o_orderstatus END AS name
+        FROM orders
+    ), rules AS (
+        SELECT trim(lower(substr(' KEY ' || lpad(CAST(l_orderkey * 7919 % 1000000 AS VARCHAR), 6, '0'), 1,
+            CAST(l_linenumber % 4 + l_orderkey % 3 + 6 AS INTEGER)))) AS prefix, 'g' || l_partkey AS grp
+        FROM lineitem
+    ), best AS (
+        SELECT o_orderkey, grp, row_number() OVER (PARTITION BY o_orderkey ORDER BY n DESC, grp) AS place
+        FROM (SELECT o_orderkey, name, unnest(range(1, len(name) + 1)) AS n FROM names) v
+        JOIN rules ON rules.prefix = substr(lower(name), 1, n)
+    )
+    SELECT names.o_orderkey, coalesce(grp, name) AS name_group
+    FROM names LEFT JOIN best ON best.o_orderkey = names.o_orderkey AND place = 1
+    """,
     "display_order": f"""
     SELECT p_partkey, {_rank(pick_sql("p_partkey % 15", [*C.PARAM_ORDER, "2B"]), C.PARAM_ORDER)} AS size_rank,
         {_rank(pick_sql("p_partkey % 5", C.SEED_ORDER), C.SEED_ORDER)} AS seed_rank,

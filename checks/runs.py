@@ -10,6 +10,7 @@ from checks.shape import choose_sql, fill_sql, pick_expr, pick_sql, quoted, tabl
 from evalflow import constants as C
 from evalflow.operators.summaries import summary_metrics, summary_task_maps
 from evalflow.plans import runs
+from evalflow.session import fresh_folder
 
 # One id form per pattern, and two that match none.
 TEMPLATES = [
@@ -76,6 +77,11 @@ def run_type_counts(spark, folder):
     return runs.run_type_counts(runs.classified(_ids(spark, folder), drop_types=None))
 
 
+def observed_run_counts(spark, folder):
+    """The same counts, taken while the classified runs are written."""
+    return runs.write_classified(_ids(spark, folder), fresh_folder(spark, "observed"))
+
+
 def classification_log(spark, folder):
     return runs.classification_log(_ids(spark, folder))
 
@@ -219,6 +225,7 @@ _SUMMARY = """
 QUERIES = {
     "classify_runs": classify_runs,
     "run_type_counts": run_type_counts,
+    "observed_run_counts": observed_run_counts,
     "classification_log": classification_log,
     "matched_runs": matched_runs,
     "hydrate_runs": hydrate_runs,
@@ -230,6 +237,7 @@ QUERIES = {
 SQL = {
     "classify_runs": f"WITH {_RUNS} SELECT {_SHOWN} FROM typed WHERE run_type <> 'old'",
     "run_type_counts": f"WITH {_RUNS} SELECT run_type, pattern_name, count(*) AS runs FROM typed GROUP BY ALL",
+    "observed_run_counts": f"WITH {_RUNS} SELECT run_type, pattern_name, count(*) AS runs FROM typed GROUP BY ALL",
     "classification_log": f"WITH {_RUNS} SELECT run_id, run_type, pattern_name AS pattern FROM typed",
     "matched_runs": f"""
     WITH {_RUNS} SELECT {", ".join(runs.type_columns("matched"))} FROM typed WHERE run_type = 'matched'

@@ -73,6 +73,39 @@ def skip_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFr
     return df.join(listed.select(*keys), list(keys), "left_anti")
 
 
+def group_by_rules(
+    df: DataFrame, column: str, rules: DataFrame, out: str, *, turn: str | None = None
+) -> DataFrame:
+    """``out``: the group of the longest rule whose prefix starts the value, else the value itself.
+
+    ``rules`` is a table ``(prefix, group)`` of any size, compared in lower case without outer
+    blanks; of two rules with one prefix that of the smallest ``turn`` counts, and without
+    that column the smallest group. Only the lengths that prefixes have come to the driver. Each
+    distinct value meets the rules by equality on its beginnings of those lengths, so no
+    pair of value and rule is formed that does not match.
+    """
+    plain = F.lower(F.btrim("prefix"))
+    first = F.struct(F.col(turn), F.col("group")) if turn else F.struct("group")
+    table = rules.where(F.col("prefix").isNotNull() & F.col("group").isNotNull())
+    lengths = sorted(r[0] for r in table.select(F.length(plain)).distinct().collect())
+    # one rule a prefix, so that a value meets one rule of each length at most
+    table = table.groupBy(plain.alias("_start")).agg(F.min(first).alias("_first"))
+    if lengths[:1] == [0]:
+        raise ValueError("an empty prefix would match everything")
+    if not lengths:
+        return df.withColumn(out, F.col(f"`{column}`"))
+    value = F.lower("_value")
+    starts = F.transform(
+        F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(value)), lambda n: F.substring(value, F.lit(1), n)
+    )
+    values = df.select(F.col(f"`{column}`").alias("_value")).where(F.col("_value").isNotNull()).distinct()
+    offers = values.select("_value", F.explode(starts).alias("_start")).join(table, "_start")
+    longest = F.max_by(F.col("_first.group"), F.length("_start"))
+    groups = offers.groupBy("_value").agg(longest.alias("_group")).withColumnRenamed("_value", "_match")
+    joined = df.join(groups, F.col(f"`{column}`") == F.col("_match"), "left")
+    return joined.withColumn(out, F.coalesce("_group", F.col(f"`{column}`"))).drop("_match", "_group")
+
+
 def overwrite(old: Column, new: Column) -> Column:
     """Update rule: a present new value always wins."""
     return F.coalesce(new, old)

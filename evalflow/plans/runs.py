@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evalflow import constants as C
@@ -17,6 +17,7 @@ from evalflow.functions.text import normalize_text
 from evalflow.operators import columns as ops
 from evalflow.operators.joins import UPDATE_RULES, left_join
 from evalflow.operators.ordering import sorted_nulls_as_blank
+from evalflow.sinks.tables import write_table
 
 Classifier = Callable[[DataFrame, str], DataFrame]
 
@@ -48,6 +49,45 @@ def run_type_counts(runs: DataFrame) -> DataFrame:
     return runs.groupBy("run_type", "pattern_name").agg(F.count(F.lit(1)).alias("runs"))
 
 
+def _kinds() -> list[tuple[str, str | None]]:
+    """Every type with the patterns that lead to it; the last two follow none."""
+    return [*dict.fromkeys((kind, name) for name, kind, _, _ in C.RUN_PATTERNS), ("old", None), ("other", None)]
+
+
+def observed_counts(runs: DataFrame, kinds: Iterable[tuple[str, str | None]] | None = None) -> tuple[DataFrame, Observation]:
+    """Classified runs whose rows are counted by type and pattern as they go to wherever they go.
+
+    No pass of its own: the counts are there when the rows have been written, see
+    :func:`counts_from`. ``kinds`` are the pairs of a classifier of one's own.
+    """
+    seen = Observation()
+    pairs = list(kinds or _kinds())
+    counts = [
+        F.count_if((F.col("run_type") == kind) & F.col("pattern_name").eqNullSafe(F.lit(name))).alias(f"k{i}")
+        for i, (kind, name) in enumerate(pairs)
+    ]
+    seen.pairs = pairs
+    return runs.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def counts_from(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The rows of :func:`run_type_counts`, from what a write observed; rows of other kinds are an error."""
+    got = seen.get
+    rows = [(kind, name, got[f"k{i}"]) for i, (kind, name) in enumerate(seen.pairs) if got[f"k{i}"]]
+    if sum(r[2] for r in rows) != got["rows"]:
+        raise ValueError(f"{got['rows']} rows, of which {sum(r[2] for r in rows)} are of a known kind")
+    return spark.createDataFrame(rows, "run_type string, pattern_name string, runs long")
+
+
+def write_classified(
+    runs: DataFrame, out: str, run_id_col: str = "run_id", *, classifier: Classifier = classify_runs, kinds=None
+) -> DataFrame:
+    """Classified runs written by type, and their counts, from one pass over the runs."""
+    rows, seen = observed_counts(classifier(runs, run_id_col), kinds)
+    write_table(rows, out, partition_by=("run_type",))
+    return counts_from(runs.sparkSession, seen)
+
+
 def type_columns(run_type: str) -> list[str]:
     """Metadata columns the patterns of one run type can fill."""
     fields = {f for _, kind, _, names in C.RUN_PATTERNS if kind == run_type for f in names}

@@ -13,7 +13,7 @@ from evalflow.functions.jsontext import canonical_json
 from evalflow.functions.paths import parent_dir
 from evalflow.operators.columns import compute_once
 from evalflow.functions.runids import classify_runs
-from evalflow.plans.runs import Classifier, classification_log, classified
+from evalflow.plans.runs import Classifier
 from evalflow.sinks.tables import write_table
 from evalflow.sources.files import Roots, check_roots, decoded_path
 from evalflow.sources.records import canonical_lines
@@ -89,18 +89,18 @@ def ingest_new_files(
 
 
 def classify_stream(runs: DataFrame, out: str, *, classifier: Classifier = classify_runs) -> StreamingQuery:
-    """Classified runs and, as a second table, the classification log."""
+    """Classified runs and, as a second table, the classification log.
+
+    A batch is classified once; both tables are written from the kept rows.
+    """
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        write_table(
-            classified(batch, classifier=classifier).withColumn("batch", F.lit(number)), f"{out}/runs", partition_by=("batch", "run_type")
-        )
-        write_table(
-            classification_log(batch, classifier=classifier).withColumn("batch", F.lit(number)),
-            f"{out}/classification_log",
-            partition_by=("batch",),
-            rebalance=False,
-        )
+        rows = classifier(batch, "run_id").withColumn("batch", F.lit(number)).persist()
+        kept = rows.where(F.col("run_type") != "old")
+        log = rows.select("run_id", "run_type", F.col("pattern_name").alias("pattern"), "batch")
+        write_table(kept, f"{out}/runs", partition_by=("batch", "run_type"))
+        write_table(log, f"{out}/classification_log", partition_by=("batch",), rebalance=False)
+        rows.unpersist()
 
     return (
         runs.writeStream.foreachBatch(write_batch)

@@ -444,3 +444,51 @@ def test_scaling_job_aggregates_by_hash(spark, tmp_path):
     wide = scaling.pivot_metrics(scaling.prepare_fits(fits), scaling.KEYS, scaling.ONE_STEP, table_plans.source_order()[0])
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rules_in_a_table(spark, value):
+    from evalflow.functions.text import group_by_prefix
+
+    rules = [("small ", "little"), ("small r", "ringlike"), ("RED", "red"), ("red", "other"), (" s", "s"), ("smaller than all", "none")]
+    values = ["Small rings", "small", "SMALLER", "Reddish", "x", "", None, "S", "Small rings", "small x", "İred"]
+    df = frame(spark, [(i, v) for i, v in enumerate(values)], "i int, name string")
+    table = frame(spark, [(p, g, i) for i, (p, g) in enumerate(rules)], "prefix string, group string, place int")
+    table = table.unionByName(frame(spark, [(None, "n", 9), ("x", None, 9)], table.schema))
+    got = {r["i"]: r["g"] for r in joins.group_by_rules(df, "name", table, "g", turn="place").collect()}
+    plain = {r["i"]: r["g"] for r in df.select("i", group_by_prefix(F.col("name"), rules).alias("g")).collect()}
+    assert got == plain and len(got) == len(values)
+    assert joins.group_by_rules(df, "name", table.limit(0), "g").where("name <=> g").count() == len(values)
+    with pytest.raises(ValueError):
+        joins.group_by_rules(df, "name", frame(spark, [(" ", "g")], "prefix string, group string"), "g")
+    plan = joins.group_by_rules(df, "name", table, "g")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cross" not in plan
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    ids = frame(spark, [("x_main_default",), ("junk",), ("junk2",), (None,)], "run_id string")
+    got = {(r["run_type"], r["pattern_name"]): r["runs"] for r in runs.write_classified(ids, str(tmp_path / "runs")).collect()}
+    assert got == {(r["run_type"], r["pattern_name"]): r["runs"] for r in runs.run_type_counts(runs.classified(ids, drop_types=None)).collect()}
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 4
+    own = lambda df, _: df.withColumns({"run_type": F.lit("mine"), "pattern_name": F.lit("P")})
+    (row,) = runs.write_classified(ids, str(tmp_path / "own"), classifier=own, kinds=[("mine", "P")]).collect()
+    assert tuple(row) == ("mine", "P", 4)
+    with pytest.raises(ValueError, match="known kind"):
+        runs.write_classified(ids, str(tmp_path / "odd"), classifier=own)
+
+
+def test_a_stream_batch_is_classified_once(spark, tmp_path):
+    from evalflow.functions.runids import classify_runs
+    from evalflow.streaming import ingest
+
+    frame(spark, [("x_main_default",), ("junk",)], "run_id string").write.parquet(str(tmp_path / "in"))
+    calls = []
+
+    def counting(df, column):
+        calls.append(1)
+        return classify_runs(df, column)
+
+    stream = spark.readStream.schema("run_id string").parquet(str(tmp_path / "in"))
+    ingest.classify_stream(stream, str(tmp_path / "out"), classifier=counting).awaitTermination()
+    assert len(calls) == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "classification_log")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "out" / "runs")).count() == 1
