@@ -6,9 +6,9 @@ expressions in Spark and in SQL, and lists ``QUERIES`` and ``SQL`` by name.
 
 from __future__ import annotations
 
-from checks import archives, commits, documents, files, labels, lookups, records, runs, scaling, stored, train
+from checks import archives, commits, documents, files, jobs, labels, lookups, records, runs, scaling, stored, train
 
-_MODULES = (scaling, train, documents, records, runs, labels, lookups, archives, files, stored, commits)
+_MODULES = (scaling, train, documents, records, runs, labels, lookups, archives, files, stored, commits, jobs)
 
 
 def all_queries():

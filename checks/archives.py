@@ -76,10 +76,10 @@ def payload_keys(spark, folder):
     return keys.select(*_FILE, F.array_join("output_keys", ",").alias("output_keys"))
 
 
-def _archived(spark, folder):
-    """Instance lines packed into archives of 500 conversations each."""
+def _archived(spark, folder, size=500):
+    """Instance lines packed into archives of ``size`` conversations each."""
     root = fresh_folder(spark, "archives")
-    part = F.floor(F.col("place") / 100000 / 500).cast("string")
+    part = F.floor(F.col("place") / 100000 / size).cast("string")
     rows = instance_lines(spark, folder).select(
         F.concat(F.lit("c4/4M/seed-2/part-"), part, F.lit(".tar.gz")).alias("archive"),
         F.concat(F.lit("x/step-"), F.col("step").cast("string"), F.lit("/"), "task", F.lit(".jsonl")).alias("member"),
