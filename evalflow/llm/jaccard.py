@@ -10,13 +10,12 @@
 3. Equal sets become one class, named by a hash of the set.
 4. Groups. The classes whose prefix holds a shingle form its bucket; buckets with the same
    smallest class are joined to one group, so that a class travels about once
-   although it stands in many buckets. A group that is too large for a task is dealt into
-   chunks, first each by itself, then every two chunks together.
+   although it stands in many buckets. A group with too many classes or shingles for a task
+   is dealt into chunks, first each by itself, then every two chunks together.
 5. In a group, pairs come from an index over prefix shingles and pass the length, positional
-   and suffix filters; a pair is verified exactly, and only in the group of the first prefix
-   shingle it shares. Pairs that links found so far already connect are not verified.
-   A group gives its connected classes, never all its pairs. `link_counts` needs every link: there
-   all candidate pairs are verified, and classes give how many documents they link with.
+   and suffix filters; every such pair is verified exactly, once: in the group of the first prefix
+   shingle it shares. A group gives how many documents each class links with, and the
+   smallest class that these links connect it to, never its pairs.
 6. Components over all groups (`components`), named by their smallest document.
 
 Shingles are compared by 64-bit hash. Frequencies come by 48 bits of it, which only
@@ -24,8 +23,8 @@ affects the order and what is kept, not what is compared.
 
 Defined results: documents without words have no shingles and link with nothing;
 repeated rows are documents with equal sets, and rows of one id with different texts documents
-of their own; a null id links like any other and is left out of the naming of components; an empty table gives an empty one; other columns are
-ignored.
+of their own; a null id links like any other and is left out of the naming of components; an
+empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,10 +44,13 @@ from evalflow.llm.hashing import shingle_hashes
 WORDS = 5
 #: Least similarity, as a fraction of whole numbers: intersection / union >= 3 / 4.
 NEED, OF = 3, 4
-#: Classes of one group that are compared in one task.
-CHUNK_CLASSES = 4000
+#: Classes of one group that are compared in one task, and shared shingles that they hold together.
+CHUNK_CLASSES = 2000
+CHUNK_SHINGLES = 4_000_000
 #: Ranges of the hash by which the suffix filter counts.
 _RANGES = 32
+#: Partners of a class that are verified at a time.
+_VERIFIED = 1024
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -107,13 +109,12 @@ def _shared(words: int):
 class _Group:
     """The classes of a group in one task."""
 
-    def __init__(self, table: pa.Table, every: bool = False):
-        self.every = every
+    def __init__(self, table: pa.Table):
         n = _column(table, "n").to_numpy()
         rep = _column(table, "rep").to_numpy()
         order = np.lexsort((rep, n))
-        self.order = order
         table = table.take(pa.array(order))
+        self.copies = _column(table, "copies").to_numpy()
         self.n, self.rep = n[order], rep[order]
         lists = _column(table, "shingles")
         self.begin = lists.offsets.to_numpy().astype(np.int64)
@@ -123,9 +124,6 @@ class _Group:
         self.prefix = _column(table, "prefix").to_numpy()
         self.side = _column(table, "side").to_numpy() if "side" in table.column_names else None
         self.component = np.arange(len(n))
-        if "label" in table.column_names:
-            _, first, same = np.unique(_column(table, "label").to_numpy(), return_index=True, return_inverse=True)
-            self.component = first[same]
         mine = _column(table, "mine")
         _, span = np.unique(np.r_[flat, mine.values.to_numpy()], return_inverse=True)
         self.here = np.zeros(span.max() + 1 if len(span) else 0, bool)
@@ -154,7 +152,7 @@ class _Group:
         return self.flat[at], start
 
     def candidates(self, x: int) -> np.ndarray:
-        """Smaller or equal classes that pass the filters and, unless every pair counts, are not yet connected."""
+        """Smaller or equal classes that pass the filters, from the other chunk where there are two."""
         own = self.shingles(x)[: self.prefix[x]]
         places = np.flatnonzero(self.here[own])
         least = np.searchsorted(self.n, -(-self.n[x] * NEED // OF))  # length
@@ -171,9 +169,9 @@ class _Group:
             return np.empty(0, np.int64)
         docs, first = np.unique(np.concatenate(found), return_index=True)
         mine, theirs = np.concatenate(mine)[first], np.concatenate(theirs)[first]
-        ok = self.every | (self.component[docs] != self.component[x])
+        ok = np.ones(len(docs), bool)
         if self.side is not None:
-            ok &= self.side[docs] != self.side[x]
+            ok = self.side[docs] != self.side[x]
         need = -(-NEED * (self.n[x] + self.n[docs]) // (NEED + OF))
         left = np.minimum(
             self.n[x] - self.alone[x] - mine, self.n[docs] - self.alone[docs] - theirs
@@ -209,57 +207,35 @@ class _Group:
         self.mark[own] = False
         return docs[common * (NEED + OF) >= NEED * (self.n[x] + self.n[docs])]
 
-    def run(self) -> None:
-        for x in range(len(self.n)):
-            docs, wave = self.candidates(x), 8
-            while len(docs):
-                # one of each component first: the others may then be connected already
-                _, first = np.unique(self.component[docs], return_index=True)
-                tried = np.zeros(len(docs), bool)
-                tried[first[:wave]] = True
-                if len(first) < wave:
-                    tried[:wave] = True
-                for y in self.verified(x, docs[tried]).tolist():
-                    a, b = sorted((int(self.component[x]), int(self.component[y])))
-                    self.component[self.component == b] = a
-                docs = docs[~tried]
-                docs = docs[self.component[docs] != self.component[x]]
-                wave = min(4 * wave, 4096)
-
-    def linked(self, copies: np.ndarray) -> np.ndarray:
-        """Of each class the copies of those similar to it: every pair is verified."""
+    def linked(self) -> np.ndarray:
+        """Of each class the copies of those similar to it; ``component`` holds what the links connect."""
         total = np.zeros(len(self.n), np.int64)
         for x in range(len(self.n)):
             docs = self.candidates(x)
-            for at in range(0, len(docs), 4096):
-                found = self.verified(x, docs[at : at + 4096])
-                total[x] += copies[found].sum()
-                total[found] += copies[x]
+            for at in range(0, len(docs), _VERIFIED):
+                found = self.verified(x, docs[at : at + _VERIFIED])
+                total[x] += self.copies[found].sum()
+                total[found] += self.copies[x]
+                met = np.unique(self.component[np.r_[found, x]])
+                if len(met) > 1:
+                    self.component[np.isin(self.component, met)] = met[0]
         return total
 
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every class tied to the smallest of its component."""
+    def smallest(self) -> np.ndarray:
+        """The smallest class of each one's component."""
         _, same = np.unique(self.component, return_inverse=True)
-        least = np.full(same.max() + 1, np.iinfo(np.int64).max)
+        least = np.full(len(self.n), np.iinfo(np.int64).max)
         np.minimum.at(least, same, self.rep)
-        low = least[same]
-        return self.rep[self.rep != low], low[self.rep != low]
+        return least[same]
 
 
-_LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+_LINKED_SQL = "rep long, linked long, low long"
 
 
-def _connect(table: pa.Table) -> pa.Table:
+def _link(table: pa.Table) -> pa.Table:
     group = _Group(table)
-    group.run()
-    u, v = group.links()
-    return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_LINK)
-
-
-def _count_links(table: pa.Table) -> pa.Table:
-    group = _Group(table, every=True)
-    copies = _column(table, "copies").to_numpy()[group.order]
-    return pa.Table.from_arrays([pa.array(group.rep), pa.array(group.linked(copies))], ["rep", "linked"])
+    linked = group.linked()
+    return pa.Table.from_arrays([pa.array(group.rep), pa.array(linked), pa.array(group.smallest())], ["rep", "linked", "low"])
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -270,70 +246,34 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return written(found, "sets")
 
 
-def _dealt_groups(classes: DataFrame, chunk_classes: int) -> DataFrame:
+def _dealt_groups(classes: DataFrame, chunk_classes: int, chunk_shingles: int) -> DataFrame:
     """The classes of each group, and the chunk of the group that each is dealt into."""
     ship(classes.sparkSession)
-    posts = classes.select("rep", F.explode(F.slice("shingles", F.lit(1), F.col("prefix"))).alias("shingle"))
+    posts = classes.select(
+        "rep", F.size("shingles").alias("size"), F.explode(F.slice("shingles", F.lit(1), F.col("prefix"))).alias("shingle")
+    )
     buckets = posts.groupBy("shingle").agg(F.min("rep").alias("leader"), F.count("*").alias("k")).filter("k > 1")
     members = (
         posts.join(buckets.drop("k"), "shingle")
         .groupBy("leader", "rep")
-        .agg(F.collect_list("shingle").alias("mine"))
+        .agg(F.first("size").alias("size"), F.collect_list("shingle").alias("mine"))
     )
     members = written(members, "groups")
-    chunks = members.groupBy("leader").agg(F.ceil(F.count("*") / chunk_classes).cast("int").alias("chunks"))
+    wanted = F.greatest(F.ceil(F.count("*") / chunk_classes), F.ceil(F.sum("size") / chunk_shingles))
+    chunks = members.groupBy("leader").agg(F.least(wanted, F.count("*")).cast("int").alias("chunks"))
     return members.join(chunks, "leader").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
 
 
-def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
-    """Links ``(u, v)`` that connect the classes ``(rep, n, prefix, shingles)``."""
-    dealt = _dealt_groups(classes, chunk_classes)
-    # the smallest class goes into every chunk and so ties the chunks together early
-    alone = dealt.withColumn(
-        "chunk",
-        F.explode(
-            F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("side"))
-        ),
-    )
-    full = classes.select("rep", "n", "prefix", "shingles")
-    first = (
-        alone.select("leader", "chunk", "rep", "mine")
-        .join(full, "rep")
-        .groupBy("leader", "chunk")
-        .applyInArrow(_connect, "u long, v long")
-    )
-    first = written(first, "links")
-    wide = dealt.filter("chunks > 1")
-    if wide.isEmpty():
-        return first
-    known = components(first)
-    wide = wide.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("component", "rep")
-    )
-    split = wide.groupBy("leader").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
-    cells = (
-        wide.join(split.select("leader"), "leader")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .filter("other <> side")
-        .withColumn("low", F.least("side", "other"))
-        .withColumn("high", F.greatest("side", "other"))
-        .select("leader", "low", "high", "rep", "mine", "side", "label")
-        .join(full, "rep")
-        .groupBy("leader", "low", "high")
-        .applyInArrow(_connect, "u long, v long")
-    )
-    return first.unionByName(written(cells, "links"))
-
-
-def class_link_counts(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
-    """``(rep, linked)``: copies of other classes similar to each class ``(rep, n, prefix, shingles, copies)``.
+def class_links(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
+    """``(rep, linked, low)`` of classes ``(rep, n, prefix, shingles, copies)``, a row for each task a class is in.
 
-    Every candidate pair is verified, once: in its chunk, or where two chunks meet.
+    ``linked`` counts the copies of other classes similar to it that were found there, ``low`` is the
+    smallest class that links found there connect it to.
     """
-    dealt = _dealt_groups(classes, chunk_classes)
+    dealt = _dealt_groups(classes, chunk_classes, chunk_shingles)
     full = classes.select("rep", "n", "prefix", "shingles", "copies")
-    first = dealt.select("leader", "side", "rep", "mine").join(full, "rep")
-    inside = first.withColumnRenamed("side", "chunk").groupBy("leader", "chunk").applyInArrow(_count_links, "rep long, linked long")
+    alone = dealt.select("leader", F.col("side").alias("chunk"), "rep", "mine").join(full, "rep")
+    inside = alone.groupBy("leader", "chunk").applyInArrow(_link, _LINKED_SQL)
     cells = (
         dealt.filter("chunks > 1")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -343,33 +283,15 @@ def class_link_counts(classes: DataFrame, chunk_classes: int = CHUNK_CLASSES) ->
         .select("leader", "low", "high", "rep", "mine", "side")
         .join(full, "rep")
         .groupBy("leader", "low", "high")
-        .applyInArrow(_count_links, "rep long, linked long")
+        .applyInArrow(_link, _LINKED_SQL)
     )
-    return inside.unionByName(cells).groupBy("rep").agg(F.sum("linked").alias("linked"))
+    return written(inside.unionByName(cells), "links")
 
 
-def link_counts(docs: DataFrame, words: int = WORDS, chunk_classes: int = CHUNK_CLASSES) -> DataFrame:
-    """Per row its id and with how many other rows it links; rows without an id count like any other."""
-    sets = document_sets(docs, words)
-    classes = written(
-        sets.filter("digest is not null")
-        .groupBy(F.xxhash64("digest").alias("rep"))
-        .agg(
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
-            F.first("shingles").alias("shingles"),
-            F.count("*").alias("copies"),
-        ),
-        "classes",
-    )
-    counted = classes.select("rep", "copies").join(class_link_counts(classes, chunk_classes), "rep", "left")
-    per_class = counted.select("rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    rows = sets.select("doc_id", F.when(F.col("digest").isNotNull(), F.xxhash64("digest")).alias("rep"))
-    return rows.join(per_class, "rep", "left").select("doc_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-
-
-def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per row its set's size and the smallest document that links lead to."""
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, chunk_classes: int = CHUNK_CLASSES, chunk_shingles: int = CHUNK_SHINGLES
+) -> DataFrame:
+    """Per row its set's size, the smallest document that links lead to, and with how many other rows it links."""
     sets = document_sets(docs, words)
     classes = written(
         sets.filter("digest is not null")
@@ -379,20 +301,37 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
             F.first("shingles").alias("shingles"),
+            F.count("*").alias("copies"),
         )
         .withColumn("rep", F.xxhash64("digest")),
         "classes",
     )
-    found = written(components(class_links(classes)), "class-components")
-    linked = classes.select("rep", "least").join(found.withColumnRenamed("node", "rep"), "rep")
-    smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    links = class_links(classes, chunk_classes, chunk_shingles)
+    linked = links.groupBy("rep").agg(F.sum("linked").alias("linked"))
+    found = written(components(links.filter("rep <> low"), "rep", "low"), "class-components")
+    smallest = (
+        classes.select("rep", "least")
+        .join(found.withColumnRenamed("node", "rep"), "rep")
+        .groupBy("component")
+        .agg(F.min("least").alias("smallest"))
+    )
     by_class = found.join(smallest, "component").select(F.col("node").alias("rep"), "smallest")
-    named = classes.select("digest", "rep", "least").join(by_class, "rep", "left")
-    named = named.select("digest", F.coalesce("smallest", "least").alias("component"))
+    named = (
+        classes.select("digest", "rep", "least", "copies")
+        .join(by_class, "rep", "left")
+        .join(linked, "rep", "left")
+        .select(
+            "digest",
+            F.coalesce("smallest", "least").alias("component"),
+            (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
+    )
     some = sets.filter("digest is not null").select("doc_id", "n", "digest").join(named, "digest", "left")
-    rest = sets.filter("digest is null").select("doc_id", "n", F.lit(None).cast("long").alias("component"))
-    return some.select("doc_id", "n", "component").unionByName(rest).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    rest = sets.filter("digest is null").select(
+        "doc_id", "n", F.lit(None).cast("long").alias("component"), F.lit(0).cast("long").alias("n_links")
+    )
+    return some.select("doc_id", "n", "component", "n_links").unionByName(rest).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "n_links"
     )
 
 
@@ -413,7 +352,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    """Near-duplicate components of all documents: five words, similarity 0.75."""
+    """Near-duplicate components and link counts of all documents: five words, similarity 0.75."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
@@ -432,8 +371,10 @@ p AS (
 e AS MATERIALIZED (
   SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
 r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
-SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, m.y) AS component_id
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, m.y) AS component_id,
+  coalesce(l.n_links, 0)::BIGINT AS n_links
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id
-LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON w.doc_id = m.x""",
+LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON w.doc_id = m.x
+LEFT JOIN (SELECT x, count(*) AS n_links FROM e GROUP BY x) l ON w.doc_id = l.x""",
 }
 QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}

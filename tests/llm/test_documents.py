@@ -106,40 +106,37 @@ def brute_components(rows, words=5):
     for i, t in rows:
         w = [x.lower() for x in (t or "").encode().split()]
         sets[i] = {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} - {()}
-    name = {i: i for i in sets}
+    name, links = {i: i for i in sets}, dict.fromkeys(sets, 0)
     for a in sets:
         for b in sets:
             both = len(sets[a] & sets[b])
             if a < b and both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
                 x, y = sorted((name[a], name[b]))
                 name = {k: x if v == y else v for k, v in name.items()}
-    return {i: (len(sets[i]), name[i]) for i in sets}
+    return {i: (len(sets[i]), name[i], links[i]) for i in sets}
 
 
-@pytest.mark.parametrize("chunk", [4000, 7])
-def test_near_duplicates(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, shingles", [(4000, 10**9), (7, 10**9), (4000, 500)])
+def test_near_duplicates(spark, chunk, shingles):
+    """Components, and every link, also between documents that other links connect already."""
     texts = near_texts()
     ids = random.Random(1).sample(range(10_000), len(texts))
     rows = list(zip(ids, texts))
-    monkeypatch.setattr(jaccard.class_links, "__defaults__", (chunk,))
-    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.near_duplicates(docs, chunk_classes=chunk, chunk_shingles=shingles).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == brute_components(rows)
+    assert max(r.n_links for r in found) > 20
 
 
-@pytest.mark.parametrize("chunk", [4000, 7])
-def test_link_counts(spark, chunk):
-    """Every link counts, also those between documents that other links connect already."""
-    rows = [*enumerate(near_texts()), (None, near_texts()[0])]
-    sets = []
-    for _, t in rows:
-        w = [x.lower() for x in (t or "").encode().split()]
-        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
-    similar = lambda a, b: a & b and 100 * len(a & b) >= 75 * len(a | b)
-    expected = {i: sum(1 for k, b in enumerate(sets) if k != at and similar(sets[at], b)) for at, (i, _) in enumerate(rows)}
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = jaccard.link_counts(docs, chunk_classes=chunk).collect()
-    assert len(found) == len(rows) and {r.doc_id: r.n_links for r in found} == expected
-    assert max(expected.values()) > 20
+def test_row_without_id_connects(spark):
+    """A text without an id links two others, which are not similar themselves."""
+    word = [f"w{i}" for i in range(104)]
+    ends = [["a"] * 14 + word[14:], word[:90] + ["b"] * 14]
+    rows = [(7, " ".join(ends[0])), (None, " ".join(word)), (9, " ".join(ends[1]))]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.n_links) for r in found) == [(0, 7, 2), (7, 7, 1), (9, 7, 1)]
 
 
 def test_near_duplicate_sql(spark, tmp_path, odd_docs, no_docs):

@@ -186,7 +186,7 @@ def test_pipeline_stages(spark, folder):
     ids = {k: {r.doc_id for r in v.select("doc_id").collect()} for k, v in kept.items()}
     assert ids["documents"] > ids["quality"] >= ids["toxicity"] >= ids["near_copies"] == ids["personal"] == ids["packing"]
     rows = [(r.doc_id, r.text) for r in kept["toxicity"].collect()]
-    assert ids["near_copies"] == {i for i, (_, c) in brute_components(rows).items() if i == c}
+    assert ids["near_copies"] == {i for i, (_, c, _) in brute_components(rows).items() if i == c}
     for r in kept["personal"].collect():
         assert r.n_chars == len(r.text)
     before = {r.doc_id: r.text for r in kept["near_copies"].collect()}
