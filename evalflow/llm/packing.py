@@ -140,7 +140,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
     groups = max(1, -(-cut.count() // group_pieces))
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in cut.schema]
     schema = ", ".join([*kept, "grp long", "sequence_id long", "offset long", "open boolean"])
-    dealt = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # the number of the row in the written pieces keeps equal rows from meeting in one group
+    dealt = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     first = written(dealt.groupBy("grp").applyInPandas(_pack_group(capacity), schema), "packed")
     rounds = -(-groups // GROUPS_AGAIN)
     left = first.filter("open").withColumn("again", F.pmod("grp", F.lit(rounds)))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -93,6 +94,15 @@ def test_packing_many_groups(spark):
     assert check_packing(rows, 64) <= 1.02 * sum(sizes) / 64 + 2
 
 
+def test_equal_rows_do_not_meet_in_one_group(spark):
+    row = (None, 0, 0, 1, 7)
+    cut = spark.createDataFrame([row] * 4000, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(cut, capacity=64, group_pieces=500).collect()
+    groups = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 4000 and max(groups.values()) < 1000
+    assert check_packing(rows, 64) <= 4000 // 64 + 2
+
+
 def test_place_minimises_squares():
     """Every placement leaves the least sum of squared counts of open gaps, by trying all."""
     capacity, sizes = 12, np.random.default_rng(1).integers(1, 13, 300)
