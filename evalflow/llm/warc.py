@@ -4,11 +4,13 @@ Writing. A page is a response record with its payload, or, where the same payloa
 ``LEAST_BYTES`` bytes is kept under another page, a revisit that names that page and holds the
 headers alone. Of the pages with one payload the largest id is the response. Digests, not payloads,
 decide this; the digest's one row is joined to its pages, so that a payload a third of
-all pages share stays spread over tasks.
+all pages share stays spread over tasks. Names of archives hold the attempt that wrote them, and
+only those in the listing that `write_archives` gives are read: what a repeated or lost
+attempt leaves, whatever order its rows had, replaces nothing.
 
 Reading. An archive is cut into ranges of bytes, whatever lies at their edges. A task looks
-for the magic number of gzip in its range, and takes a place for a member when what it
-decodes to begins like a WARC header. It owns the records that start in its range and reads
+for the magic number of gzip in its range, and takes a place for a member when it decodes to a
+whole WARC header with type, id and a length in digits. It owns the records that start in its range and reads
 past the end for the last. Behind a member it goes on at once; where a member is
 damaged it looks for the next magic number.
 
@@ -20,6 +22,7 @@ as such and refers to nothing; an empty table writes no archive; other columns a
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from urllib.parse import quote
 
@@ -74,7 +77,7 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
 
 def _write(folder: str, archive_bytes: int):
     def run(batches):
-        task, number, out = TaskContext.get().partitionId(), 0, None
+        task, attempt, number, out = TaskContext.get().partitionId(), uuid.uuid4().hex, 0, None
 
         def close():
             out.close()
@@ -82,7 +85,7 @@ def _write(folder: str, archive_bytes: int):
             return pa.RecordBatch.from_arrays(columns, ["path", "size"])
 
         def name():
-            return f"{folder}/pages-{task:06d}-{number:06d}.warc.gz"
+            return f"{folder}/pages-{task:06d}-{attempt}-{number:06d}.warc.gz"
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "refers_to")]
@@ -140,13 +143,21 @@ class _Range:
         self._file.close()
 
     def header_at(self, at: int) -> bool:
-        """Whether the bytes there decode to the beginning of a record."""
-        while len(self.data) - at < 512 and self.grow():
-            pass
+        """Whether the bytes there decode to the whole header of a record."""
+        unpacker, head, fed = zlib.decompressobj(31), b"", at
         try:
-            return zlib.decompressobj(31).decompress(self.data[at : at + 4096], 5) == b"WARC/"
+            while b"\r\n\r\n" not in head:
+                if unpacker.eof or head[:5] != b"WARC/"[: len(head)] or fed >= len(self.data) and not self.grow():
+                    return False
+                piece = self.data[fed : fed + 1024]
+                fed += len(piece)
+                head += unpacker.decompress(piece)
         except zlib.error:
             return False
+        version, *lines = head.partition(b"\r\n\r\n")[0].split(b"\r\n")
+        fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(b":") for line in lines)}
+        named = fields.get(b"warc-type") and fields.get(b"warc-record-id")
+        return version.startswith(b"WARC/") and bool(named) and fields.get(b"content-length", b"").isdigit()
 
     def member_at(self, at: int) -> tuple[bytes, int] | None:
         """The member's content and the place behind it; None where it is damaged."""
