@@ -57,6 +57,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, with as many marks behind it as no column bears."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
+
+
+def by_id(rows: DataFrame) -> list[Column]:
+    """Keys of ranges in the order of ``doc_id``: rows of one id part by how their texts begin, then by hash.
+
+    Within one id and beginning the order of ranges is that of the hash.
+    """
+    return [rows["doc_id"], F.left(rows["text"], F.lit(64)), F.xxhash64(rows["text"])]
+
+
 def crc_bucket(doc_id: Column, modulus: int) -> Column:
     """``crc32`` of the id as text, modulo; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalflow.llm import blocks
-from evalflow.llm.common import ship, text_rows, written
+from evalflow.llm.common import ship, text_rows, unused, written
 from evalflow.llm.components import components
 from evalflow.llm.hashing import shingle_hashes
 
@@ -347,8 +347,9 @@ def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
     named = named.select(F.col("doc_id").alias("row"), "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     first = rows.join(named, "row").groupBy("component_id").agg(F.min(order).alias("first"))
-    kept = first.select(F.col("first.row").alias("__row"))
-    return docs.withColumn("__row", F.xxhash64(*hashed)).join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    row = unused("__row", docs.columns)
+    kept = first.select(F.col("first.row").alias(row))
+    return docs.withColumn(row, F.xxhash64(*hashed)).join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -29,13 +29,16 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_left
 from functools import lru_cache
+from heapq import merge
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalflow.llm.common import ship, written
+from evalflow.llm.common import ship, unused, written
 
 #: Every text with an entity matches this.
 MAYBE = (
@@ -235,11 +238,16 @@ def _raw(text: str):
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normal form)`` in order, without overlaps; earlier kinds go first."""
-    taken: list[tuple[int, int, str, str]] = []
-    for span in _raw(text):
-        if all(span[1] <= t[0] or span[0] >= t[1] for t in taken):
-            taken.append(span)
-    return sorted(taken)
+    taken: list[tuple[int, int, str, str]] = []  # of the kinds before, in order
+    kinds = ((kind, list(spans)) for kind, spans in groupby(_raw(text), lambda span: "name" if ":" in span[2] else span[2]))
+    for _, spans in kinds:
+        free = []
+        for span in spans:
+            at = bisect_left(taken, span[1], key=lambda t: t[0])  # those before begin in front of its end
+            if (not at or taken[at - 1][1] <= span[0]) and (not free or free[-1][1] <= span[0]):
+                free.append(span)
+        taken = list(merge(taken, free))
+    return taken
 
 
 # -- surrogates ----------------------------------------------------------------------------
@@ -405,29 +413,33 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         ).mapInArrow(_derive(key), schema)
 
 
-_NEW, _COUNT = "__replacements", "__replaced"
+def _replaced(text: str, new) -> tuple[str, int]:
+    """The text with surrogates for its entities, and how many spans they replaced."""
+    spans = find(text) if new else []
+    by_entity = {(x["kind"], x["normal"]): x["surrogate"] for x in new or ()}
+    out, at = [], 0
+    for start, end, kind, normal in spans:
+        out += [text[at:start], rendered(kind, text[start:end], by_entity[kind, normal])]
+        at = end
+    return "".join([*out, text[at:]]), len(spans)
 
 
-def _replace_batches(batches):
-    for batch in batches:
-        texts, counts = [], []
-        for text, new in zip(batch.column("text").to_pylist(), batch.column(_NEW).to_pylist()):
-            spans = find(text) if new else []
-            by_entity = {(x["kind"], x["normal"]): x["surrogate"] for x in new or ()}
-            out, at = [], 0
-            for start, end, kind, normal in spans:
-                out += [text[at:start], rendered(kind, text[start:end], by_entity[kind, normal])]
-                at = end
-            texts.append("".join([*out, text[at:]]))
-            counts.append(len(spans))
-        place = batch.schema.get_field_index("text")
-        batch = batch.set_column(place, "text", pa.array(texts, pa.string()))
-        yield batch.drop_columns([_NEW]).append_column(_COUNT, pa.array(counts, pa.int64()))
+def _replace_batches(new_column: str, count: str):
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column("text").to_pylist(), batch.column(new_column).to_pylist())
+            done = [_replaced(text, new) for text, new in rows]
+            place = batch.schema.get_field_index("text")
+            batch = batch.set_column(place, "text", pa.array([t for t, _ in done], pa.string()))
+            yield batch.drop_columns([new_column]).append_column(count, pa.array([n for _, n in done], pa.int64()))
+
+    return run
 
 
 def replace_personal(docs: DataFrame, key: bytes, count: str | None = None) -> DataFrame:
     """The rows with personal data in ``text`` replaced; ``count`` names a column for how many."""
     ship(docs.sparkSession)
+    text_key, new_column, counted = (unused(name, docs.columns) for name in ("__text", "__replacements", "__replaced"))
     maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
     looked = docs.filter(maybe).select(F.xxhash64("text").alias("h"), "text")
     found = written(looked.mapInArrow(_find_batches, "h long, kind string, normal string").distinct(), "found")
@@ -435,16 +447,16 @@ def replace_personal(docs: DataFrame, key: bytes, count: str | None = None) -> D
     per_text = (
         found.join(new, ["kind", "normal"])
         .groupBy("h")
-        .agg(F.collect_list(F.struct("kind", "normal", "surrogate")).alias(_NEW))
-        .withColumnRenamed("h", "__text")
+        .agg(F.collect_list(F.struct("kind", "normal", "surrogate")).alias(new_column))
+        .withColumnRenamed("h", text_key)
     )
-    joined = docs.filter(maybe).withColumn("__text", F.xxhash64("text")).join(per_text, "__text", "left")
+    joined = docs.filter(maybe).withColumn(text_key, F.xxhash64("text")).join(per_text, text_key, "left")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    schema = joined.select(*columns, F.lit(0).cast("long").alias(_COUNT)).schema
-    replaced = joined.select(*columns, _NEW).mapInArrow(_replace_batches, schema)
-    rest = docs.filter(~maybe).select(*columns, F.lit(0).cast("long").alias(_COUNT))
+    schema = joined.select(*columns, F.lit(0).cast("long").alias(counted)).schema
+    replaced = joined.select(*columns, new_column).mapInArrow(_replace_batches(new_column, counted), schema)
+    rest = docs.filter(~maybe).select(*columns, F.lit(0).cast("long").alias(counted))
     both = rest.unionByName(replaced)
-    return both.withColumnRenamed(_COUNT, count) if count else both.drop(_COUNT)
+    return both.withColumnRenamed(counted, count) if count else both.drop(counted)
 
 
 #: Key of the registered queries; a real job passes its own.

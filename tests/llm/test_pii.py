@@ -1,6 +1,8 @@
 """Personal data, and the pipeline as a whole."""
 
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +194,23 @@ def test_pipeline_stages(spark, folder):
     before = {r.doc_id: r.text for r in kept["near_copies"].collect()}
     changed = {r.doc_id for r in kept["personal"].collect() if r.text != before[r.doc_id]}
     assert changed == {i for i, t in before.items() if pii.find(t)}
+
+
+def test_spans_of_many_entities():
+    """Kinds found earlier go first, whatever their number; the work does not grow with its square."""
+    text = " ".join(f"user{i}@host{i}.example.com 10.0.{i // 250}.{i % 250 + 1}" for i in range(20_000))
+    started = time.monotonic()
+    spans = pii.find(text)
+    assert time.monotonic() - started < 20
+    assert Counter(kind for _, _, kind, _ in spans) == {"email": 20_000, "ip": 20_000}
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_columns_named_like_the_operator_s_own(spark):
+    names = ["doc_id", "text", "__text", "__replacements", "__replaced", "__Replaced_"]
+    rows = [(1, "mail a.b@example.com", "x", 2, "y", 3), (2, "nothing", None, None, "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __text string, __replacements int, __replaced string, __Replaced_ int")
+    found = {r.doc_id: r for r in pii.replace_personal(docs, b"k", "n").collect()}
+    assert list(found[1].asDict()) == [*names, "n"]
+    assert [tuple(found[i])[2:6] for i in (1, 2)] == [tuple(r[2:]) for r in rows]
+    assert found[1].n == 1 and "a.b@" not in found[1].text and found[2].text == "nothing"
