@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalflow.llm.common import partitions, ship, text_rows, written
+from evalflow.llm.common import by_id, partitions, ship, text_rows, written
 from evalflow.llm.hashing import mix
 
 SLOTS = 128
@@ -239,7 +239,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     rows = text_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    ordered = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(partitions(docs.sparkSession), *by_id(rows)).sortWithinPartitions("doc_id", "text")
     stream = written(ordered.mapInArrow(_follow, _STREAM_SQL), "walks")
     columns = [name for name, _ in _RESULT]
     heads = stream.filter(F.col("kind") == _HEAD).select(

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evalflow.llm.bpe import PLAIN, ChunkTable, MergeRules, slices
-from evalflow.llm.common import fresh_folder, partitions, ship, text_rows, written
+from evalflow.llm.common import by_id, fresh_folder, partitions, ship, text_rows, written
 from evalflow.llm.files import Reader, Writer
 
 MAGIC = b"EFT1"
@@ -302,7 +302,7 @@ def write_token_files(
     spark = docs.sparkSession
     ship(spark)
     rows = text_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    ordered = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(partitions(spark), *by_id(rows)).sortWithinPartitions("doc_id", "text")
     blocks = written(ordered.mapInArrow(_blocks(path, end_id, block_tokens), _BLOCK_SQL), "blocks")
     vocabulary = byte_encoder(path).vocabulary
     frequency = frequencies(blocks, vocabulary)
