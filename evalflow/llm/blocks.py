@@ -59,9 +59,8 @@ def sizes(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PAR
 
 
 def blocked(docs: DataFrame, size: Sizes) -> DataFrame:
-    """The rows with the block each belongs to."""
-    key = F.coalesce(F.xxhash64(F.col("doc_id")), F.lit(0)) + F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(0)
-    return docs.withColumn("block", F.pmod(F.xxhash64(key), F.lit(size.blocks)))
+    """The rows with the block each belongs to; rows of one id part by their texts."""
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size.blocks)))
 
 
 Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
