@@ -74,13 +74,16 @@ def result_slug(
     return F.concat(F.lit(prefix), name, F.lit(suffix))
 
 
+#: ``.../<data>/<params>/seed-<n>/<name>.tar.gz``
+ARCHIVE_PATH = r"([^/]+)/([^/]+)/seed-([0-9]+)/[^/]+$"
+
+
 def archive_parts(path: Column) -> dict[str, Column]:
-    """data / params / seed of ``.../<data>/<params>/seed-<n>/<name>.tar.gz``."""
-    pattern = r"([^/]+)/([^/]+)/seed-(\d+)/[^/]+$"
+    """data / params / seed of an archive's path."""
     return {
-        "data": F.regexp_extract(path, pattern, 1),
-        "params": F.regexp_extract(path, pattern, 2),
-        "seed": F.regexp_extract(path, pattern, 3).try_cast("int"),
+        "data": F.regexp_extract(path, ARCHIVE_PATH, 1),
+        "params": F.regexp_extract(path, ARCHIVE_PATH, 2),
+        "seed": F.regexp_extract(path, ARCHIVE_PATH, 3).try_cast("int"),
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from pathlib import PurePath
 
@@ -44,6 +45,12 @@ def check_roots(spark: SparkSession, roots: Roots) -> list[str]:
     return listed
 
 
+def folders(spark: SparkSession, roots: Roots) -> list[str]:
+    """The folders that the roots are or, as globs, match."""
+    matches = [s for root in check_roots(spark, roots) for s in _status(spark, root) if s.isDirectory()]
+    return sorted({re.sub(r"^file:/+", "/", s.getPath().toString()) for s in matches})
+
+
 def require_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     missing = [p for p in paths if not _status(spark, p)]
     if missing:
