@@ -15,6 +15,7 @@ from evalflow.sources import files
 from evalflow.streaming import ingest
 
 _CHUNK = 100_000
+_BATCH_BYTES = 64 << 20
 
 
 def _relative(c, root):
@@ -160,7 +161,7 @@ def stream_dedupe(spark, folder):
     root, out = fresh_folder(spark, "stream"), fresh_folder(spark, "distinct")
     lines = record_lines.lines(spark, folder).select(F.substring("path", 2, 200).alias("file"), "line")
     write_files(lines, root)
-    kept = ingest.stream_records(ingest.stream_lines(spark, root, files_per_batch=5))
+    kept = ingest.stream_records(ingest.stream_lines(spark, root, bytes_per_batch=_BATCH_BYTES))
     query = (
         kept.select("results_dir", "canon")
         .writeStream.format("parquet")

@@ -20,9 +20,21 @@ from evalflow.sources.records import canonical_lines
 
 
 def stream_lines(
-    spark: SparkSession, roots: Roots, glob: str = C.RESULTS_FILE, *, files_per_batch: int | None = None
+    spark: SparkSession,
+    roots: Roots,
+    glob: str = C.RESULTS_FILE,
+    *,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of ``(path, line, modified)`` over files as they appear below the roots."""
+    """Stream of ``(path, line, modified)`` over files as they appear below the roots.
+
+    A batch is bounded by a number of files or by their bytes, not by both. A batch has a
+    fixed cost, a state commit in each shuffle partition among it: over many small files a bound in
+    bytes keeps that cost in proportion to the data. A file larger than it is a batch alone.
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
     folders = check_roots(spark, roots)
     reader = (
         spark.readStream.format("text")
@@ -31,6 +43,8 @@ def stream_lines(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     streams = [reader.load(folder) for folder in folders]
     return (
         reduce(DataFrame.unionByName, [s.select("*", "_metadata") for s in streams])

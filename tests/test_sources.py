@@ -236,6 +236,24 @@ def test_stream_dedupe(spark, tmp_path, within):
     assert got == ["r1", "r2"]
 
 
+@pytest.mark.parametrize("size, most, least", [(1 << 20, 1, 1), (30, 12, 4)])
+def test_stream_batches_by_bytes(spark, tmp_path, size, most, least):
+    """Many small files are few batches; records are compared across batches all the same."""
+    root, out = tmp_path / "_r", str(tmp_path / "out")
+    for n in range(12):
+        put(root / "r1" / f"{n}-metrics-all.jsonl", {"b": 1, "a": 2}, {"n": n // 2})
+    lines = ingest.stream_lines(spark, root, "*.jsonl", bytes_per_batch=size)
+    query = (
+        ingest.stream_records(lines).select("results_dir", "canon").writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}/p").trigger(availableNow=True).start(f"{out}/d")
+    )
+    query.awaitTermination()
+    assert least <= sum(p.numInputRows > 0 for p in query.recentProgress) <= most
+    assert sorted(r["canon"] for r in spark.read.parquet(f"{out}/d").collect()) == sorted(['{"a":2,"b":1}'] + [f'{{"n":{n}}}' for n in range(6)])
+    with pytest.raises(ValueError, match="not by both"):
+        ingest.stream_lines(spark, root, files_per_batch=1, bytes_per_batch=size)
+
+
 def test_classify_stream(spark, tmp_path):
     ids = ["2025_08_21-08_24_43_e_DD-c4-1B_Ft_--learning_rate=5e-05", "x_main_default", "junk"]
     spark.createDataFrame([(i,) for i in ids], "run_id string").write.parquet(str(tmp_path / "in"))
