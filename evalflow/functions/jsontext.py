@@ -35,18 +35,29 @@ _QUOTED_OR_WORD = (
     r"""('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")|\b(None|True|False)\b"""
 )
 _WORDS = {"None": "null", "True": "true", "False": "false"}
+# A flat dict of plain lower-case names and numbers or words, as metrics are written. The
+# number of entries is bounded, as the matcher recurses over them.
+_ENTRY = r"'[a-z0-9_]*+': (?:-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?[0-9]++)?+|None|True|False)"
+_PLAIN_DICT = rf"^\{{(?:{_ENTRY}(?:, {_ENTRY}){{0,200}}+)?+\}}\z"
+
+
+def is_plain_dict(c: Column) -> Column:
+    """Whether a text is surely a readable dict literal; other texts may be readable too."""
+    return c.rlike(_PLAIN_DICT)
 
 
 def python_literal_to_json(c: Column) -> Column:
     """Dict literal as relaxed JSON: None, True and False outside quotes become JSON words.
 
     Read the result with ``allowSingleQuotes``. One pass marks the words, and passes over
-    quoted texts whole; marks with nothing between them stood behind a quoted text.
+    quoted texts whole; marks with nothing between them stood behind a quoted text. In a plain
+    dict no quoted text holds one of the words, so they are replaced as they stand.
     """
-    text = F.regexp_replace(c, _QUOTED_OR_WORD, "$1\x01$2\x02")
+    text, plain = F.regexp_replace(c, _QUOTED_OR_WORD, "$1\x01$2\x02"), c
     for word, spelled in {"": "", **_WORDS}.items():
         text = F.replace(text, F.lit(f"\x01{word}\x02"), F.lit(spelled))
-    return text
+        plain = F.replace(plain, F.lit(word), F.lit(spelled)) if word else plain
+    return F.when(is_plain_dict(c), plain).otherwise(text)
 
 
 def object_fields(c: Column) -> Column:

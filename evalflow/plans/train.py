@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evalflow import constants as C
 from evalflow import schemas
-from evalflow.functions.jsontext import python_literal_to_json
+from evalflow.functions.jsontext import is_plain_dict, python_literal_to_json
 from evalflow.functions.lookups import acc_baseline, normalize_recipe
 from evalflow.functions.numbers import parse_size
 from evalflow.functions.text import group_by_prefix
@@ -32,10 +32,15 @@ def parse_metrics(df: DataFrame, column: str = "metrics") -> DataFrame:
 
 
 def bad_metrics(df: DataFrame, column: str = "metrics") -> DataFrame:
-    """Rows whose metrics text cannot be read, for quarantine."""
+    """Rows whose metrics text cannot be read, for quarantine.
+
+    Plain dicts are known to be readable and are not parsed for it.
+    """
     text = python_literal_to_json(F.col(column))
     read = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "true"})
-    return df.where(F.col(column).isNotNull() & (read.isNull() | (F.size(read) < 0)))
+    # a condition of its own branch: the parser runs only where the first test fails
+    unread = F.when(is_plain_dict(F.col(column)), F.lit(False)).otherwise(read.isNull() | (F.size(read) < 0))
+    return df.where(F.col(column).isNotNull() & unread)
 
 
 def parse_train_results(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from evalflow.functions import jsontext, labels, locations, lookups, numbers, paths, setups, text
 from evalflow.operators import columns as ops
+from evalflow.plans import train
 
 
 def test_normalize_text(value):
@@ -195,3 +196,22 @@ def test_words_inside_quotes_stay(value):
     assert shown == """{'a': null, 'None': 'None of the above', "b": [true, "it's False", 'x\\'None'], 'c': false}"""
     long = "{'a': '" + "x None " * 20000 + "', 'b': None}"
     assert value(python_literal_to_json(F.lit(long))) == long.replace("'b': None", "'b': null")
+
+
+def test_plain_dicts_take_a_shorter_way_to_the_same_json(spark, monkeypatch):
+    plain = ["{}", "{'a': 1}", "{'a': -0.5e-3, 'b_2': None, '': True, 'a': False}", "{" + ", ".join(f"'k{i}': None" for i in range(150)) + "}"]
+    other = [
+        "{'a': 1, }", "{'a': 01}", "{'a': nan}", "{'a': .5}", "{'a': 'None'}", "{'None': None}", "{'a': 1}\n", "{'a': {'b': None}}",
+        "{'a': 1", "{'a': 1} x", "{'a':1}", "{'a': None 'b': 1}", "", "{" + ", ".join(f"'k{i}': True" for i in range(300)) + "}",
+    ]
+    rows = spark.createDataFrame([(t,) for t in plain + other], "metrics string").coalesce(1)
+
+    def shown():
+        as_json = rows.select("metrics", jsontext.python_literal_to_json(F.col("metrics")))
+        return [tuple(r) for r in as_json.collect()], [r.metrics for r in train.bad_metrics(rows).collect()]
+
+    assert [r.metrics for r in rows.where(jsontext.is_plain_dict(F.col("metrics"))).collect()] == plain
+    short = shown()
+    monkeypatch.setattr(jsontext, "_PLAIN_DICT", "^never$")
+    assert short == shown()
+    assert not set(short[1]) & set(plain) and "{'a': nan}" in short[1]
