@@ -366,6 +366,56 @@ def test_word_scores_do_not_depend_on_blocks_being_small(spark, monkeypatch):
     assert len(score) == 62 and score[b"w06"] > score[b"q06"] + 1
 
 
+def test_order_of_words_and_second_copies_count(spark, monkeypatch):
+    """The base score is the same for any order of the words, and a learned text that stands twice is likelier."""
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", 3000)
+    pick = random.Random(6)
+    chain = lambda n: [f"w{(n + i) % 40}" for i in range(30)]
+    own = lambda: ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(30)]
+    texts = {i: chain(pick.randrange(40)) for i in range(150)} | {i: own() for i in range(150, 200)}
+    texts[199] = texts[198]
+    texts[1000] = chain(7)
+    texts[1001] = texts[1000][::-1]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    rows = {r.doc_id: r for r in mixing.score_documents(docs, F.col("doc_id") < 1000).collect()}
+    assert math.isclose(rows[1000].base_score, rows[1001].base_score)
+    assert rows[1000].score > rows[1001].score + 20
+    once = [rows[i].bits_per_byte for i in range(150, 198)]
+    assert max(rows[198].bits_per_byte, rows[199].bits_per_byte) < 0.6 * min(once)
+
+
+def test_class_counts_are_whole_numbers_over_all_blocks():
+    """Each token is told how often its class stands, alone and behind the token before, in all blocks."""
+    pick = random.Random(8)
+    blocks, expected = [], Counter()
+    for block in range(3):
+        texts = [" ".join(pick.choice("abcdefghijkl") for _ in range(pick.randrange(30))) for _ in range(9)]
+        packed = [zlib.compress(t.encode()) for t in texts]
+        learn = [1, 1, 0] * 3
+        columns = [pa.array([block] * 9), pa.array(range(9)), pa.array(packed, pa.binary()), pa.array(learn)]
+        blocks.append(pa.Table.from_arrays(columns, ["block", "doc_id", "text", "learn"]))
+        for text, learned in zip(texts, learn):
+            words = ["", *text.split(), ""]
+            expected.update([w for w in words[1:] if learned])
+            expected.update([p for p in zip(words, words[1:]) if learned])
+    asked = pa.concat_tables([mixing._ask(4)(b) for b in blocks])
+    known = pa.table({"part": pa.array([], pa.int32()), **{c: pa.array([], pa.binary()) for c in ("keys", "counts", "scores")}})
+    asked = asked.set_column(2, "keys", pa.array([b""] * asked.num_rows, pa.binary()))
+    replies = [r for p in range(4) for r in mixing._reply(asked.filter(pc.equal(asked.column("part"), p)), known).to_pylist()]
+    for number, block in enumerate(blocks):
+        mine = sorted((r for r in replies if r["block"] == number), key=lambda r: r["part"])
+        taken = np.concatenate([mixing._from_losses(r["left"], r["some"], r["lost"]) for r in mine])
+        table = mixing._with_texts(block)
+        tokens = mixing.Tokens(table)
+        words = [w for t in table.column("text").to_pylist() for w in ["", *t.decode().split()]][1:] + [""]
+        before = ["", *words[:-1]]
+        assert taken[tokens.places[1], 8].tolist() == [expected[w] for w in words]
+        assert taken[tokens.places[3], 8].tolist() == [expected[p] for p in zip(before, words)]
+        assert (taken[tokens.places[3], 0] == taken[tokens.places[2], 8]).all()
+        total = sum(n for w, n in expected.items() if isinstance(w, str))
+        assert (taken[tokens.places[0], 0] == total).all()
+
+
 # -- archives
 
 
