@@ -403,10 +403,12 @@ def test_class_counts_are_whole_numbers_over_all_blocks():
     asked = asked.set_column(2, "keys", pa.array([b""] * asked.num_rows, pa.binary()))
     replies = [r for p in range(4) for r in mixing._reply(asked.filter(pc.equal(asked.column("part"), p)), known).to_pylist()]
     for number, block in enumerate(blocks):
-        mine = sorted((r for r in replies if r["block"] == number), key=lambda r: r["part"])
-        taken = np.concatenate([mixing._from_losses(r["left"], r["some"], r["lost"]) for r in mine])
         table = mixing._with_texts(block)
         tokens = mixing.Tokens(table)
+        mine = sorted((r for r in replies if r["block"] == number), key=lambda r: r["part"])
+        keys = np.split(tokens.keys, mixing._cut(tokens.keys, 4)[1:-1])
+        told = [(keys[r["part"]], r["left"], r["some"], r["lost"]) for r in mine]
+        taken = np.concatenate([mixing._from_losses(*t) for t in told])
         words = [w for t in table.column("text").to_pylist() for w in ["", *t.decode().split()]][1:] + [""]
         before = ["", *words[:-1]]
         assert taken[tokens.places[1], 8].tolist() == [expected[w] for w in words]
