@@ -418,6 +418,47 @@ def test_class_counts_are_whole_numbers_over_all_blocks():
         assert (taken[tokens.places[0], 0] == total).all()
 
 
+@pytest.mark.parametrize("often", [0, 5])
+def test_class_counts_travel_once(often):
+    """Contexts are asked once with their classes, and bits that follow from other classes asked for are not told."""
+    pick = random.Random(4)
+    words = ["".join(pick.choice("abcdefgh") for _ in range(5)) for _ in range(3000)]
+    texts = [[words[min(int(pick.paretovariate(0.6)), 3000) - 1] for _ in range(400)] for _ in range(240)]
+    word, *_ = mixing.word_hashes(pa.array(words, pa.binary()))
+    kind = {w: h >> 48 for w, h in zip(words, word.tolist())} | {"": int(mixing.END) >> 48}
+    before_and_class = lambda t: [(a, kind[b]) for a, b in zip(["", *t], [*t, ""])]
+    expected = Counter(pair for t in texts for pair in before_and_class(t))
+    frequent = np.sort(np.r_[word[:often], mixing.END])[: often and often + 1]
+    packed = [zlib.compress(" ".join(t).encode()) for t in texts]
+    columns = [pa.array(range(240)), pa.array(packed, pa.binary()), pa.array([1] * 240)]
+    table = pa.Table.from_arrays(columns, ["doc_id", "text", "learn"])
+    blocks = [table.slice(80 * b, 80).append_column("block", pa.array([b] * 80)) for b in range(3)]
+    known = pa.table({"part": pa.array([], pa.int32()), **{c: pa.array([], pa.binary()) for c in ("keys", "counts", "scores")}})
+    asked = pa.concat_tables([mixing._ask(2, *([frequent] if often else []))(b) for b in blocks])
+    asked = asked.set_column(2, "keys", pa.array([b""] * asked.num_rows, pa.binary()))
+    replies = pa.concat_tables([mixing._reply(asked.filter(pc.equal(asked.column("part"), p)), known) for p in range(2)])
+    size = lambda t, names: sum(pc.sum(pc.binary_length(t.column(c))).as_py() for c in names)
+    assert size(asked, ("classes", "counts")) < 0.9 * 240 * 401
+    assert size(replies, ("left", "some", "lost")) < 0.45 * 240 * 401
+    for number, block in enumerate(blocks):
+        tokens = mixing.Tokens(mixing._with_texts(block), *([frequent] if often else []))
+        keys = np.split(tokens.keys, mixing._cut(tokens.keys, 2)[1:-1])
+        mine = sorted((r for r in replies.to_pylist() if r["block"] == number), key=lambda r: r["part"])
+        taken = np.concatenate([mixing._from_losses(keys[r["part"]], r["left"], r["some"], r["lost"]) for r in mine])
+        pairs = [p for t in texts[80 * number : 80 * number + 80] for p in before_and_class(t)]
+        assert taken[tokens.places[3], 8].tolist() == [expected[p] for p in pairs]
+        before = Counter(a for a, _ in expected.elements())
+        assert taken[tokens.places[2], 0].tolist() == [before[a] for a, _ in pairs]
+
+
+def test_frequent_tokens_are_those_of_a_parts_share(spark):
+    words = spark.createDataFrame([(b"the", 50), (b"of", 25), (b"rare", 5), (b"unseen", 0)], "word binary, n long")
+    hashes, _ = mixing.word_hashes(pa.array([b"the", b"of"], pa.binary()))
+    assert mixing.frequent_tokens(words, 20, 100, 4).tolist() == hashes[:1].tolist()
+    assert mixing.frequent_tokens(words, 20, 100, 6).tolist() == sorted([*hashes.tolist(), int(mixing.END)])
+    assert len(mixing.frequent_tokens(words.limit(0), 0, 0, 4)) == 0
+
+
 # -- archives
 
 
