@@ -6,8 +6,8 @@ keeps the gaps spread out, so that later pieces find a sequence they fill exactl
 
 Pieces are dealt into groups of about ``GROUP_PIECES`` by a hash of their content,
 and each group is packed on its own, longest piece first. What groups leave
-open is packed again, many groups' leftovers together, and the new arrangement is
-taken where it needs fewer sequences. The number of groups follows the number of
+open is packed again, many groups' leftovers together, by sums of squares and by best fit (the
+smallest gap that takes the piece), and the better new arrangement is taken where it needs fewer sequences. The number of groups follows the number of
 pieces, so no task grows with the table.
 
 Defined results: a null or empty text is one piece with the end id alone; repeated rows
@@ -106,6 +106,27 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
+def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of each length, in the given order: where the gap is the smallest that takes it."""
+    is_open = np.zeros(capacity + 1, bool)  # by gap
+    by_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
+    used = 0
+    sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    for i, size in enumerate(lengths.tolist()):
+        gap = size + int(is_open[size:].argmax())
+        if is_open[gap]:
+            target = by_gap[gap].pop()
+            is_open[gap] = bool(by_gap[gap])
+        else:
+            gap, target = capacity, used
+            used += 1
+        sequence[i], offset[i] = target, capacity - gap
+        if gap > size:
+            is_open[gap - size] = True
+            by_gap[gap - size].append(target)
+    return sequence, offset
+
+
 _ORDER = ["length", "doc_id", "piece", "ids_crc32"]
 
 
@@ -124,7 +145,8 @@ def _pack_group(capacity: int):
 def _pack_again(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(_ORDER, ascending=[False, True, True, True], kind="stable")
-        sequence, offset = place(pdf["length"].to_numpy(), capacity)
+        lengths = pdf["length"].to_numpy()
+        sequence, offset = min(place(lengths, capacity), best_fit(lengths, capacity), key=lambda found: found[0].max())
         if len(np.unique(sequence)) < pdf["sequence_id"].nunique():
             pdf["offset"] = offset
             pdf["sequence_id"] = 2**61 + pdf["again"] * 2**32 + sequence

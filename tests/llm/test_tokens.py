@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -94,6 +95,17 @@ def test_packing_many_groups(spark):
     assert check_packing(rows, 64) <= 1.02 * sum(sizes) / 64 + 2
 
 
+def test_leftovers_are_packed_the_better_way():
+    """Whatever pieces a group gets: what is open after it is packed closely once more."""
+    for seed in range(20):
+        sizes = np.random.default_rng(100 + seed).integers(1, 65, 500)
+        pieces = pd.DataFrame({"doc_id": range(500), "piece": 0, "ids_crc32": 0, "length": sizes, "again": 0})
+        pieces["sequence_id"], pieces["offset"] = pieces["doc_id"], 0
+        packed = packing._pack_again(64)(pieces)
+        assert sorted(packed.doc_id) == list(range(500))
+        assert check_packing(packed.itertuples(), 64) <= 1.05 * sizes.sum() / 64 + 2
+
+
 def test_equal_rows_do_not_meet_in_one_group(spark):
     row = (None, 0, 0, 1, 7)
     cut = spark.createDataFrame([row] * 4000, "doc_id long, piece int, start long, length long, ids_crc32 long")
