@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -451,6 +452,120 @@ def test_class_counts_travel_once(often):
         assert taken[tokens.places[2], 0].tolist() == [before[a] for a, _ in pairs]
 
 
+def _small_block():
+    """A block of texts, and what its words are known to be."""
+    pick = random.Random(12)
+    some = ["a", "bb", *("".join(pick.choice("abcdefgh") for _ in range(3)) for _ in range(300))]
+    texts = [" ".join(some[min(int(pick.paretovariate(0.7)), 302) - 1] for _ in range(60)) for _ in range(40)]
+    packed = [zlib.compress(t.encode()) for t in texts]
+    columns = [pa.array([0] * 40), pa.array(range(40)), pa.array(packed, pa.binary()), pa.array([1, 1, 1, 0] * 10)]
+    block = pa.Table.from_arrays(columns, ["block", "doc_id", "text", "learn"])
+    count = Counter(w for t, learned in zip(texts, [1, 1, 1, 0] * 10) for w in t.split() if learned)
+    words = sorted({w for t in texts for w in t.split()})
+    scores = pa.array([-1.5 - i for i in range(len(words))])
+    known = pa.RecordBatch.from_arrays(
+        [pa.array([w.encode() for w in words], pa.binary()), pa.array([count[w] for w in words]), scores], ["word", "n", "score"]
+    )
+    return block, known
+
+
+def _scored(block, known, parts, frequent):
+    """The block's scores by way of that many parts, and how many calls were made for it."""
+    calls = Counter()
+    watch = lambda _, event, called: calls.update([event in ("call", "c_call")])
+    dealt = pa.Table.from_batches([*mixing._by_part(parts)([known])])
+    sys.setprofile(watch)
+    try:
+        asked = mixing._ask(parts, frequent)(block)
+        own = [pc.equal(t.column("part"), p) for p in range(parts) for t in (asked, dealt)]
+        sys.setprofile(None)
+        pairs = [(asked.filter(a), dealt.filter(d)) for a, d in zip(own[::2], own[1::2])]
+        replies = pa.concat_tables([mixing._reply(*pair) for pair in pairs if pair[0].num_rows])
+        sys.setprofile(watch)
+        found = mixing._sum_up(parts, 30, frequent)(block, replies)
+    finally:
+        sys.setprofile(None)
+    return found, calls[True], replies.num_rows
+
+
+def test_scores_do_not_depend_on_parts_and_small_messages_are_read_together():
+    """The messages of a block are as many as parts: what is done for each must not be what is done for a block."""
+    block, known = _small_block()
+    hashes, _ = mixing.word_hashes(pa.array([b"a", b"bb"], pa.binary()))
+    for frequent in (np.empty(0, np.uint64), np.sort(np.r_[hashes, mixing.END])):
+        one, few, _ = _scored(block, known, 1, frequent)
+        many, more, messages = _scored(block, known, 500, frequent)
+        assert messages > 200
+        assert one.equals(many)
+        assert more - few < 120 * messages
+
+
+def test_one_reply_serves_many_small_blocks():
+    """A part is asked by as many blocks as the corpus has: their messages are answered together."""
+    block, known = _small_block()
+    dealt = pa.Table.from_batches([*mixing._by_part(1)([known])])
+    rows = [mixing._ask(1)(block.slice(i % 40, 1).set_column(0, "block", pa.array([i]))) for i in range(200)]
+    made = []
+    for asked in (rows[0], pa.concat_tables(rows)):
+        calls = Counter()
+        sys.setprofile(lambda _, event, called: calls.update([event in ("call", "c_call")]))
+        try:
+            replies = mixing._reply(asked, dealt)
+        finally:
+            sys.setprofile(None)
+        made.append(calls[True])
+    assert replies.column("block").to_pylist() == list(range(200))
+    assert made[1] - made[0] < 199 * 120
+
+
+def test_mixing_by_hand():
+    """Weights by gate, the map of each and its bits, one after the other in plain Python."""
+    pick = np.random.default_rng(4)
+    n, gates = 5000, 3
+    odds = pick.normal(size=(2, n)).astype(np.float32) * 3
+    gate, bit = pick.integers(0, gates, n), pick.integers(0, 2, n)
+    weight = (pick.random(n) < 0.8).astype(np.float32)
+    mixer = mixing.Mixer(np.full((gates, 2), 0.4), gates, 0.5)
+    weights = np.full((gates, 2), 0.4)
+    hits = {(g, s): 20 / (1 + math.exp(8 - s / 2)) for g in range(gates) for s in range(33)}
+    seen = dict.fromkeys(hits, 20.0)
+    for at in (slice(0, 2000), slice(2000, 2001), slice(2001, n)):  # a step learns behind all that it predicts
+        begin = 33 * (gate + gates * bit)
+        found = mixer.log10(odds[:, at], gate[at], begin[at], bit[at].astype(np.float32), weight[at])
+        wrong, share, came = np.zeros((gates, 2)), np.zeros(gates), []
+        for x, g, b, w, log in zip(odds[:, at].T, gate[at].tolist(), bit[at].tolist(), weight[at].tolist(), found.tolist()):
+            total = float(x @ weights[g])
+            mixed, step = 1 / (1 + math.exp(-min(12, max(-12, total)))), min(32, max(0, round((total + 8) * 2)))
+            p = (mixed + hits[g, step] / seen[g, step]) / 2
+            assert math.isclose(log, math.log10(p if b else 1 - p), rel_tol=1e-2, abs_tol=1e-3)
+            wrong[g] += w * (b - mixed) * x
+            share[g] += w
+            came.append((g, step, b * w, w))
+        weights += 0.5 * wrong / np.maximum(share, 1)[:, None]
+        for g, step, b, w in came:
+            hits[g, step] += b
+            seen[g, step] += w
+    assert np.allclose(mixer.weights.T, weights, rtol=1e-3)
+    assert abs(mixer.seen.sum() - sum(seen.values())) < 1e-6
+
+
+def test_vocabulary_is_added_up_by_parts(spark):
+    """Batches hand on their words packed, a row for each part; equal words of different batches meet."""
+    pick = random.Random(2)
+    texts = [(" ".join(pick.choice(["Ab", "c", "ü", "x" * 300, "d\te"]) for _ in range(pick.randrange(9))), i % 3 > 0) for i in range(90)]
+    rows = spark.createDataFrame([(t, int(n)) for t, n in texts], "text string, learn int").repartition(7)
+    expected = Counter()
+    for text, learned in texts:
+        for word in text.encode().split():
+            expected[word.lower()] += learned
+    for parts in (1, 5, 300):
+        found = [(bytes(r.word), r.n) for r in mixing.vocabulary(rows, parts).collect()]
+        assert len(found) == len(expected) and dict(found) == expected
+    packed = [b for b in mixing._distinct(300)(pa.table({"text": [t for t, _ in texts], "learn": [1] * 90}).to_batches())]
+    assert 0 < sum(b.num_rows for b in packed) <= len(expected)
+    assert mixing.vocabulary(rows.limit(0), 3).count() == 0
+
+
 def test_frequent_tokens_are_those_of_a_parts_share(spark):
     words = spark.createDataFrame([(b"the", 50), (b"of", 25), (b"rare", 5), (b"unseen", 0)], "word binary, n long")
     hashes, _ = mixing.word_hashes(pa.array([b"the", b"of"], pa.binary()))
